@@ -28,32 +28,25 @@ def service_time(day: Column, text: Column) -> Column:
 
 
 def iso_time(text: Column, zone: str = NETWORK_ZONE) -> Column:
-    """ISO-8601 text as wall-clock time of `zone`; unreadable text gives NULL.
+    """ISO-8601 text as wall-clock time of `zone`, to the second; unreadable text gives NULL.
 
-    Text without an offset is taken as wall-clock time already. Independent of the
-    session zone: the offset is applied here, not by a cast.
+    Text without an offset is taken as wall-clock time already. The result does not depend
+    on the session zone: text with an offset is an instant whatever the session.
     """
     clean = F.trim(text)
-    head = F.regexp_extract(clean, r"^(\d{4}-\d\d-\d\d)[T ](\d\d:\d\d(:\d\d)?)", 0)
-    offset = F.regexp_extract(clean, r"(Z|[+-]\d\d:?\d\d)$", 1)
-    wall = F.nullif(F.regexp_replace(head, "T", " "), F.lit("")).try_cast("timestamp_ntz")
-    sign = F.when(offset.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    digits = F.regexp_replace(offset, r"[^0-9]", "")
-    minutes = F.when(offset == "Z", F.lit(0)).otherwise(
-        sign * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int"))
-    )
-    utc = wall - F.make_dt_interval(mins=minutes)
-    return F.when(offset == "", wall).otherwise(
-        F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    sign = F.substring(clean, -6, 1).isin("+", "-") | F.substring(clean, -5, 1).isin("+", "-")
+    has_offset = clean.endswith("Z") | (sign & (F.length(clean) > 16))
+    instant = F.unix_seconds(clean.try_cast("timestamp"))
+    return F.when(has_offset, epoch_time(instant, zone)).otherwise(
+        F.substring(clean, 1, 19).try_cast("timestamp_ntz")
     )
 
 
 def epoch_time(seconds: Column, zone: str = NETWORK_ZONE) -> Column:
     """Epoch seconds as wall-clock time of `zone`."""
-    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
-    )
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    shifted = F.from_utc_timestamp(F.timestamp_seconds(seconds), zone)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", F.unix_seconds(shifted), epoch)
 
 
 def elapsed_seconds(df: DataFrame, start: str, end: str) -> Column:

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from railtempo.functions.status import call_platform, call_status, trip_status
 from railtempo.functions.times import iso_time
-from railtempo.operators.updates import SLOT, with_departure_date
+from railtempo.operators.updates import SLOT, last_known, with_departure_date
 
 #: Journeys meet the schedule on train number and departure date.
 MATCH = ["trip_headsign", "departure_date"]
+#: What a call says about its station.
+STATION_VALUES = ["expected_departure", "expected_arrival", "platform", "call_status"]
 
 
 def valid_journeys(journeys: DataFrame) -> DataFrame:
@@ -67,12 +69,13 @@ def calls(journeys: DataFrame) -> DataFrame:
 
 
 def call_values(call: Column) -> list[Column]:
-    return [
-        iso_time(call["ExpectedDepartureTime"]).alias("expected_departure"),
-        iso_time(call["ExpectedArrivalTime"]).alias("expected_arrival"),
-        call_platform(call).alias("platform"),
-        call_status(call).alias("call_status"),
-    ]
+    values = (
+        iso_time(call["ExpectedDepartureTime"]),
+        iso_time(call["ExpectedArrivalTime"]),
+        call_platform(call),
+        call_status(call),
+    )
+    return [value.alias(name) for name, value in zip(STATION_VALUES, values)]
 
 
 def station_calls(exploded: DataFrame, stations: DataFrame) -> DataFrame:
@@ -80,32 +83,115 @@ def station_calls(exploded: DataFrame, stations: DataFrame) -> DataFrame:
     return exploded.join(stations.select("siri_stop_id", "station_name"), "siri_stop_id")
 
 
-def station_values(journeys: DataFrame, stations: DataFrame) -> DataFrame:
-    """One row per journey and station: the last call there replaces earlier ones whole.
-
-    Earlier calls at the same stop are dropped inside the array, before it is exploded.
-    """
+def _last_calls(journeys: DataFrame) -> tuple[DataFrame, Column]:
+    """Journeys with `ordered_calls`, and the array of the last call at each stop."""
     ordered = F.col("ordered_calls")
     last_only = F.filter(
         ordered,
         lambda c, i: ~F.exists(
             F.slice(ordered, i + 2, F.size(ordered)),
-            lambda later: later["call"]["StopPointRef"] == c["call"]["StopPointRef"],
+            lambda later: later["StopPointRef"] == c["StopPointRef"],
         ),
     )
+    return (
+        journeys.withColumn("ordered_calls", F.concat("estimated_calls", "recorded_calls")),
+        last_only,
+    )
+
+
+def station_values(journeys: DataFrame, stations: DataFrame) -> DataFrame:
+    """One row per journey and station: the last call there replaces earlier ones whole.
+
+    Earlier calls at the same stop are dropped inside the array, before it is exploded, and
+    texts are read only for calls that meet a listed station.
+    """
     kept = [c for c in journeys.columns if c not in ("recorded_calls", "estimated_calls")]
-    return station_calls(
-        journeys.withColumn("ordered_calls", _tagged_calls())
-        .select(*kept, F.explode(last_only).alias("tagged"))
+    ordered, last_only = _last_calls(journeys)
+    exploded = ordered.select(*kept, F.explode(last_only).alias("call")).withColumn(
+        "siri_stop_id", F.col("call.StopPointRef")
+    )
+    return station_calls(exploded, stations).select(
+        *kept, "station_name", *call_values(F.col("call"))
+    )
+
+
+def feed_log(journeys: DataFrame, stations: DataFrame) -> DataFrame:
+    """The feed as rows to fold: one per journey (station blank) and one per station value."""
+    ordered, last_only = _last_calls(journeys)
+    calls_and_self = F.concat(last_only, F.array(F.lit(None)))
+    exploded = ordered.select(
+        *MATCH,
+        "polled_at",
+        "trip_status",
+        F.col("feed_seq").alias("seq"),
+        F.explode(calls_and_self).alias("call"),
+    ).withColumn("siri_stop_id", F.col("call.StopPointRef"))
+    listed = stations.select("siri_stop_id", F.col("station_name").alias("station"))
+    itself = F.col("call").isNull()
+    return (
+        exploded.join(listed, "siri_stop_id", "left")
+        .filter(itself | F.col("station").isNotNull())
         .select(
-            *kept,
-            F.col("tagged.call.StopPointRef").alias("siri_stop_id"),
-            *call_values(F.col("tagged.call")),
+            *MATCH,
+            F.coalesce("station", F.lit("")).alias("station"),
+            *[F.when(~itself, v).alias(n) for n, v in zip(STATION_VALUES, call_values(F.col("call")))],
+            F.when(itself, F.col("trip_status")).alias("trip_status"),
+            F.when(itself, F.col("polled_at")).alias("polled_at"),
+            "seq",
+        )
+    )
+
+
+def fold_log(log: DataFrame) -> DataFrame:
+    """Last known values per train number, date and station.
+
+    Needs no schedule, so it can run before any join: a train that much of the feed is about
+    is down to a few rows per task before the shuffle.
+    """
+    return log.groupBy(*MATCH, "station").agg(
+        *last_known([*STATION_VALUES, "trip_status", "polled_at"]),
+        F.count("polled_at").alias("n_updates"),
+    )
+
+
+def orient_fold(folded: DataFrame, trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """Folded feed values as one update per slot of the schedule."""
+    ends = _known_slots(trips, stations).select(
+        *SLOT,
+        F.inline(
+            F.array(
+                F.struct(F.lit("departure").alias("role"), F.col("departure_station_name").alias("station")),
+                F.struct(F.lit("arrival").alias("role"), F.col("arrival_station_name").alias("station")),
+                F.struct(F.lit("journey").alias("role"), F.lit("").alias("station")),
+            )
         ),
-        stations,
+    )
+
+    def at(role: str, column: str) -> Column:
+        return F.max(F.when(F.col("role") == role, F.col(column)))
+
+    return (
+        ends.join(folded, [*MATCH, "station"])
+        .groupBy(*SLOT)
+        .agg(
+            at("departure", "expected_departure").alias("siri_departure_time_real"),
+            at("departure", "platform").alias("siri_departure_platform"),
+            at("departure", "call_status").alias("siri_departure_status"),
+            at("arrival", "expected_arrival").alias("siri_arrival_time_real"),
+            at("arrival", "platform").alias("siri_arrival_platform"),
+            at("arrival", "call_status").alias("siri_arrival_status"),
+            at("journey", "trip_status").alias("siri_trip_status"),
+            at("journey", "polled_at").alias("siri_updated_at"),
+            at("journey", "n_updates").alias("n_updates"),
+        )
     )
 
 
+def fold_feed(journeys: DataFrame, trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """What `fold_updates` makes of `build_updates`, folding before the schedule join."""
+    return orient_fold(fold_log(feed_log(journeys, stations)), trips, stations)
+
+
 def schedule_slots(trips: DataFrame) -> DataFrame:
     """Scheduled trips per train number, departure date and direction, with their number.
 
@@ -115,6 +201,16 @@ def schedule_slots(trips: DataFrame) -> DataFrame:
     return with_departure_date(trips).groupBy(*SLOT).agg(F.count(F.lit(1)).alias("n_trips"))
 
 
+def _known_slots(trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """Slots between listed stations, with the feed's stop ids of both."""
+    by_name = stations.select("station_name", "siri_stop_id")
+    return (
+        schedule_slots(trips)
+        .join(by_name.toDF("departure_station_name", "departure_stop"), "departure_station_name")
+        .join(by_name.toDF("arrival_station_name", "arrival_stop"), "arrival_station_name")
+    )
+
+
 def journey_match(journeys: DataFrame, trips: DataFrame) -> DataFrame:
     """Valid journeys that have scheduled trips, with the number of trips they concern."""
     scheduled = schedule_slots(trips).groupBy(*MATCH).agg(F.sum("n_trips").alias("n_trips"))
@@ -127,14 +223,7 @@ def build_updates(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
     Departure values come from the last call at the departure station, arrival values from
     the last call at the arrival station; trips between unlisted stations get no update.
     """
-    by_name = stations.select("station_name", "siri_stop_id")
-    slots = (
-        schedule_slots(trips)
-        .join(
-            by_name.toDF("departure_station_name", "departure_stop"), "departure_station_name"
-        )
-        .join(by_name.toDF("arrival_station_name", "arrival_stop"), "arrival_station_name")
-    )
+    slots = _known_slots(trips, stations)
     matched = journeys.join(slots, MATCH)
     ordered = F.concat("estimated_calls", "recorded_calls")
 
@@ -169,13 +258,12 @@ def feed_counters(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
     meet the schedule, never journey-by-trip pairs.
     """
     listed = stations.select("siri_stop_id", "station_name")
-    names = stations.select("station_name")
     per_key = (
         journeys.select(
             F.nullif("train_number", F.lit("")).alias("trip_headsign"),
             _journey_day().alias("departure_date"),
             F.posexplode_outer(
-                F.transform(_tagged_calls(), lambda c: c["call"]["StopPointRef"])
+                F.concat("estimated_calls.StopPointRef", "recorded_calls.StopPointRef")
             ).alias("call_position", "siri_stop_id"),
         )
         .join(listed, "siri_stop_id", "left")
@@ -185,18 +273,17 @@ def feed_counters(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
             F.count("station_name").alias("calls"),
         )
     )
-    slots = schedule_slots(trips)
+    known = F.coalesce(F.col("from_known") & F.col("to_known"), F.lit(False))
+
+    def flagged(end: str, flag: str) -> DataFrame:
+        return stations.select(F.col("station_name").alias(end), F.lit(True).alias(flag))
+
     scheduled = (
-        slots.join(names.toDF("departure_station_name").withColumn("from_known", F.lit(True)),
-                   "departure_station_name", "left")
-        .join(names.toDF("arrival_station_name").withColumn("to_known", F.lit(True)),
-              "arrival_station_name", "left")
+        schedule_slots(trips)
+        .join(flagged("departure_station_name", "from_known"), "departure_station_name", "left")
+        .join(flagged("arrival_station_name", "to_known"), "arrival_station_name", "left")
         .groupBy(*MATCH)
-        .agg(
-            F.coalesce(
-                F.sum(F.when(F.col("from_known") & F.col("to_known"), F.col("n_trips"))), F.lit(0)
-            ).alias("n_known")
-        )
+        .agg(F.sum(F.when(known, F.col("n_trips")).otherwise(0)).alias("n_known"))
     )
     hit = F.col("n_known").isNotNull()
 

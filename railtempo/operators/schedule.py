@@ -15,6 +15,20 @@ from railtempo.functions.times import service_time
 from railtempo.schema import REALTIME_COLUMNS, TRIPS
 
 
+# Rows up to which a list of stations or corridor ends is sent to every executor (some MB).
+BROADCAST_ROWS = 50_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast if `df` has few rows; otherwise leave the join to be shuffled.
+
+    For joins of parameter tables: the optimizer estimates their size as the product of
+    both sides, so it would not see that the result is small.
+    """
+    is_small = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(df) if is_small else df
+
+
 def active_services(calendar_dates: DataFrame, day: date | None = None) -> DataFrame:
     """Service days that are added by the calendar, for one day or all days."""
     added = calendar_dates.filter(F.col("exception_type") == "1")
@@ -56,8 +70,8 @@ def corridor_trips(
     """Trips through both stations of a corridor, with direction and GTFS time texts.
 
     `stop_times` needs an orderable `position`. Stops away from all corridors are dropped by
-    the join with the small station list; the rest folds in one aggregation per trip and
-    corridor. A station visited twice counts with its first visit for the direction and its
+    the join with the list of corridor ends, which is broadcast after a check of its size;
+    the rest folds in one aggregation per trip and corridor. A station visited twice counts with its first visit for the direction and its
     last for the times.
     """
     ends = corridors.select(
@@ -80,7 +94,7 @@ def corridor_trips(
         return F.max_by(column, F.when(end, F.col("position")))
 
     folded = (
-        stop_times.join(ends.drop("station_name"), "stop_id")
+        stop_times.join(broadcast_if_small(ends.drop("station_name")), "stop_id")
         .groupBy("trip_id", "station_a", "station_b")
         .agg(
             first(at_a).alias("first_a"),

@@ -484,15 +484,19 @@ def trip_update_build(spark, sf):
     return _updates(spark, sf)
 
 
+def _folded(spark, sf):
+    return realtime.fold_feed(_valid(spark, sf), t.trips(spark, sf), t.stations(spark))
+
+
 @query
 def update_fold(spark, sf):
-    return updates.fold_updates(_updates(spark, sf), updates.SLOT)
+    return _folded(spark, sf)
 
 
 @query
 def schedule_without_update(spark, sf):
     return updates.without_update(
-        t.trips(spark, sf), _updates(spark, sf), updates.SLOT
+        t.trips(spark, sf), _folded(spark, sf), updates.SLOT
     ).select("trip_id", "trip_headsign", "service_date")
 
 
@@ -507,7 +511,7 @@ def _upserted(spark, sf):
     """T written as the trip table, then updated from the whole feed."""
     path = work_path(spark, "trips")
     trip_table.write_days(t.trips(spark, sf), path)
-    trip_table.upsert(spark, path, _updates(spark, sf), updates.SLOT)
+    trip_table.upsert(spark, path, _folded(spark, sf), updates.SLOT)
     return trip_table.read_trip_table(spark, path)
 
 
@@ -605,13 +609,11 @@ def stream_schedule_join(spark, sf):
 
 @query
 def stream_update_fold(spark, sf):
-    stream = jobs.update_stream(
-        _journey_stream(spark, sf), t.trips(spark, sf), t.stations(spark)
-    )
     path = work_path(spark, "update-fold")
-    folded = jobs.running_fold(stream)
+    folded = jobs.running_fold(_journey_stream(spark, sf), t.stations(spark))
     _run(folded.writeStream.foreachBatch(jobs.batches_to(path)).outputMode("update"), spark, "fold")
-    return jobs.newest_per_key(spark, path, updates.SLOT)
+    newest = jobs.newest_per_key(spark, path, [*realtime.MATCH, "station"])
+    return realtime.orient_fold(newest, t.trips(spark, sf), t.stations(spark))
 
 
 @query

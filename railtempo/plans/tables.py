@@ -13,7 +13,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtempo.schema import CORRIDORS, GTFS_RT_ENTITY, STATIONS, TRIPS
+from railtempo.schema import CORRIDORS, GTFS_RT_ENTITY, STATIONS, TRIPS, parameter_table
 
 FIRST_DAY = "2024-01-01"
 AS_OF = date(2024, 1, 15)
@@ -39,31 +39,38 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table whose rows cost much to turn into feed records.
+
+    A small file has one row group and would keep one core busy; it is spread over all
+    cores. Tables with enough input splits are left as they are.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def stations(spark: SparkSession) -> DataFrame:
     """The two stations of the main corridor."""
-    return spark.createDataFrame(STATION_ROWS[1:3], STATIONS)
+    return parameter_table(spark, STATION_ROWS[1:3], STATIONS)
 
 
 def all_stations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STATION_ROWS, STATIONS)
+    return parameter_table(spark, STATION_ROWS, STATIONS)
 
 
 def corridors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([PAIR], CORRIDORS)
+    return parameter_table(spark, [PAIR], CORRIDORS)
 
 
 def many_corridors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MANY_CORRIDORS, CORRIDORS)
+    return parameter_table(spark, MANY_CORRIDORS, CORRIDORS)
 
 
 def _plus(ts: Column, minutes: Column | None = None, seconds: Column | None = None) -> Column:
-    zero = F.lit(0)
-    return ts + F.make_dt_interval(
-        zero,
-        zero,
-        (minutes if minutes is not None else zero).cast("int"),
-        (seconds if seconds is not None else zero).cast("decimal(18,6)"),
-    )
+    if minutes is not None:
+        return F.timestamp_add("MINUTE", minutes, ts)
+    return F.timestamp_add("SECOND", seconds, ts)
 
 
 def _midnight(day: Column) -> Column:
@@ -202,14 +209,10 @@ def gtfs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _iso(wall: Column) -> Column:
     """Feed text of a winter wall-clock time: with +01:00, in UTC with Z, or unreadable."""
-    pattern = "yyyy-MM-dd'T'HH:mm:ss"
-    return (
-        F.when(F.col("l_partkey") % 50 == 7, "soon")
-        .when(
-            F.col("l_orderkey") % 3 == 0,
-            F.concat(F.date_format(_plus(wall, F.lit(-60)), pattern), F.lit("Z")),
-        )
-        .otherwise(F.concat(F.date_format(wall, pattern), F.lit("+01:00")))
+    in_utc = F.col("l_orderkey") % 3 == 0
+    shown = _plus(wall, F.when(in_utc, -60).otherwise(0)).cast("string")
+    return F.when(F.col("l_partkey") % 50 == 7, "soon").otherwise(
+        F.concat(F.translate(shown, " ", "T"), F.when(in_utc, "Z").otherwise("+01:00"))
     )
 
 
@@ -263,7 +266,8 @@ def journeys_of(lines: DataFrame) -> DataFrame:
         DeparturePlatformName=F.when(part % 2 != 0, _numbered("Quai ", supp % 5)),
     )
     recorded = F.col("l_linestatus") == "F"
-    return lines.select(
+    first_call, second_call = F.col("first_call"), F.col("second_call")
+    return lines.withColumns({"first_call": first, "second_call": second}).select(
         F.concat_ws("-", order, _sequence()).alias("journey_ref"),
         F.when((_div("l_orderkey", 100) + order % 30) % 11 == 0, F.lit(None))
         .when(order % 97 == 1, "")
@@ -275,24 +279,22 @@ def journeys_of(lines: DataFrame) -> DataFrame:
         .otherwise("true")
         .alias("monitored"),
         F.when(supp % 7 == 0, "true").when(supp % 7 == 1, "false").alias("prediction_inaccurate"),
-        F.when(recorded, F.array(first)).otherwise(F.slice(F.array(first), 2, 1)).alias(
-            "recorded_calls"
-        ),
-        F.when(recorded, F.array(second)).otherwise(F.array(first, second)).alias(
-            "estimated_calls"
-        ),
+        F.when(recorded, F.array(first_call)).otherwise(F.array()).alias("recorded_calls"),
+        F.when(recorded, F.array(second_call))
+        .otherwise(F.array(first_call, second_call))
+        .alias("estimated_calls"),
         _plus(midnight, 300 + 2 * F.col("l_linenumber")).alias("polled_at"),
         _sequence().alias("feed_seq"),
     )
 
 
 def journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return journeys_of(table(spark, sf_dir, "lineitem"))
+    return journeys_of(spread_table(spark, sf_dir, "lineitem"))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded GTFS-RT entities, one per line item, for the trips of `trips`."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     start = F.lit(1705276800) + F.col("l_orderkey") % 960 * 60
     quantity = F.col("l_quantity").cast("bigint")

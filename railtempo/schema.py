@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -182,9 +184,25 @@ GTFS_RT_ENTITY = T.StructType(
 )
 
 
+def parameter_table(
+    spark: SparkSession, rows: Sequence[Sequence[str]], schema: T.StructType
+) -> DataFrame:
+    """A few rows of text as a DataFrame.
+
+    Built as an inline table, whose size the optimizer knows exactly: joins with it become
+    broadcast joins while it is small, and shuffled joins should it ever be large.
+    """
+    names = [[f"r{i}c{j}" for j in range(len(row))] for i, row in enumerate(rows)]
+    values = ", ".join(f"({', '.join(':' + n for n in row)})" for row in names)
+    return spark.sql(
+        f"SELECT * FROM VALUES {values} AS t({', '.join(schema.names)})",
+        args={n: v for row, given in zip(names, rows) for n, v in zip(row, given)},
+    )
+
+
 def default_stations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DEFAULT_STATIONS), STATIONS)
+    return parameter_table(spark, DEFAULT_STATIONS, STATIONS)
 
 
 def default_corridors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DEFAULT_CORRIDORS), CORRIDORS)
+    return parameter_table(spark, DEFAULT_CORRIDORS, CORRIDORS)

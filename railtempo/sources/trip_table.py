@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtempo.operators.updates import apply_updates, fold_updates, touched_days
+from railtempo.operators.updates import apply_updates, touched_days
 from railtempo.schema import TRIPS
 from railtempo.session import work_path
 
@@ -53,15 +53,15 @@ def new_days(schedule: DataFrame, existing: DataFrame) -> DataFrame:
     return schedule.join(loaded, "service_date", "left_anti")
 
 
-def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> None:
-    """Fold an update log and apply it to the trip table, rewriting only the days it changes.
+def upsert(spark: SparkSession, path: str, folded: DataFrame, keys: list[str]) -> None:
+    """Apply folded updates to the trip table, rewriting only the days they change.
 
     The merged days are staged first and then swapped in: a failure while merging leaves the
     table as it was, and one while swapping is repaired by running the upsert again.
     """
     folded_path, staged_path = work_path(spark, "updates"), work_path(spark, "merged-days")
-    fold_updates(updates, keys).write.parquet(folded_path)
-    folded = spark.read.parquet(folded_path)
-    changed = touched_days(read_trip_table(spark, path), folded, keys)
-    apply_updates(changed, folded, keys).write.parquet(staged_path)
+    folded.write.parquet(folded_path)
+    updates = spark.read.parquet(folded_path)
+    changed = touched_days(read_trip_table(spark, path), updates, keys)
+    apply_updates(changed, updates, keys).write.parquet(staged_path)
     write_days(spark.read.schema(TRIPS).parquet(staged_path), path, mode="overwrite")

@@ -14,9 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from railtempo.operators.realtime import build_updates, station_values, valid_journeys
+from railtempo.operators.realtime import (
+    build_updates,
+    feed_log,
+    fold_feed,
+    fold_log,
+    station_values,
+    valid_journeys,
+)
 from railtempo.operators.statistics import daily_counts
-from railtempo.operators.updates import SLOT, fold_updates
+from railtempo.operators.updates import SLOT
 from railtempo.schema import TRIPS
 from railtempo.sources.trip_table import day_is_loaded, read_trip_table, upsert, write_days
 
@@ -59,9 +66,12 @@ def first_deliveries(updates: DataFrame, keys: list[str], event_time: str) -> Da
     return updates.withWatermark(event_time, LATE_LIMIT).dropDuplicatesWithinWatermark(keys)
 
 
-def running_fold(updates: DataFrame, keys: list[str] = SLOT) -> DataFrame:
-    """Latest known values per key, kept as state; run it in update mode."""
-    return fold_updates(updates, keys)
+def running_fold(journeys: DataFrame, stations: DataFrame) -> DataFrame:
+    """Latest known values per train, date and station, kept as state; run it in update mode.
+
+    The state does not depend on the schedule: `orient_fold` joins that afterwards.
+    """
+    return fold_log(feed_log(valid_journeys(journeys), stations))
 
 
 def running_daily_delay(trips: DataFrame) -> DataFrame:
@@ -116,7 +126,7 @@ def upsert_batches(
             write_days(schedule_of_day(day), table, mode="overwrite")
         trips = read_trip_table(spark, table).filter(F.col("service_date") == F.lit(day))
         journeys = valid_journeys(prepare(batch))
-        upsert(spark, table, build_updates(journeys, trips, stations), SLOT)
+        upsert(spark, table, fold_feed(journeys, trips, stations), SLOT)
 
     return write
 
