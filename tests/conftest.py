@@ -1,0 +1,15 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from railtempo.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    yield session
+    session.stop()

@@ -1,0 +1,219 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import A, B, by, trip, trips
+
+from railtempo.functions.delay import with_delay
+from railtempo.operators import board, filters, statistics
+from railtempo.schema import DELAY_CLASSES, TRIPS
+
+# Day, line, direction, departure, arrival, real departure, arrival delay in minutes.
+TEN = [
+    ("2024-01-01", "K01", "01", A, B, "08:00", "09:00", "08:05", 10),
+    ("2024-01-01", "K01", "02", A, B, "10:00", "11:00", "10:02", 3),
+    ("2024-01-01", "K01", "03", A, B, "12:00", "13:00", "12:00", 0),
+    ("2024-01-01", "K02", "04", B, A, "14:00", "15:00", "14:15", 30),
+    ("2024-01-01", "K02", "05", B, A, "16:00", "17:00", "16:05", 20),
+    ("2024-01-01", "K03", "06", A, B, "13:00", "14:00", "13:10", 45),
+    ("2024-01-01", "K03", "07", A, B, "15:00", "16:00", "15:05", 60),
+    ("2024-01-02", "K01", "01", A, B, "08:00", "09:00", "08:02", 5),
+    ("2024-01-02", "K01", "02", B, A, "10:00", "11:00", "10:08", 15),
+    ("2024-01-02", "K03", "06", A, B, "13:00", "14:00", "13:03", None),
+]
+
+
+def ten_rows():
+    rows = []
+    for i, (day, route, headsign, start, end, dep, arr, real, delay) in enumerate(TEN):
+        arrived = None
+        if delay is not None:
+            arrived = (datetime.fromisoformat(f"{day} {arr}") + timedelta(minutes=delay)).strftime("%H:%M:%S")
+        rows.append(
+            trip(f"t{i}", day, route, headsign, start, end, dep, arr, real, arrived,
+                 updated=datetime(2024, 1, 1))
+        )
+    return rows
+
+
+@pytest.fixture(scope="module")
+def ten(spark):
+    return trips(spark, ten_rows()).cache()
+
+
+def counts(row):
+    return [row[c] for c in ("total_trains", "on_time", "delay_5min", "delay_15min",
+                             "delay_45min", "delay_over_45min", "delay_unknown")]
+
+
+def test_global(ten):
+    assert counts(statistics.global_stats(ten).first()) == [10, 1, 2, 2, 3, 1, 1]
+
+
+def test_percentages_are_truncated(ten):
+    row = statistics.global_stats(ten.filter("route_short_name = 'K01' AND trip_headsign <> '02'")).first()
+    assert [row[f"{c}_percentage"] for c in DELAY_CLASSES[:3]] == [33, 33, 33]
+
+
+def test_by_date(ten):
+    found = by(statistics.stats_by_date(ten), "date")
+    assert counts(found[date(2024, 1, 1)]) == [7, 1, 1, 1, 3, 1, 0]
+    assert counts(found[date(2024, 1, 2)]) == [3, 0, 1, 1, 0, 0, 1]
+
+
+def test_by_line(ten):
+    profile = statistics.timetable_profile(ten)
+    report = statistics.line_report(profile).collect()
+    assert [r.sort_time for r in report] == sorted(r.sort_time for r in report)
+    found = {r.line: r for r in report}
+    expected = {
+        "K01 01": ([2, 0, 1, 1, 0, 0, 0], 7.5),
+        "K01 02": ([2, 0, 1, 1, 0, 0, 0], 9.0),
+        "K01 03": ([1, 1, 0, 0, 0, 0, 0], 0.0),
+        "K02 04": ([1, 0, 0, 0, 1, 0, 0], 30.0),
+        "K02 05": ([1, 0, 0, 0, 1, 0, 0], 20.0),
+        "K03 06": ([2, 0, 0, 0, 1, 0, 1], 45.0),
+        "K03 07": ([1, 0, 0, 0, 0, 1, 0], 60.0),
+    }
+    assert set(found) == set(expected)
+    for line, (numbers, average) in expected.items():
+        assert counts(found[line]) == numbers
+        assert found[line].average_delay_minutes == average
+    by_line = by(statistics.stats_by_line(profile), "line")
+    assert by_line["K01 02"]["direction"] == "Compiègne → Paris Nord"
+    assert found["K01 01"].jours == "Lu, Ma" and found["K01 01"].day_ranges == "Lu - Ma"
+
+
+def test_average_of_unknown_is_zero(spark):
+    profile = statistics.timetable_profile(trips(spark, [trip("x")]))
+    assert statistics.average_delay(profile).first().average_delay_minutes == 0
+
+
+def test_date_filters(ten):
+    day = date(2024, 1, 2)
+    assert filters.date_filter(ten, day, day).count() == 3
+    assert filters.date_filter(ten, day).count() == 3
+    assert filters.date_filter(ten, end=date(2024, 1, 1)).count() == 7
+    assert filters.date_filter(ten).count() == 10
+    assert statistics.global_stats(filters.date_filter(ten, date(2025, 1, 1), date(2025, 1, 31))).count() == 0
+    span = filters.date_range(ten).first()
+    assert (span.min_date, span.max_date) == (date(2024, 1, 1), day)
+
+
+def test_date_filter_sees_departure_after_midnight(spark):
+    late = trip("late", "2024-01-01", departure="08:00:00")
+    row = dict(zip(TRIPS.names, late))
+    row["departure_time_scheduled"] = datetime(2024, 1, 2, 0, 30)
+    unknown = dict(zip(TRIPS.names, trip("blank", departure=None)))
+    table = trips(spark, [tuple(row.values()), tuple(unknown.values())])
+    assert [r.trip_id for r in filters.on_day(table, date(2024, 1, 2)).collect()] == ["late"]
+    assert filters.on_day(table, date(2024, 1, 1)).count() == 0
+    assert filters.date_filter(table).count() == 2
+    assert None in {r.date for r in statistics.stats_by_date(table).collect()}
+
+
+def test_empty_table(spark):
+    empty = trips(spark, [])
+    assert statistics.global_stats(empty).count() == 0
+    assert statistics.stats_by_date(empty).count() == 0
+    assert statistics.line_report(statistics.timetable_profile(empty)).count() == 0
+    assert filters.date_range(empty).first().asDict() == {"min_date": None, "max_date": None}
+    assert board.feed_freshness(empty, datetime(2024, 1, 1)).first().is_outdated is None
+
+
+def test_cancelled_wins_and_missing_status_is_not_cancelled(spark):
+    table = trips(
+        spark,
+        [
+            trip("a", departure_status="CANCELLED", real_arrival="09:00:00"),
+            trip("b", arrival_status="CANCELLED"),
+            trip("c", departure_status="NORMAL", real_arrival="09:00:00"),
+            trip("d", real_arrival="08:59:30"),
+            trip("e", departure_status="PREDICTION_INACCURATE"),
+        ],
+    )
+    found = {r.trip_id: r.delay_class for r in with_delay(table).collect()}
+    assert found == {"a": "delay_skipped", "b": "delay_skipped", "c": "on_time", "d": "on_time", "e": "delay_unknown"}
+    assert {r.trip_id for r in filters.cancelled_trips(table).collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize(
+    "seconds, expected",
+    [(-60, "on_time"), (0, "on_time"), (1, "delay_5min"), (300, "delay_5min"), (301, "delay_15min"),
+     (900, "delay_15min"), (901, "delay_45min"), (2700, "delay_45min"), (2701, "delay_over_45min")],
+)
+def test_class_limits(spark, seconds, expected):
+    real = (datetime(2024, 1, 1, 9) + timedelta(seconds=seconds)).strftime("%H:%M:%S")
+    assert with_delay(trips(spark, [trip("a", real_arrival=real)])).first().delay_class == expected
+
+
+def test_common_timetable_ties_and_route_independence(spark):
+    rows = [trip(f"a{i}", f"2024-01-0{i}", "K1", "9", departure="08:00:00") for i in (1, 2)]
+    rows += [trip(f"b{i}", f"2024-01-0{i}", "K2", "9", departure="07:00:00", arrival="08:00:00") for i in (3, 4)]
+    rows += [trip("c", "2024-01-05", "K2", "9", departure="06:00:00")]
+    profile = statistics.timetable_profile(trips(spark, rows))
+    assert statistics.common_times(profile).first().departure_time == "07:00"
+    report = by(statistics.line_report(profile), "line")
+    assert {r["departure_time_scheduled"] for r in report.values()} == {"07:00"}
+    assert report["K2 9"]["sort_time"] == "06:00"
+    assert report["K1 9"]["sort_time"] == "08:00"
+
+
+def days_table(spark, first, n):
+    start = date.fromisoformat(first)
+    return trips(
+        spark,
+        [trip(f"t{i}", str(start + timedelta(days=i)), real_arrival="09:03:00") for i in range(n)],
+    )
+
+
+def test_timeline_switches_to_weeks_above_thirty_days(spark):
+    daily = statistics.timeline(days_table(spark, "2024-01-01", 31)).collect()
+    assert len(daily) == 31 and daily[0].period_label == "01/01"
+    weekly = statistics.timeline(days_table(spark, "2024-01-01", 32)).collect()
+    assert [r.total_trains for r in weekly] == [7, 7, 7, 7, 4]
+    assert weekly[0].period_label == "1-7/01" and weekly[4].period_label == "29/01-4/02"
+
+
+def test_weeks_by_calendar_across_clock_change(spark):
+    found = statistics.stats_by_week(days_table(spark, "2024-10-21", 14)).collect()
+    assert [str(r.period_start) for r in found] == ["2024-10-21", "2024-10-28"]
+    assert [r.total_trains for r in found] == [7, 7]
+
+
+def test_weekly_sums_equal_daily_sums(ten):
+    daily = statistics.daily_counts(ten).groupBy().sum(*DELAY_CLASSES).first()
+    weekly = statistics.stats_by_week(ten).groupBy().sum(*DELAY_CLASSES).first()
+    assert list(daily) == list(weekly)
+
+
+def test_preset_ranges(spark):
+    table = days_table(spark, "2024-01-01", 40)
+    as_of = date(2024, 2, 5)
+    assert filters.preset_filter(table, "week", as_of).count() == 8
+    assert filters.preset_filter(table, "month", as_of).count() == 31
+    assert filters.preset_filter(table, "all", as_of).count() == 36
+    assert filters.preset_filter(table, "week", date(2030, 1, 1)).count() == 1
+
+
+def test_chart_segments(ten):
+    daily = statistics.daily_counts(ten)
+    shares = statistics.share_segments(daily, ["date"]).groupBy("date").sum("width").collect()
+    assert all(round(r["sum(width)"], 6) == 100.0 for r in shares)
+    stacks = statistics.stack_offsets(daily.filter("date = '2024-01-02'"), ["date"])
+    found = {r.delay_class: (r.height, r.offset) for r in stacks.collect()}
+    third = 100 / 3
+    assert found.keys() == {"delay_5min", "delay_15min", "delay_unknown"}
+    assert found["delay_unknown"] == pytest.approx((third, 2 * third))
+
+
+def test_delay_is_elapsed_time_for_zoned_columns(spark):
+    """Across the autumn clock change, zoned timestamps differ by elapsed seconds."""
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        df = spark.sql("SELECT timestamp'2024-10-27 02:30:00+02:00' AS a, timestamp'2024-10-27 02:40:00+01:00' AS b")
+        from railtempo.functions.times import elapsed_seconds
+
+        assert df.select(elapsed_seconds(df, "a", "b")).first()[0] == 70 * 60
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
