@@ -21,12 +21,7 @@ STATION_VALUES = ["expected_departure", "expected_arrival", "platform", "call_st
 
 def valid_journeys(journeys: DataFrame) -> DataFrame:
     """Journeys with a train number and a date, with match keys and `trip_status`."""
-    kept = journeys.filter(
-        F.col("train_number").isNotNull()
-        & (F.col("train_number") != "")
-        & F.col("journey_date").isNotNull()
-        & (F.col("journey_date") != "")
-    )
+    kept = journeys.filter((F.col("train_number") != "") & (F.col("journey_date") != ""))
     return kept.withColumns(
         {
             "trip_headsign": F.col("train_number"),

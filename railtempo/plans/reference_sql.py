@@ -240,7 +240,7 @@ all_calls AS (
          CASE WHEN l_returnflag = 'A' AND l_partkey % 5 = 0 THEN 'true'
               WHEN l_returnflag = 'A' AND l_partkey % 5 = 1 THEN 'false' END AS inaccurate,
          CASE WHEN l_partkey % 3 <> 0 THEN base END AS departure_wall,
-         CASE WHEN l_partkey % 4 <> 0 THEN base - INTERVAL 1 MINUTE END AS arrival_wall,
+         CASE WHEN l_partkey % 4 <> 0 THEN base END AS arrival_wall,
          CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_partkey % 17 = 0 THEN ''
               ELSE 'Hall ' || (l_suppkey % 4) END AS departure_platform,
          CASE WHEN l_suppkey % 6 <> 0 THEN 'Voie ' || (l_partkey % 9) END AS arrival_platform
@@ -250,7 +250,7 @@ all_calls AS (
          'estimated', CASE WHEN recorded THEN 0 ELSE 1 END, 'S' || (l_partkey % 10),
          CASE WHEN l_suppkey % 19 = 0 THEN '' END,
          CASE WHEN l_suppkey % 23 = 0 THEN 'true' END,
-         CASE WHEN l_partkey % 3 <> 1 THEN base + INTERVAL 52 MINUTE END,
+         CASE WHEN l_partkey % 3 <> 1 THEN base + INTERVAL 50 MINUTE END,
          CASE WHEN l_partkey % 4 <> 1 THEN base + INTERVAL 50 MINUTE END,
          CASE WHEN l_partkey % 2 <> 0 THEN 'Quai ' || (l_suppkey % 5) END,
          'Hall ' || (l_partkey % 3)
@@ -270,20 +270,16 @@ valid AS (
   WHERE train_number <> '' AND journey_day IS NOT NULL
 ),
 calls AS (
-  SELECT c.*, v.trip_status, {_read("departure_wall")} AS expected_departure,
-         {_read("arrival_wall")} AS expected_arrival,
+  SELECT c.*, v.trip_status,
+         CASE WHEN c.l_partkey % 50 <> 7 THEN departure_wall END AS expected_departure,
+         CASE WHEN c.l_partkey % 50 <> 7 THEN arrival_wall END AS expected_arrival,
          nullif(coalesce(departure_platform, arrival_platform), '') AS platform,
          CASE WHEN cancellation IS NOT NULL THEN 'CANCELLED' WHEN inaccurate = 'true'
               THEN 'PREDICTION_INACCURATE' ELSE 'NORMAL' END AS call_status,
          CASE stop WHEN 'S1' THEN 'Paris Nord' WHEN 'S2' THEN 'Compiègne' END AS station_name
   FROM all_calls c JOIN valid v ON v.journey_ref = c.journey_ref
-  -- keep one spelling of the columns both sides share
-)
-""".replace("  -- keep one spelling of the columns both sides share\n", "").replace(
-    "SELECT c.*, v.trip_status, CASE WHEN l_partkey", "SELECT c.*, v.trip_status, CASE WHEN c.l_partkey"
-).replace(
-    "AS expected_departure,\n         CASE WHEN l_partkey", "AS expected_departure,\n         CASE WHEN c.l_partkey"
 )
+"""
 
 STATION_FOLD = """
 station_fold AS (

@@ -207,12 +207,14 @@ def gtfs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # --- SIRI-ET journeys and GTFS-RT entities, from lineitem ---------------------------------
 
 
-def _iso(wall: Column) -> Column:
-    """Feed text of a winter wall-clock time: with +01:00, in UTC with Z, or unreadable."""
-    in_utc = F.col("l_orderkey") % 3 == 0
-    shown = _plus(wall, F.when(in_utc, -60).otherwise(0)).cast("string")
+def _iso(minutes: Column) -> Column:
+    """Feed text of a clock time on the journey's (winter) day, from `midnight` and minutes.
+
+    Some texts carry +01:00, some are in UTC with Z, some cannot be read.
+    """
+    shown = _plus(F.col("midnight"), minutes + F.col("utc_shift")).cast("string")
     return F.when(F.col("l_partkey") % 50 == 7, "soon").otherwise(
-        F.concat(F.translate(shown, " ", "T"), F.when(in_utc, "Z").otherwise("+01:00"))
+        F.concat(F.translate(shown, " ", "T"), F.col("offset"))
     )
 
 
@@ -237,8 +239,11 @@ def journeys_of(lines: DataFrame) -> DataFrame:
     """Journeys as `sources.siri` reads them, one per line item (batch or stream)."""
     order, part, supp = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     flag, quantity = F.col("l_returnflag"), F.col("l_quantity").cast("int")
-    midnight = _midnight(_day("l_orderkey"))
+    in_utc = order % 3 == 0
     base = 300 + order % 960 + quantity
+    # One text per station keeps the generated code of this view short enough for the JVM
+    # to compile.
+    first_time, second_time = F.col("first_time"), F.col("second_time")
 
     first = _call(
         StopPointRef=_numbered("S", supp % 10),
@@ -249,9 +254,9 @@ def journeys_of(lines: DataFrame) -> DataFrame:
         PredictionInaccurate=F.when((flag == "A") & (part % 5 == 0), "true").when(
             (flag == "A") & (part % 5 == 1), "false"
         ),
-        ExpectedArrivalTime=F.when(part % 4 != 0, _iso(_plus(midnight, base - 1))),
+        ExpectedArrivalTime=F.when(part % 4 != 0, first_time),
         ArrivalPlatformName=F.when(supp % 6 != 0, _numbered("Voie ", part % 9)),
-        ExpectedDepartureTime=F.when(part % 3 != 0, _iso(_plus(midnight, base))),
+        ExpectedDepartureTime=F.when(part % 3 != 0, first_time),
         DeparturePlatformName=F.when(flag == "N", F.lit(None))
         .when(part % 17 == 0, "")
         .otherwise(_numbered("Hall ", supp % 4)),
@@ -260,14 +265,22 @@ def journeys_of(lines: DataFrame) -> DataFrame:
         StopPointRef=_numbered("S", part % 10),
         Cancellation=F.when(supp % 19 == 0, ""),
         PredictionInaccurate=F.when(supp % 23 == 0, "true"),
-        ExpectedArrivalTime=F.when(part % 4 != 1, _iso(_plus(midnight, base + 50))),
+        ExpectedArrivalTime=F.when(part % 4 != 1, second_time),
         ArrivalPlatformName=_numbered("Hall ", part % 3),
-        ExpectedDepartureTime=F.when(part % 3 != 1, _iso(_plus(midnight, base + 52))),
+        ExpectedDepartureTime=F.when(part % 3 != 1, second_time),
         DeparturePlatformName=F.when(part % 2 != 0, _numbered("Quai ", supp % 5)),
     )
     recorded = F.col("l_linestatus") == "F"
     first_call, second_call = F.col("first_call"), F.col("second_call")
-    return lines.withColumns({"first_call": first, "second_call": second}).select(
+    prepared = lines.withColumns(
+        {
+            "midnight": _midnight(_day("l_orderkey")),
+            "utc_shift": F.when(in_utc, -60).otherwise(0),
+            "offset": F.when(in_utc, "Z").otherwise("+01:00"),
+        }
+    ).withColumns({"first_time": _iso(base), "second_time": _iso(base + 50)})
+    prepared = prepared.withColumns({"first_call": first, "second_call": second})
+    return prepared.select(
         F.concat_ws("-", order, _sequence()).alias("journey_ref"),
         F.when((_div("l_orderkey", 100) + order % 30) % 11 == 0, F.lit(None))
         .when(order % 97 == 1, "")
@@ -283,7 +296,7 @@ def journeys_of(lines: DataFrame) -> DataFrame:
         F.when(recorded, F.array(second_call))
         .otherwise(F.array(first_call, second_call))
         .alias("estimated_calls"),
-        _plus(midnight, 300 + 2 * F.col("l_linenumber")).alias("polled_at"),
+        _plus(F.col("midnight"), 300 + 2 * F.col("l_linenumber")).alias("polled_at"),
         _sequence().alias("feed_seq"),
     )
 
