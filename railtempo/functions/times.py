@@ -33,12 +33,11 @@ def iso_time(text: Column, zone: str = NETWORK_ZONE) -> Column:
     Text without an offset is taken as wall-clock time already. The result does not depend
     on the session zone: text with an offset is an instant whatever the session.
     """
-    clean = F.trim(text)
-    sign = F.substring(clean, -6, 1).isin("+", "-") | F.substring(clean, -5, 1).isin("+", "-")
-    has_offset = clean.endswith("Z") | (sign & (F.length(clean) > 16))
-    instant = F.unix_seconds(clean.try_cast("timestamp"))
+    # After the T, only an offset has letters or signs.
+    has_offset = text.rlike(r"\d[T ].*[Z+-]")
+    instant = F.unix_seconds(text.try_cast("timestamp"))
     return F.when(has_offset, epoch_time(instant, zone)).otherwise(
-        F.substring(clean, 1, 19).try_cast("timestamp_ntz")
+        F.substring(F.trim(text), 1, 19).try_cast("timestamp_ntz")
     )
 
 

@@ -18,6 +18,9 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # HotSpot does not compile methods above 8000 bytes; beyond that Spark's unfused
+        # operators are faster than one long interpreted method.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.driver.memory": "8g",
         **conf,
     }
