@@ -6,6 +6,9 @@ TIMESTAMP columns work as well and are compared as instants.
 
 from __future__ import annotations
 
+from datetime import datetime
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,17 @@ from pyspark.sql import types as T
 from railtempo.schema import NETWORK_ZONE, OVERNIGHT_DAYS
 
 
+def wall_clock(moment: datetime, zone: str = NETWORK_ZONE) -> Column:
+    """A moment as a wall-clock literal; naive moments are wall-clock time already.
+
+    Written as text, because a datetime literal would be shifted between the time zones of
+    the driver and the session.
+    """
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def service_time(day: Column, text: Column) -> Column:
     """`HH:MM:SS` of a service day as a timestamp; hours may pass 24, blank gives NULL."""
     hour, minute, second = (

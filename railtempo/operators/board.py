@@ -15,7 +15,7 @@ from railtempo.functions.labels import (
     platform_label,
     time_state,
 )
-from railtempo.functions.times import clock_minutes, elapsed_seconds, freshness_text
+from railtempo.functions.times import clock_minutes, elapsed_seconds, freshness_text, wall_clock
 from railtempo.operators.filters import on_day
 from railtempo.schema import STALE_AFTER_MINUTES
 
@@ -112,7 +112,7 @@ def past_trips(trips: DataFrame, all_trips: DataFrame) -> DataFrame:
 
 def feed_freshness(trips: DataFrame, now: datetime) -> DataFrame:
     """Latest update, its text, and whether it is older than 15 minutes; one row."""
-    moment = F.lit(now).cast("timestamp_ntz")
+    moment = wall_clock(now)
     limit = moment - F.make_dt_interval(mins=F.lit(STALE_AFTER_MINUTES))
     return trips.agg(F.max("siri_updated_at").alias("updated_at")).select(
         "updated_at",

@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtempo.functions.times import service_time
+from railtempo.functions.times import service_time, wall_clock
 from railtempo.schema import REALTIME_COLUMNS, TRIPS
 
 
@@ -139,7 +139,7 @@ def build_schedule(
         {
             "departure_time_scheduled": service_time(F.col("service_date"), F.col("departure_time")),
             "arrival_time_scheduled": service_time(F.col("service_date"), F.col("arrival_time")),
-            "created_at": F.lit(created_at).cast("timestamp_ntz"),
+            "created_at": wall_clock(created_at),
         }
     )
     unset = {

@@ -537,6 +537,14 @@ def gtfs_rt_updates(spark, sf):
     )
 
 
+@query
+def gtfs_rt_fold(spark, sf):
+    """Last known GTFS-RT values per scheduled trip."""
+    rows = gtfs_rt.entity_rows(t.entities(spark, sf))
+    ordered = rows.withColumn("seq", F.split_part("entity_id", F.lit("-"), F.lit(2)).cast("bigint"))
+    return gtfs_rt.fold_trip_updates(ordered, t.trips(spark, sf), t.stations(spark))
+
+
 @query
 def gtfs_rt_known_trips(spark, sf):
     rows = gtfs_rt.entity_rows(t.entities(spark, sf))

@@ -392,6 +392,42 @@ entity_last AS (
 """
 
 
+RT_LOG = """
+rt_log AS (
+  SELECT e.trip_id, CAST(t.departure_time_scheduled AS DATE) AS departure_date,
+         CAST(split_part(e.entity_id, '-', 2) AS BIGINT) AS seq, e.entity_id,
+         d.departure_time AS departure_time_real, d.departure_delay AS departure_delay_seconds,
+         a.arrival_time AS arrival_time_real, a.arrival_delay AS arrival_delay_seconds,
+         e.trip_schedule_relationship, d.stop_relationship AS departure_schedule_relationship,
+         a.stop_relationship AS arrival_schedule_relationship
+  FROM entity_base e JOIN trips t ON t.trip_id = e.trip_id
+  LEFT JOIN entity_last d ON d.entity_id = e.entity_id
+    AND d.number = CASE t.departure_station_name WHEN 'Paris Nord' THEN 1 ELSE 2 END
+  LEFT JOIN entity_last a ON a.entity_id = e.entity_id
+    AND a.number = CASE t.arrival_station_name WHEN 'Paris Nord' THEN 1 ELSE 2 END
+)
+"""
+RT_VALUES = (
+    "departure_time_real",
+    "departure_delay_seconds",
+    "arrival_time_real",
+    "arrival_delay_seconds",
+    "trip_schedule_relationship",
+    "departure_schedule_relationship",
+    "arrival_schedule_relationship",
+)
+
+
+def _rt_fold() -> str:
+    folded = ", ".join(
+        f"arg_max({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in RT_VALUES
+    )
+    shown = ", ".join(_sec(c) if c.endswith("_real") else c for c in RT_VALUES)
+    return _with(TRIPS, ENTITIES, RT_LOG) + f"""
+SELECT trip_id, {_day("departure_date")}, {shown}, n_updates
+FROM (SELECT trip_id, departure_date, {folded}, count(*) AS n_updates FROM rt_log GROUP BY 1, 2)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip() for p in parts) + "\n"
 
@@ -746,17 +782,11 @@ WHERE NOT EXISTS (SELECT 1 FROM update_log u WHERE u.trip_headsign = t.trip_head
             AND f.departure_station_name = t.departure_station_name)) AS trips_updated""",
     "trips_upsert": _with(*_LOG, FOLD, UPSERTED)
     + f"SELECT trip_id, {_day('service_date')}, {_values()} FROM upserted",
-    "gtfs_rt_updates": _with(TRIPS, ENTITIES)
-    + f"""SELECT e.entity_id, e.trip_id, strftime(CAST(t.departure_time_scheduled AS DATE), {DAY}) AS departure_date,
-       {_sec("d.departure_time", "departure_time_real")}, d.departure_delay AS departure_delay_seconds,
-       {_sec("a.arrival_time", "arrival_time_real")}, a.arrival_delay AS arrival_delay_seconds,
-       e.trip_schedule_relationship, d.stop_relationship AS departure_schedule_relationship,
-       a.stop_relationship AS arrival_schedule_relationship
-FROM entity_base e JOIN trips t ON t.trip_id = e.trip_id
-LEFT JOIN entity_last d ON d.entity_id = e.entity_id
-  AND d.number = CASE t.departure_station_name WHEN 'Paris Nord' THEN 1 ELSE 2 END
-LEFT JOIN entity_last a ON a.entity_id = e.entity_id
-  AND a.number = CASE t.arrival_station_name WHEN 'Paris Nord' THEN 1 ELSE 2 END""",
+    "gtfs_rt_updates": _with(TRIPS, ENTITIES, RT_LOG)
+    + f"SELECT entity_id, trip_id, {_day('departure_date')}, "
+    + ", ".join(_sec(c) if c.endswith("_real") else c for c in RT_VALUES)
+    + " FROM rt_log",
+    "gtfs_rt_fold": _rt_fold(),
     "gtfs_rt_known_trips": _with(TRIPS, ENTITIES)
     + """SELECT entity_id, trip_id, trip_schedule_relationship FROM entity_base
 WHERE trip_id IN (SELECT trip_id FROM trips)""",

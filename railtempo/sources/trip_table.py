@@ -62,6 +62,9 @@ def upsert(spark: SparkSession, path: str, folded: DataFrame, keys: list[str]) -
     folded_path, staged_path = work_path(spark, "updates"), work_path(spark, "merged-days")
     folded.write.parquet(folded_path)
     updates = spark.read.parquet(folded_path)
-    changed = touched_days(read_trip_table(spark, path), updates, keys)
+    trips = read_trip_table(spark, path)
+    # One row per calendar day: as literals they prune partitions without another join.
+    days = [row.service_date for row in touched_days(trips, updates, keys).collect()]
+    changed = trips.filter(F.col("service_date").isin(days))
     apply_updates(changed, updates, keys).write.parquet(staged_path)
     write_days(spark.read.schema(TRIPS).parquet(staged_path), path, mode="overwrite")

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from itertools import groupby
 
 import pytest
@@ -6,7 +6,14 @@ from helpers import by, trip, trips
 from pyspark.sql import functions as F
 
 from railtempo.functions import labels
-from railtempo.functions.times import clock_minutes, clock_text, epoch_time, iso_time, service_time
+from railtempo.functions.times import (
+    clock_minutes,
+    clock_text,
+    epoch_time,
+    iso_time,
+    service_time,
+    wall_clock,
+)
 from railtempo.operators import board
 from railtempo.schema import WEEKDAY_LABELS
 
@@ -51,6 +58,17 @@ def test_iso_time_in_any_session_zone(spark, text, expected, zone):
         spark.conf.set("spark.sql.session.timeZone", previous)
 
 
+def test_literals_keep_their_clock_time_in_any_session_zone(spark):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        naive, aware = datetime(2024, 7, 1, 8), datetime(2024, 7, 1, 6, tzinfo=timezone.utc)
+        row = spark.range(1).select(wall_clock(naive), wall_clock(aware)).first()
+        assert tuple(row) == (naive, naive)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+
+
 def test_service_time(spark):
     df = spark.createDataFrame([("08:00:00",), ("24:30:00",), ("47:59:59",), ("",), (None,), (" 5:01:02",)], "t string")
     found = [r[0] for r in df.select(service_time(F.lit(date(2024, 1, 1)), F.col("t"))).collect()]

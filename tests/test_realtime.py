@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 import pytest
 from helpers import A, B, by, trip, trips
+from pyspark.sql import functions as F
 
 from railtempo import schema
 from railtempo.operators import gtfs_rt, realtime, updates
@@ -311,3 +312,21 @@ def test_gtfs_rt_updates(spark):
     gone = found["gone"]
     assert gone["departure_time_real"] is None
     assert [gone[f"{x}_schedule_relationship"] for x in ("trip", "departure", "arrival")] == ["CANCELED", "SKIPPED", "SKIPPED"]
+
+
+def test_gtfs_rt_fold_keeps_known_values(spark):
+    stop_a, stop_b = (s[1] for s in schema.DEFAULT_STATIONS)
+    table = trips(spark, [trip("go"), trip("quiet")])
+    start = 1704096000
+    polls = [
+        entity("go", [(stop_a, (start, 60), None, None), (stop_b, None, (start + 3600, 90), None)]),
+        entity("go", [(stop_a, (start, 0), None, None), (stop_a, (start + 300, 300), None, None), ("stop_9", None, None, None)]),
+        entity("go", [], "CANCELED"),
+    ]
+    rows = gtfs_rt.entity_rows(spark.createDataFrame(polls, GTFS_RT_ENTITY))
+    found = by(gtfs_rt.fold_trip_updates(rows.withColumn("seq", F.monotonically_increasing_id()), table, stations(spark)), "trip_id")
+    assert set(found) == {"go"}
+    go = found["go"]
+    assert go["departure_time_real"] == datetime(2024, 1, 1, 9, 5) and go["departure_delay_seconds"] == 300
+    assert go["arrival_time_real"] == datetime(2024, 1, 1, 10) and go["arrival_delay_seconds"] == 90
+    assert (go["trip_schedule_relationship"], go["n_updates"]) == ("CANCELED", 3)
