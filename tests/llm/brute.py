@@ -38,3 +38,29 @@ def earlier_passages(docs, span):
                 gone[k : k + span] = [True] * span
         out.append((i, len(w), sum(gone), sha(b" ".join(x for x, g in zip(w, gone) if not g))))
     return sorted(out, key=str)
+
+
+def simhash_groups(docs, shingle=4, radius=4):
+    import xxhash
+
+    prints = []
+    for i, t in docs:
+        words = (t or "").encode().lower().split()
+        hashes = [xxhash.xxh64_intdigest(b" ".join(words[k : k + shingle]), 42) for k in range(max(1, len(words) - shingle + 1))] if words else []
+        prints.append((i, sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))))
+    up = list(range(len(prints)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(prints)):
+        for b in range(a):
+            if (prints[a][1] ^ prints[b][1]).bit_count() <= radius:
+                up[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(prints):
+        if i is not None:
+            least[root(k)] = min(i, least.get(root(k), i))
+    return sorted(((i, f"{p:016x}", least.get(root(k))) for k, (i, p) in enumerate(prints)), key=str)
