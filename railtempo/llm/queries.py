@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from railtempo.llm import simhash_dedup, substring_dedup, suffix_dedup
+from railtempo.llm import language_id, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op3_language_id": language_id.op3_language_id,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
 }
