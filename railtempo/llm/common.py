@@ -49,6 +49,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df checkpointed, in the cluster's folder for that; only a session without one gets a folder of its own."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_path(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railtempo.llm.common import cut
+
 
 def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Labels (each node's least known partner, a root of itself) after linking a[i] with b[i]."""
@@ -27,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     node links its greater neighbours to its least one, then its lesser ones. Every round is a partial aggregation and
     a join, checkpointed; a node with very many neighbours is split by the skew join.
     """
-    edges = _directed(edges).checkpoint()
+    edges = cut(_directed(edges))
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -35,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         edges = _directed(both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")))
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         small = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        edges = _directed(small).checkpoint()
+        edges = cut(_directed(small))
         now = _state(edges)
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from railtempo.llm import decontaminate, language_id, simhash_dedup, substring_dedup, suffix_dedup
+from railtempo.llm import decontaminate, language_id, mixing, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 SQL: dict[str, str] = {

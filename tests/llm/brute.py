@@ -64,3 +64,21 @@ def simhash_groups(docs, shingle=4, radius=4):
         if i is not None:
             least[root(k)] = min(i, least.get(root(k), i))
     return sorted(((i, f"{p:016x}", least.get(root(k))) for k, (i, p) in enumerate(prints)), key=str)
+
+
+def mix_targets(docs, weights=(5, 2, 1), share=1.5, most=2):
+    """docs: (source, size) rows. {source: (size, target)}."""
+    sizes = defaultdict(int)
+    for s, n in docs:
+        sizes[s] += n
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    left, free, target = share * sum(sizes.values()), set(names), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if level * weight[s] > most * sizes[s]]
+        for s in over or free:
+            target[s] = most * sizes[s] if over else level * weight[s]
+        left -= sum(target[s] for s in over)
+        free -= set(over or free)
+    return {s: (sizes[s], target[s]) for s in names}
