@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from railtempo.llm import decontaminate, language_id, mixing, simhash_dedup, substring_dedup, suffix_dedup
+from railtempo.llm import decontaminate, language_id, mixing, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op3_language_id": language_id.op3_language_id,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
