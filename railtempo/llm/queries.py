@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from railtempo.llm import decontaminate, language_id, mixing, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
+from railtempo.llm import decontaminate, language_id, lm_scoring, mixing, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
+    "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_mixing": mixing.op10_mixing,
 }
 
