@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from railtempo.llm import decontaminate, language_id, lm_scoring, mixing, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
+from railtempo.llm import decontaminate, language_id, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op3_language_id": language_id.op3_language_id,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_lm_scoring": lm_scoring.op9_lm_scoring,
