@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from railtempo.llm import decontaminate, language_id, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
+from railtempo.llm import decontaminate, language_id, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, suffix_dedup, tool_calls
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op2_tool_calls": tool_calls.op2_tool_calls,
     "op3_language_id": language_id.op3_language_id,
     "op4_simhash_dedup": simhash_dedup.op4_simhash_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
@@ -17,5 +18,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op2_tool_calls": tool_calls.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
 }
