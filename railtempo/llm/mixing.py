@@ -21,7 +21,7 @@ MOST = 2.0
 SEED = 10
 #: Documents of a block, about.
 BLOCK = 128
-UNIT = "struct<size:bigint,h:bigint,doc_id:bigint>"
+UNIT = "struct<size:bigint,h:bigint,doc_id:bigint,name:bigint>"
 
 
 def word_count(text: str) -> Column:
@@ -102,7 +102,7 @@ def pivotal(units: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, block: int = BLOCK) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken of every row of docs.
+    """doc_id, name, source, size, source_size, target, copies and taken of every row of docs; name is a hash of id and text.
 
     copies is a whole number and `most` rounded up at most; reruns agree. A null text has size 0, a null source is a
     source of its own, after the others. Documents of a source without words get no copies. Repeated rows are rows of
@@ -114,13 +114,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     same = F.col("source").eqNullSafe(F.col("s"))
     p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(p + 1e-9)
-    unit = F.struct("size", F.xxhash64("doc_id", "name").alias("h"), "doc_id")
+    unit = F.struct("size", F.xxhash64("doc_id", "name").alias("h"), "doc_id", "name")
     mass = F.greatest(p - whole, F.lit(0.0))
     sized = rows.join(targets, same).select("source", unit.alias("unit"), F.when(mass < 1e-9, 0.0).otherwise(mass).alias("mass"))
     taken = pivotal(sized.filter("mass > 0"), seed, block)
     taken = taken.unionByName(sized.filter("mass = 0").select("source", "unit", F.lit(0).alias("take")))
     copies = (whole + F.col("take")).cast("long")
-    done = taken.join(targets, same).select("unit.doc_id", "source", "unit.size", "source_size", "target", copies.alias("copies"))
+    columns = ["unit.doc_id", "unit.name", "source", "unit.size", "source_size", "target"]
+    done = taken.join(targets, same).select(*columns, copies.alias("copies"))
     return done.withColumn("taken", F.col("copies") * F.col("size"))
 
 
