@@ -13,7 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railtempo.schema import NETWORK_ZONE, OVERNIGHT_DAYS
+from railtempo.schema import NETWORK_ZONE
+
+
+#: Whole texts that are read: a date, or a date with hours and minutes, and for an instant an offset.
+ISO_LOCAL = r"^\d{4}-\d\d-\d\d([Tt ]\d\d:\d\d(:\d\d(\.\d+)?)?)?$"
+ISO_INSTANT = r"^\d{4}-\d\d-\d\d[Tt ]\d\d:\d\d(:\d\d(\.\d+)?)?([Zz]|[+-]\d\d:?(\d\d)?)$"
 
 
 def wall_clock(moment: datetime, zone: str = NETWORK_ZONE) -> Column:
@@ -28,30 +33,25 @@ def wall_clock(moment: datetime, zone: str = NETWORK_ZONE) -> Column:
 
 
 def service_time(day: Column, text: Column) -> Column:
-    """`HH:MM:SS` of a service day as a timestamp; hours may pass 24, blank gives NULL."""
+    """`HH:MM:SS` of a service day as a timestamp; hours may pass 24 by any number, blank gives NULL."""
     hour, minute, second = (
         F.try_element_at(F.split(F.trim(text), ":"), F.lit(i)).try_cast("int") for i in (1, 2, 3)
     )
-    limit = 24 * (OVERNIGHT_DAYS + 1)
-    checked = F.when(
-        hour >= limit,
-        F.raise_error(F.concat(F.lit(f"GTFS time of {limit}:00:00 or later: "), text)).cast("int"),
-    ).otherwise(hour)
     midnight = day.cast("timestamp_ntz")
-    return midnight + F.make_dt_interval(F.lit(0), checked, minute, second.cast("decimal(18,6)"))
+    return midnight + F.make_dt_interval(F.lit(0), hour, minute, second.cast("decimal(18,6)"))
 
 
 def iso_time(text: Column, zone: str = NETWORK_ZONE) -> Column:
-    """ISO-8601 text as wall-clock time of `zone`, to the second; unreadable text gives NULL.
+    """ISO-8601 text as wall-clock time of `zone`, to the second; any other text gives NULL.
 
     Text without an offset is taken as wall-clock time already. The result does not depend
     on the session zone: text with an offset is an instant whatever the session.
     """
-    # After the T, only an offset has letters or signs.
-    has_offset = text.rlike(r"\d[T ].*[Z+-]")
-    instant = F.unix_seconds(text.try_cast("timestamp"))
-    return F.when(has_offset, epoch_time(instant, zone)).otherwise(
-        F.substring(F.trim(text), 1, 19).try_cast("timestamp_ntz")
+    trimmed = F.trim(text)
+    instant = F.unix_seconds(F.upper(trimmed).try_cast("timestamp"))
+    local = F.substring(trimmed, 1, 19).try_cast("timestamp_ntz")
+    return F.when(trimmed.rlike(ISO_INSTANT), epoch_time(instant, zone)).when(
+        trimmed.rlike(ISO_LOCAL), local
     )
 
 

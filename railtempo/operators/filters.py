@@ -8,31 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railtempo.functions.delay import is_cancelled
-from railtempo.schema import OVERNIGHT_DAYS, PRESET_DAYS
+from railtempo.schema import DEPARTURE_DAY, PRESET_DAYS
 
 
 def departure_date() -> Column:
     return F.to_date("departure_time_scheduled")
 
 
+def has_departure_day(trips: DataFrame) -> bool:
+    """Whether trips come from the stored table, which is partitioned by the departure date."""
+    return DEPARTURE_DAY.name in trips.columns
+
+
 def date_filter(
     trips: DataFrame, start: date | Column | None = None, end: date | Column | None = None
 ) -> DataFrame:
     """Trips that depart from `start` to `end`, both inclusive and both optional.
 
-    The same bounds on service_date, widened by the overnight limit, prune partitions.
+    On the stored table the same bounds select partitions: a trip's partition is its departure date.
     """
+    days = [departure_date()]
+    if has_departure_day(trips):
+        days.append(F.col(DEPARTURE_DAY.name))
     out = trips
-    if start is not None:
-        low = start if isinstance(start, Column) else F.lit(start)
-        out = out.filter(departure_date() >= low)
-        if "service_date" in trips.columns:
-            out = out.filter(F.col("service_date") >= F.date_sub(low, OVERNIGHT_DAYS))
-    if end is not None:
-        high = end if isinstance(end, Column) else F.lit(end)
-        out = out.filter(departure_date() <= high)
-        if "service_date" in trips.columns:
-            out = out.filter(F.col("service_date") <= high)
+    for day in days:
+        if start is not None:
+            out = out.filter(day >= (start if isinstance(start, Column) else F.lit(start)))
+        if end is not None:
+            out = out.filter(day <= (end if isinstance(end, Column) else F.lit(end)))
     return out
 
 
@@ -41,10 +44,9 @@ def on_day(trips: DataFrame, day: date) -> DataFrame:
 
 
 def date_range(trips: DataFrame) -> DataFrame:
-    """First and last departure date; nulls for an empty table."""
-    return trips.agg(
-        F.min(departure_date()).alias("min_date"), F.max(departure_date()).alias("max_date")
-    )
+    """First and last departure date; nulls for an empty table. The stored table's partitions tell them."""
+    day = F.col(DEPARTURE_DAY.name) if has_departure_day(trips) else departure_date()
+    return trips.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"))
 
 
 def preset_filter(trips: DataFrame, preset: str, as_of: date) -> DataFrame:
@@ -63,9 +65,3 @@ def preset_filter(trips: DataFrame, preset: str, as_of: date) -> DataFrame:
 
 def cancelled_trips(trips: DataFrame) -> DataFrame:
     return trips.filter(is_cancelled())
-
-
-def in_direction(trips: DataFrame, departure: str, arrival: str) -> DataFrame:
-    return trips.filter(
-        (F.col("departure_station_name") == departure) & (F.col("arrival_station_name") == arrival)
-    )

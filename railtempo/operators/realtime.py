@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from railtempo.functions.status import call_platform, call_status, trip_status
 from railtempo.functions.times import iso_time
+from railtempo.operators.filters import has_departure_day
 from railtempo.operators.updates import SLOT, last_known, with_departure_date
+from railtempo.schema import DEPARTURE_DAY
 
 #: Journeys meet the schedule on train number and departure date.
 MATCH = ["trip_headsign", "departure_date"]
@@ -79,7 +81,10 @@ def station_calls(exploded: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def _last_calls(journeys: DataFrame) -> tuple[DataFrame, Column]:
-    """Journeys with `ordered_calls`, and the array of the last call at each stop."""
+    """Journeys with `ordered_calls`, and the array of the last call at each stop.
+
+    Calls without a stop say nothing about a station and are left out first.
+    """
     ordered = F.col("ordered_calls")
     last_only = F.filter(
         ordered,
@@ -89,7 +94,12 @@ def _last_calls(journeys: DataFrame) -> tuple[DataFrame, Column]:
         ),
     )
     return (
-        journeys.withColumn("ordered_calls", F.concat("estimated_calls", "recorded_calls")),
+        journeys.withColumn(
+            "ordered_calls",
+            F.filter(
+                F.concat("estimated_calls", "recorded_calls"), lambda c: c["StopPointRef"].isNotNull()
+            ),
+        ),
         last_only,
     )
 
@@ -145,7 +155,7 @@ def fold_log(log: DataFrame) -> DataFrame:
     """
     return log.groupBy(*MATCH, "station").agg(
         *last_known([*STATION_VALUES, "trip_status", "polled_at"]),
-        F.count("polled_at").alias("n_updates"),
+        F.count_if(F.col("station") == "").alias("n_updates"),
     )
 
 
@@ -184,7 +194,19 @@ def orient_fold(folded: DataFrame, trips: DataFrame, stations: DataFrame) -> Dat
 
 def fold_feed(journeys: DataFrame, trips: DataFrame, stations: DataFrame) -> DataFrame:
     """What `fold_updates` makes of `build_updates`, folding before the schedule join."""
-    return orient_fold(fold_log(feed_log(journeys, stations)), trips, stations)
+    return orient_fold(fold_log(feed_log(journeys, stations)), near_feed(trips, journeys), stations)
+
+
+def near_feed(trips: DataFrame, journeys: DataFrame) -> DataFrame:
+    """Of the stored trip table, the departure days that the feed is about; other trips as they are.
+
+    The bounds come from the feed and select partitions when the query runs.
+    """
+    if not has_departure_day(trips) or journeys.isStreaming:
+        return trips
+    days = journeys.select("departure_date")
+    first, last = (days.agg(f("departure_date")).scalar() for f in (F.min, F.max))
+    return trips.filter(F.col(DEPARTURE_DAY.name).between(first, last))
 
 
 def schedule_slots(trips: DataFrame) -> DataFrame:
@@ -208,7 +230,8 @@ def _known_slots(trips: DataFrame, stations: DataFrame) -> DataFrame:
 
 def journey_match(journeys: DataFrame, trips: DataFrame) -> DataFrame:
     """Valid journeys that have scheduled trips, with the number of trips they concern."""
-    scheduled = schedule_slots(trips).groupBy(*MATCH).agg(F.sum("n_trips").alias("n_trips"))
+    near = near_feed(trips, journeys)
+    scheduled = schedule_slots(near).groupBy(*MATCH).agg(F.sum("n_trips").alias("n_trips"))
     return journeys.join(scheduled, MATCH)
 
 
@@ -218,7 +241,7 @@ def build_updates(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
     Departure values come from the last call at the departure station, arrival values from
     the last call at the arrival station; trips between unlisted stations get no update.
     """
-    slots = _known_slots(trips, stations)
+    slots = _known_slots(near_feed(trips, journeys), stations)
     matched = journeys.join(slots, MATCH)
     ordered = F.concat("estimated_calls", "recorded_calls")
 
@@ -273,8 +296,9 @@ def feed_counters(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
     def flagged(end: str, flag: str) -> DataFrame:
         return stations.select(F.col("station_name").alias(end), F.lit(True).alias(flag))
 
+    dated = journeys.select(_journey_day().alias("departure_date"))
     scheduled = (
-        schedule_slots(trips)
+        schedule_slots(near_feed(trips, dated))
         .join(flagged("departure_station_name", "from_known"), "departure_station_name", "left")
         .join(flagged("arrival_station_name", "to_known"), "arrival_station_name", "left")
         .groupBy(*MATCH)
@@ -296,5 +320,5 @@ def feed_counters(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
 
 def unmatched_journeys(journeys: DataFrame, trips: DataFrame) -> DataFrame:
     """Valid journeys without any scheduled trip."""
-    scheduled = schedule_slots(trips).select(*MATCH).distinct()
+    scheduled = schedule_slots(near_feed(trips, journeys)).select(*MATCH).distinct()
     return journeys.join(scheduled, MATCH, "left_anti")

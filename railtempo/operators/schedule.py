@@ -6,34 +6,24 @@ a → b if it reaches a first, else b → a.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railtempo.functions.times import service_time, wall_clock
-from railtempo.schema import REALTIME_COLUMNS, TRIPS
+from railtempo.schema import GTFS_RT_COLUMNS, REALTIME_COLUMNS, TRIPS
 
 
-# Rows up to which a list of stations or corridor ends is sent to every executor (some MB).
-BROADCAST_ROWS = 50_000
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast if `df` has few rows; otherwise leave the join to be shuffled.
-
-    For joins of parameter tables: the optimizer estimates their size as the product of
-    both sides, so it would not see that the result is small.
-    """
-    is_small = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(df) if is_small else df
-
-
-def active_services(calendar_dates: DataFrame, day: date | None = None) -> DataFrame:
-    """Service days that are added by the calendar, for one day or all days."""
+def active_services(
+    calendar_dates: DataFrame, days: date | Iterable[date] | None = None
+) -> DataFrame:
+    """Service days that are added by the calendar, for one day, some days or all."""
     added = calendar_dates.filter(F.col("exception_type") == "1")
-    if day is not None:
-        added = added.filter(F.col("date") == day.strftime("%Y%m%d"))
+    if days is not None:
+        wanted = [days] if isinstance(days, date) else days
+        added = added.filter(F.col("date").isin([d.strftime("%Y%m%d") for d in wanted]))
     return added.select(
         "service_id",
         F.to_date(F.try_to_timestamp("date", F.lit("yyyyMMdd"))).alias("service_date"),
@@ -70,8 +60,9 @@ def corridor_trips(
     """Trips through both stations of a corridor, with direction and GTFS time texts.
 
     `stop_times` needs an orderable `position`. Stops away from all corridors are dropped by
-    the join with the list of corridor ends, which is broadcast after a check of its size;
-    the rest folds in one aggregation per trip and corridor. A station visited twice counts with its first visit for the direction and its
+    the join with the list of corridor ends (inline tables: the optimizer knows their size and
+    broadcasts them while they are small); the rest folds in one aggregation per trip and
+    corridor. A station visited twice counts with its first visit for the direction and its
     last for the times.
     """
     ends = corridors.select(
@@ -94,7 +85,7 @@ def corridor_trips(
         return F.max_by(column, F.when(end, F.col("position")))
 
     folded = (
-        stop_times.join(broadcast_if_small(ends.drop("station_name")), "stop_id")
+        stop_times.join(ends.drop("station_name"), "stop_id")
         .groupBy("trip_id", "station_a", "station_b")
         .agg(
             first(at_a).alias("first_a"),
@@ -125,13 +116,13 @@ def build_schedule(
     stations: DataFrame,
     corridors: DataFrame,
     created_at: datetime,
-    day: date | None = None,
+    days: date | Iterable[date] | None = None,
 ) -> DataFrame:
-    """Trip-table rows of one service day, or of every day in the calendar.
+    """Trip-table rows of one service day, of some, or of every day in the calendar.
 
     The stop times are folded first, so the joins see one row per corridor trip.
     """
-    services = active_services(gtfs["calendar_dates"], day)
+    services = active_services(gtfs["calendar_dates"], days)
     through = corridor_trips(gtfs["stop_times"], stations, corridors)
     listed = gtfs["trips"].select("trip_id", "route_id", "service_id", "trip_headsign")
     rows = with_route(through.join(listed, "trip_id"), gtfs["routes"]).join(services, "service_id")
@@ -143,6 +134,7 @@ def build_schedule(
         }
     )
     unset = {
-        c: F.lit(None).cast(TRIPS[c].dataType) for c in (*REALTIME_COLUMNS, "siri_updated_at")
+        c: F.lit(None).cast(TRIPS[c].dataType)
+        for c in (*REALTIME_COLUMNS, "siri_updated_at", *GTFS_RT_COLUMNS)
     }
     return rows.withColumns(unset).select(*TRIPS.fieldNames())

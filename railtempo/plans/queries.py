@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 
 from railtempo.functions.delay import with_delay
 from railtempo.functions.labels import numeric_stop_id, platform_label
-from railtempo.functions.times import iso_time, service_time
+from railtempo.functions.times import iso_time, service_time, wall_clock
 from railtempo.operators import board, filters, gtfs_rt, realtime, schedule, statistics, updates
 from railtempo.plans import tables as t
+from railtempo.schema import GTFS_RT_COLUMNS
 from railtempo.session import work_path
 from railtempo.sources import gtfs as gtfs_files
 from railtempo.sources import gtfs_rt as gtfs_rt_files
@@ -305,9 +306,9 @@ def gtfs_service_time(spark, sf):
     )
 
 
-def _schedule(spark, sf, created_at=t.LOADED_AT, day=None):
+def _schedule(spark, sf, created_at=t.LOADED_AT, days=None):
     return schedule.build_schedule(
-        t.gtfs(spark, sf), t.stations(spark), t.corridors(spark), created_at, day
+        t.gtfs(spark, sf), t.stations(spark), t.corridors(spark), created_at, days
     )
 
 
@@ -347,6 +348,19 @@ def schedule_append_new_days(spark, sf):
     return trip_table.read_trip_table(spark, path).select(*SCHEDULE_COLUMNS)
 
 
+@query
+def schedule_load_guard(spark, sf):
+    """One day loaded, and loaded again, which is refused and changes nothing."""
+    path = work_path(spark, "trips")
+    for created_at in (t.LOADED_AT, t.RELOADED_AT):
+        try:
+            trip_table.load_day(_schedule(spark, sf, created_at, t.AS_OF), path, t.AS_OF)
+        except trip_table.DayAlreadyLoaded:
+            if created_at == t.LOADED_AT:
+                raise
+    return trip_table.read_trip_table(spark, path).select(*SCHEDULE_COLUMNS)
+
+
 @query
 def trips_scan(spark, sf):
     """Trip table written, then read with the columns that matching needs."""
@@ -532,23 +546,37 @@ def _entities(spark, sf):
 @query
 def gtfs_rt_updates(spark, sf):
     """Decoded entities written as JSON, read back and oriented by the schedule."""
-    return gtfs_rt.trip_updates(
-        _entities(spark, sf), t.trips(spark, sf), t.stations(spark)
-    )
+    return gtfs_rt.trip_updates(_entities(spark, sf), t.runs(spark, sf), t.stations(spark))
 
 
-@query
-def gtfs_rt_fold(spark, sf):
-    """Last known GTFS-RT values per scheduled trip."""
+def _rt_folded(spark, sf, trips):
     rows = gtfs_rt.entity_rows(t.entities(spark, sf))
     ordered = rows.withColumn("seq", F.split_part("entity_id", F.lit("-"), F.lit(2)).cast("bigint"))
-    return gtfs_rt.fold_trip_updates(ordered, t.trips(spark, sf), t.stations(spark))
+    return gtfs_rt.fold_trip_updates(ordered, trips, t.stations(spark))
+
+
+@query
+def gtfs_rt_fold(spark, sf):
+    """Last known GTFS-RT values per run of a trip."""
+    return _rt_folded(spark, sf, t.runs(spark, sf)).drop("service_date")
+
+
+@query
+def gtfs_rt_upsert(spark, sf):
+    """The runs written as the trip table, then updated from GTFS-RT."""
+    path = work_path(spark, "trips")
+    trip_table.write_days(t.runs(spark, sf), path)
+    folded = _rt_folded(spark, sf, trip_table.read_trip_table(spark, path))
+    update = gtfs_rt.as_update(folded, wall_clock(t.NOW))
+    trip_table.upsert(spark, path, update, updates.TRIP)
+    current = trip_table.read_trip_table(spark, path)
+    return current.select("trip_id", "service_date", *VALUES, *GTFS_RT_COLUMNS)
 
 
 @query
 def gtfs_rt_known_trips(spark, sf):
     rows = gtfs_rt.entity_rows(t.entities(spark, sf))
-    return gtfs_rt.known_trips(rows, t.trips(spark, sf)).select(
+    return gtfs_rt.known_trips(rows, t.runs(spark, sf)).select(
         "entity_id", "trip_id", "trip_schedule_relationship"
     )
 
@@ -618,9 +646,9 @@ def stream_schedule_join(spark, sf):
 @query
 def stream_update_fold(spark, sf):
     path = work_path(spark, "update-fold")
-    folded = jobs.running_fold(_journey_stream(spark, sf), t.stations(spark))
-    _run(folded.writeStream.foreachBatch(jobs.batches_to(path)).outputMode("update"), spark, "fold")
-    newest = jobs.newest_per_key(spark, path, [*realtime.MATCH, "station"])
+    sink = jobs.fold_batches(spark, path, t.stations(spark), keep_days=40)
+    _run(_journey_stream(spark, sf).writeStream.foreachBatch(sink), spark, "fold")
+    newest = jobs.newest_fold(spark, path)
     return realtime.orient_fold(newest, t.trips(spark, sf), t.stations(spark))
 
 
@@ -641,10 +669,12 @@ def _deliveries(journeys: DataFrame) -> DataFrame:
 
 @query
 def stream_update_dedup(spark, sf):
-    """Every journey delivered twice; each is kept once."""
+    """Every journey polled twice, and each poll delivered twice; each poll is kept once."""
     stream = _deliveries(_journey_stream(spark, sf))
-    twice = stream.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(2))))
-    unique = jobs.first_deliveries(twice, ["journey_ref"], "polled_at").drop("delivery")
+    polls = stream.withColumn("later", F.explode(F.array(F.lit(0), F.lit(2))))
+    polls = polls.withColumn("polled_at", F.timestamp_add("MINUTE", F.col("later"), "polled_at"))
+    twice = polls.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(2))))
+    unique = jobs.first_deliveries(twice, jobs.POLLED, "polled_at").drop("later", "delivery")
     return _appended(unique, spark, "unique-journeys")
 
 
@@ -663,7 +693,7 @@ def stream_late_updates(spark, sf):
         _deliveries(arrived).write.mode("append").parquet(landing)
         schema = _deliveries(arrived).schema
         stream = spark.readStream.schema(schema).parquet(landing)
-        kept = jobs.first_deliveries(stream, ["journey_ref"], "polled_at")
+        kept = jobs.first_deliveries(stream, jobs.POLLED, "polled_at", jobs.LATE_LIMIT)
         writer = kept.writeStream.format("parquet").option("path", path).outputMode("append")
         jobs.start(writer, progress, available_now=True).awaitTermination()
 
@@ -674,11 +704,11 @@ def stream_late_updates(spark, sf):
 
 @query
 def bootstrap_day(spark, sf):
-    """Feed meets an empty trip table: the day's schedule is loaded, then updated."""
+    """Feed of many days meets an empty trip table: their schedules are loaded, then updated."""
     path = work_path(spark, "trips")
     jobs.create_table(spark, path)
     sink = jobs.upsert_batches(
-        spark, path, lambda day: _schedule(spark, sf, day=day), t.AS_OF, t.stations(spark)
+        spark, path, lambda days: _schedule(spark, sf, days=days), t.stations(spark)
     )
     _run(_journey_stream(spark, sf).writeStream.foreachBatch(sink), spark, "bootstrap")
     return trip_table.read_trip_table(spark, path).select(*SCHEDULE_COLUMNS, *VALUES[:-1])

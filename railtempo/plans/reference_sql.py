@@ -247,7 +247,8 @@ all_calls AS (
   FROM line_base
   UNION ALL
   SELECT journey_ref, seq, train_number, journey_day, polled_at, l_partkey, l_orderkey,
-         'estimated', CASE WHEN recorded THEN 0 ELSE 1 END, 'S' || (l_partkey % 10),
+         'estimated', CASE WHEN recorded THEN 0 ELSE 1 END,
+         CASE WHEN l_suppkey % 37 <> 0 THEN 'S' || (l_partkey % 10) END,
          CASE WHEN l_suppkey % 19 = 0 THEN '' END,
          CASE WHEN l_suppkey % 23 = 0 THEN 'true' END,
          CASE WHEN l_partkey % 3 <> 1 THEN base + INTERVAL 50 MINUTE END,
@@ -360,7 +361,9 @@ def _values() -> str:
 
 ENTITIES = f"""
 entity_base AS (
-  SELECT l_orderkey || '-' || ({SEQ}) AS entity_id, 'trip_' || l_orderkey AS trip_id, l_partkey, l_suppkey,
+  SELECT l_orderkey || '-' || ({SEQ}) AS entity_id, 'trip_' || (l_orderkey % 5000) AS trip_id, l_partkey, l_suppkey,
+         CASE WHEN l_suppkey % 5 <> 0 THEN DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER)
+              WHEN l_partkey % 13 <> 0 THEN DATE '2024-01-15' END AS service_date,
          CASE WHEN l_partkey % 13 = 0 THEN 'CANCELED' END AS trip_schedule_relationship,
          CASE WHEN l_partkey % 13 = 0 THEN 'SKIPPED' END AS stop_relationship,
          TIMESTAMP '2024-01-15 00:00:00' + INTERVAL 1 HOUR + to_minutes(l_orderkey % 960)
@@ -392,6 +395,9 @@ entity_last AS (
 """
 
 
+RUNS = """
+runs AS (SELECT * REPLACE ('trip_' || (CAST(substr(trip_id, 6) AS BIGINT) % 5000) AS trip_id) FROM trips)
+"""
 RT_LOG = """
 rt_log AS (
   SELECT e.trip_id, CAST(t.departure_time_scheduled AS DATE) AS departure_date,
@@ -400,7 +406,7 @@ rt_log AS (
          a.arrival_time AS arrival_time_real, a.arrival_delay AS arrival_delay_seconds,
          e.trip_schedule_relationship, d.stop_relationship AS departure_schedule_relationship,
          a.stop_relationship AS arrival_schedule_relationship
-  FROM entity_base e JOIN trips t ON t.trip_id = e.trip_id
+  FROM entity_base e JOIN runs t ON t.trip_id = e.trip_id AND t.service_date = e.service_date
   LEFT JOIN entity_last d ON d.entity_id = e.entity_id
     AND d.number = CASE t.departure_station_name WHEN 'Paris Nord' THEN 1 ELSE 2 END
   LEFT JOIN entity_last a ON a.entity_id = e.entity_id
@@ -423,11 +429,27 @@ def _rt_fold() -> str:
         f"arg_max({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in RT_VALUES
     )
     shown = ", ".join(_sec(c) if c.endswith("_real") else c for c in RT_VALUES)
-    return _with(TRIPS, ENTITIES, RT_LOG) + f"""
+    return _with(TRIPS, RUNS, ENTITIES, RT_LOG) + f"""
 SELECT trip_id, {_day("departure_date")}, {shown}, n_updates
 FROM (SELECT trip_id, departure_date, {folded}, count(*) AS n_updates FROM rt_log GROUP BY 1, 2)"""
 
 
+def _rt_upserted() -> str:
+    folded = ", ".join(
+        f"arg_max({c}, seq) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in RT_VALUES
+    )
+    kept = ", ".join(c for c in REALTIME if not c.endswith("_real"))
+    return _with(TRIPS, RUNS, ENTITIES, RT_LOG) + f"""
+SELECT t.trip_id, {_day("t.service_date")}, {kept},
+       {_sec("coalesce(departure_time_real, siri_departure_time_real)", "siri_departure_time_real")},
+       {_sec("coalesce(arrival_time_real, siri_arrival_time_real)", "siri_arrival_time_real")},
+       CASE WHEN f.trip_id IS NULL THEN strftime(siri_updated_at, {SECOND}) ELSE '2024-01-31 01:30:00' END AS siri_updated_at,
+       departure_delay_seconds AS departure_gtfs_delay, arrival_delay_seconds AS arrival_gtfs_delay,
+       trip_schedule_relationship, departure_schedule_relationship, arrival_schedule_relationship
+FROM runs t LEFT JOIN (SELECT trip_id, departure_date, {folded} FROM rt_log GROUP BY 1, 2) f
+  ON f.trip_id = t.trip_id AND f.departure_date = CAST(t.departure_time_scheduled AS DATE)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip() for p in parts) + "\n"
 
@@ -728,6 +750,9 @@ FROM stop_times""",
     "schedule_append_new_days": _with(SCHEDULE)
     + f"""SELECT {_schedule_columns("CASE WHEN service_date <= DATE '2024-01-15' THEN '2024-01-01 03:23:00' ELSE '2024-01-16 03:23:00' END")}
 FROM schedule""",
+    "schedule_load_guard": _with(SCHEDULE)
+    + f"""SELECT {_schedule_columns(repr('2024-01-01 03:23:00'))} FROM schedule
+WHERE service_date = DATE '2024-01-15'""",
     "trips_scan": _with(TRIPS)
     + f"""SELECT trip_id, departure_station_name, arrival_station_name, {_sec("departure_time_scheduled")},
        {_sec("arrival_time_scheduled")}, trip_headsign, {_day("service_date")} FROM trips""",
@@ -782,14 +807,15 @@ WHERE NOT EXISTS (SELECT 1 FROM update_log u WHERE u.trip_headsign = t.trip_head
             AND f.departure_station_name = t.departure_station_name)) AS trips_updated""",
     "trips_upsert": _with(*_LOG, FOLD, UPSERTED)
     + f"SELECT trip_id, {_day('service_date')}, {_values()} FROM upserted",
-    "gtfs_rt_updates": _with(TRIPS, ENTITIES, RT_LOG)
+    "gtfs_rt_updates": _with(TRIPS, RUNS, ENTITIES, RT_LOG)
     + f"SELECT entity_id, trip_id, {_day('departure_date')}, "
     + ", ".join(_sec(c) if c.endswith("_real") else c for c in RT_VALUES)
     + " FROM rt_log",
     "gtfs_rt_fold": _rt_fold(),
-    "gtfs_rt_known_trips": _with(TRIPS, ENTITIES)
-    + """SELECT entity_id, trip_id, trip_schedule_relationship FROM entity_base
-WHERE trip_id IN (SELECT trip_id FROM trips)""",
+    "gtfs_rt_upsert": _rt_upserted(),
+    "gtfs_rt_known_trips": _with(TRIPS, RUNS, ENTITIES)
+    + """SELECT entity_id, trip_id, trip_schedule_relationship FROM entity_base e
+WHERE EXISTS (SELECT 1 FROM runs r WHERE r.trip_id = e.trip_id AND r.service_date = e.service_date)""",
     "stop_id_clean": _with(ENTITIES)
     + """SELECT entity_id, stop_position, CASE WHEN number = 9 THEN '' ELSE CAST(number AS VARCHAR) END AS stop_number
 FROM entity_stops""",
@@ -802,13 +828,14 @@ FROM entity_stops""",
     "stream_update_fold": _with(*_LOG, FOLD) + f"SELECT {_LOG_COLUMNS}, {_values()}, n_updates FROM folded",
     "stream_daily_delay": _with(TRIPS, CLASSED, DAILY) + f"SELECT {_day('date')}, {COUNT_NAMES} FROM daily",
     "stream_update_dedup": _with(*_SIRI)
-    + f"SELECT DISTINCT journey_ref, train_number, {_sec('polled_at')} FROM line_base",
+    + f"SELECT DISTINCT journey_ref, train_number, {_sec('polled_at')} FROM line_base"
+    + f" UNION ALL SELECT DISTINCT journey_ref, train_number, {_sec('polled_at + INTERVAL 2 MINUTE', 'polled_at')} FROM line_base",
     "stream_late_updates": _with(*_SIRI)
     + f"""SELECT journey_ref, train_number, {_sec("polled_at")} FROM line_base
 WHERE NOT recorded OR polled_at > (SELECT max(polled_at) FROM line_base WHERE NOT recorded) - INTERVAL 1 DAY""",
     "bootstrap_day": _with(
         SCHEDULE,
-        "trips AS (SELECT * FROM schedule WHERE service_date = DATE '2024-01-15')",
+        "trips AS (SELECT * FROM schedule)",
         SLOTS,
         JOURNEYS,
         STATION_FOLD,

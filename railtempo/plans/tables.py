@@ -39,17 +39,6 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table whose rows cost much to turn into feed records.
-
-    A small file has one row group and would keep one core busy; it is spread over all
-    cores. Tables with enough input splits are left as they are.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def stations(spark: SparkSession) -> DataFrame:
     """The two stations of the main corridor."""
     return parameter_table(spark, STATION_ROWS[1:3], STATIONS)
@@ -140,6 +129,12 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_of(table(spark, sf_dir, "events"))
 
 
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trips under ids that recur on other days."""
+    number = F.substring("trip_id", 6, 20).cast("bigint") % 5000
+    return trips(spark, sf_dir).withColumn("trip_id", _numbered("trip_", number))
+
+
 # --- GTFS, from orders and lineitem -------------------------------------------------------
 
 
@@ -262,7 +257,7 @@ def journeys_of(lines: DataFrame) -> DataFrame:
         .otherwise(_numbered("Hall ", supp % 4)),
     )
     second = _call(
-        StopPointRef=_numbered("S", part % 10),
+        StopPointRef=F.when(supp % 37 != 0, _numbered("S", part % 10)),
         Cancellation=F.when(supp % 19 == 0, ""),
         PredictionInaccurate=F.when(supp % 23 == 0, "true"),
         ExpectedArrivalTime=F.when(part % 4 != 1, second_time),
@@ -302,12 +297,12 @@ def journeys_of(lines: DataFrame) -> DataFrame:
 
 
 def journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return journeys_of(spread_table(spark, sf_dir, "lineitem"))
+    return journeys_of(table(spark, sf_dir, "lineitem"))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded GTFS-RT entities, one per line item, for the trips of `trips`."""
-    lines = spread_table(spark, sf_dir, "lineitem")
+    """Decoded GTFS-RT entities, one per line item, for the trips of `runs`; some lack the start date."""
+    lines = table(spark, sf_dir, "lineitem")
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     start = F.lit(1705276800) + F.col("l_orderkey") % 960 * 60
     quantity = F.col("l_quantity").cast("bigint")
@@ -333,8 +328,9 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", _sequence()).alias("id"),
         F.struct(
             F.struct(
-                _numbered("trip_", F.col("l_orderkey")).alias("trip_id"),
+                _numbered("trip_", F.col("l_orderkey") % 5000).alias("trip_id"),
                 _numbered("route_K", line).alias("route_id"),
+                F.when(supp % 5 != 0, F.date_format(_day("l_orderkey"), "yyyyMMdd")).alias("start_date"),
                 F.when(cancelled, "CANCELED").alias("schedule_relationship"),
             ).alias("trip"),
             F.array(stop(supp % 10, 0, 0), stop(part % 10, 3000, 1)).alias("stop_time_update"),

@@ -48,10 +48,6 @@ DEFAULT_STATIONS = (
 )
 DEFAULT_CORRIDORS = (("Paris Nord", "Compiègne"),)
 
-# A service day may run past midnight; times of 72:00:00 and more are refused, so a
-# departure is at most this many days after its service day.
-OVERNIGHT_DAYS = 2
-
 STATIONS = T.StructType(
     [
         T.StructField("station_name", T.StringType(), False),
@@ -77,7 +73,16 @@ REALTIME_COLUMNS = (
     "siri_trip_status",
 )
 
-#: The trip table: one row per trip and service day, partitioned by service_date.
+#: Columns that only GTFS-RT fills.
+GTFS_RT_COLUMNS = (
+    "departure_gtfs_delay",
+    "arrival_gtfs_delay",
+    "trip_schedule_relationship",
+    "departure_schedule_relationship",
+    "arrival_schedule_relationship",
+)
+
+#: The trip table: one row per trip and service day.
 TRIPS = T.StructType(
     [
         T.StructField("trip_id", T.StringType()),
@@ -97,9 +102,16 @@ TRIPS = T.StructType(
         T.StructField("siri_trip_status", T.StringType()),
         T.StructField("created_at", T.TimestampNTZType()),
         T.StructField("siri_updated_at", T.TimestampNTZType()),
+        T.StructField("departure_gtfs_delay", T.LongType()),
+        T.StructField("arrival_gtfs_delay", T.LongType()),
+        T.StructField("trip_schedule_relationship", T.StringType()),
+        T.StructField("departure_schedule_relationship", T.StringType()),
+        T.StructField("arrival_schedule_relationship", T.StringType()),
         T.StructField("service_date", T.DateType()),
     ]
 )
+#: The day a trip departs, which may lie any number of days after its service day; kept by the stored table.
+DEPARTURE_DAY = T.StructField("departure_day", T.DateType())
 
 
 def _text(*names: str) -> T.StructType:
@@ -162,7 +174,8 @@ GTFS_RT_ENTITY = T.StructType(
             T.StructType(
                 [
                     T.StructField(
-                        "trip", _text("trip_id", "route_id", "schedule_relationship")
+                        "trip",
+                        _text("trip_id", "route_id", "start_date", "schedule_relationship"),
                     ),
                     T.StructField(
                         "stop_time_update",

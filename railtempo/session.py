@@ -45,3 +45,20 @@ def work_path(spark: SparkSession, name: str) -> str:
         _local_root = _local_root or tempfile.mkdtemp(prefix="railtempo-")
         root = _local_root
     return f"{root.rstrip('/')}/railtempo/{name}-{uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
+    return [entry.getPath().getName() for entry in listed]

@@ -1,15 +1,23 @@
-"""The trip table: Parquet, partitioned by service_date."""
+"""The trip table: Parquet, partitioned by service_date and departure_day.
+
+One writer at a time. What replaces days is staged whole beside the table and then swapped in; a swap that fails is
+done again, from the staged rows, before the next write.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from railtempo.operators.updates import apply_updates
+from railtempo.schema import DEPARTURE_DAY, TRIPS
+from railtempo.session import delete_path, path_exists, work_path
 
-from railtempo.operators.updates import apply_updates, touched_days
-from railtempo.schema import TRIPS
-from railtempo.session import work_path
+STORED = T.StructType([*TRIPS.fields, DEPARTURE_DAY])
 
 
 class DayAlreadyLoaded(ValueError):
@@ -17,7 +25,8 @@ class DayAlreadyLoaded(ValueError):
 
 
 def read_trip_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TRIPS).parquet(path)
+    """The columns of TRIPS and departure_day."""
+    return spark.read.schema(STORED).parquet(path)
 
 
 def write_days(trips: DataFrame, path: str, mode: str = "append") -> None:
@@ -27,11 +36,11 @@ def write_days(trips: DataFrame, path: str, mode: str = "append") -> None:
     one file, a day that holds much of the data is split over many tasks.
     """
     (
-        trips.select(*TRIPS.fieldNames())
-        .hint("rebalance", "service_date")
+        trips.select(*TRIPS.fieldNames(), F.to_date("departure_time_scheduled").alias(DEPARTURE_DAY.name))
+        .hint("rebalance", "service_date", DEPARTURE_DAY.name)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("service_date")
+        .partitionBy("service_date", DEPARTURE_DAY.name)
         .parquet(path)
     )
 
@@ -40,11 +49,23 @@ def day_is_loaded(trips: DataFrame, day: date) -> bool:
     return not trips.filter(F.col("service_date") == F.lit(day)).limit(1).isEmpty()
 
 
-def load_day(schedule: DataFrame, path: str, day: date, existing: DataFrame | None) -> None:
-    """Load one day's schedule; refuses a day that already has rows."""
-    if existing is not None and day_is_loaded(existing, day):
+def missing_days(spark: SparkSession, path: str, days: Iterable[date]) -> list[date]:
+    """Those of `days` for which the table has no rows; all if there is no table."""
+    wanted = sorted(set(days))
+    if not path_exists(spark, path):
+        return wanted
+    held = read_trip_table(spark, path).filter(F.col("service_date").isin(wanted))
+    found = {r.service_date for r in held.select("service_date").distinct().collect()}
+    return [d for d in wanted if d not in found]
+
+
+def load_day(schedule: DataFrame, path: str, day: date) -> None:
+    """Load one day's schedule; refuses a day that the table already has rows for."""
+    spark = schedule.sparkSession
+    recover(spark, path)
+    if not missing_days(spark, path, [day]):
         raise DayAlreadyLoaded(f"trip table already has rows for {day}")
-    write_days(schedule.filter(F.col("service_date") == F.lit(day)), path)
+    replace_days(schedule.filter(F.col("service_date") == F.lit(day)), path)
 
 
 def new_days(schedule: DataFrame, existing: DataFrame) -> DataFrame:
@@ -53,18 +74,42 @@ def new_days(schedule: DataFrame, existing: DataFrame) -> DataFrame:
     return schedule.join(loaded, "service_date", "left_anti")
 
 
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def replace_days(rows: DataFrame, path: str) -> None:
+    """Put `rows` in place of the partitions that they lie in."""
+    rows.write.mode("overwrite").parquet(_pending(path))
+    _swap(rows.sparkSession, path)
+
+
+def _swap(spark: SparkSession, path: str) -> None:
+    write_days(spark.read.schema(TRIPS).parquet(_pending(path)), path, mode="overwrite")
+    delete_path(spark, _pending(path))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """End a write that failed: rows that were staged whole are swapped in, others dropped."""
+    if path_exists(spark, f"{_pending(path)}/_SUCCESS"):
+        _swap(spark, path)
+    elif path_exists(spark, _pending(path)):
+        delete_path(spark, _pending(path))
+
+
 def upsert(spark: SparkSession, path: str, folded: DataFrame, keys: list[str]) -> None:
-    """Apply folded updates to the trip table, rewriting only the days they change.
+    """Apply folded updates to the trip table, rewriting only the departure days they are about.
 
-    The merged days are staged first and then swapped in: a failure while merging leaves the
-    table as it was, and one while swapping is repaired by running the upsert again.
+    A failure while merging leaves the table as it was; one while swapping is mended by the
+    next write, or by `recover`, from the merged rows.
     """
-    folded_path, staged_path = work_path(spark, "updates"), work_path(spark, "merged-days")
+    recover(spark, path)
+    folded_path = work_path(spark, "updates")
     folded.write.parquet(folded_path)
-    updates = spark.read.parquet(folded_path)
-    trips = read_trip_table(spark, path)
-    # One row per calendar day: as literals they prune partitions without another join.
-    days = [row.service_date for row in touched_days(trips, updates, keys).collect()]
-    changed = trips.filter(F.col("service_date").isin(days))
-    apply_updates(changed, updates, keys).write.parquet(staged_path)
-    write_days(spark.read.schema(TRIPS).parquet(staged_path), path, mode="overwrite")
+    updates = spark.read.schema(folded.schema).parquet(folded_path)
+    # One row per calendar day: as literals they select partitions without another join.
+    days = [r.departure_date for r in updates.select("departure_date").distinct().collect()]
+    if days:
+        changed = read_trip_table(spark, path).filter(F.col(DEPARTURE_DAY.name).isin(days))
+        replace_days(apply_updates(changed, updates, keys), path)
+    delete_path(spark, folded_path)

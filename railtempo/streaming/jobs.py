@@ -8,13 +8,14 @@ output and readers take the newest one.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from railtempo.operators.realtime import (
+    MATCH,
     build_updates,
     feed_log,
     fold_feed,
@@ -24,11 +25,16 @@ from railtempo.operators.realtime import (
 )
 from railtempo.operators.statistics import daily_counts
 from railtempo.operators.updates import SLOT
-from railtempo.schema import TRIPS
-from railtempo.sources.trip_table import day_is_loaded, read_trip_table, upsert, write_days
+from railtempo.schema import DEPARTURE_DAY
+from railtempo.session import delete_path, list_names, path_exists
+from railtempo.sources import siri
+from railtempo.sources.trip_table import STORED, missing_days, read_trip_table, recover, replace_days, upsert
 
 POLL = "2 minutes"
+#: How late a delivery may be, unless a job is told otherwise.
 LATE_LIMIT = "1 day"
+#: Departure days that a running fold keeps.
+KEEP_DAYS = 7
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -61,17 +67,15 @@ def update_stream(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
 # --- stateful streams ---------------------------------------------------------------------
 
 
-def first_deliveries(updates: DataFrame, keys: list[str], event_time: str) -> DataFrame:
-    """Drop repeated deliveries, and anything older than the watermark."""
-    return updates.withWatermark(event_time, LATE_LIMIT).dropDuplicatesWithinWatermark(keys)
-
+#: One poll of a journey; a later poll of the same journey is another delivery.
+POLLED = ["journey_ref", "polled_at"]
 
-def running_fold(journeys: DataFrame, stations: DataFrame) -> DataFrame:
-    """Latest known values per train, date and station, kept as state; run it in update mode.
 
-    The state does not depend on the schedule: `orient_fold` joins that afterwards.
-    """
-    return fold_log(feed_log(valid_journeys(journeys), stations))
+def first_deliveries(
+    updates: DataFrame, keys: list[str], event_time: str, late_limit: str = LATE_LIMIT
+) -> DataFrame:
+    """Drop repeated deliveries, and anything older than the watermark."""
+    return updates.withWatermark(event_time, late_limit).dropDuplicatesWithinWatermark(keys)
 
 
 def running_daily_delay(trips: DataFrame) -> DataFrame:
@@ -98,43 +102,107 @@ def newest_batch(spark: SparkSession, path: str) -> DataFrame:
     return batches.filter(F.col("batch") == last).drop("batch")
 
 
-def newest_per_key(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Result of an update-mode query: the last row written for each key."""
-    batches = spark.read.parquet(path)
-    values = [c for c in batches.columns if c not in (*keys, "batch")]
-    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("newest"))
-    return newest.select(*keys, "newest.*")
+def fold_batches(
+    spark: SparkSession,
+    path: str,
+    stations: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    keep_days: int = KEEP_DAYS,
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink: latest known values per train, date and station.
+
+    Each batch is folded by itself and laid over the result before it, so nothing grows with
+    the age of the stream: the result keeps `keep_days` departure days up to the newest one,
+    and of the folders only the last two stay. A batch that is run again starts from the
+    result before it. The fold does not depend on the schedule: `orient_fold` joins that.
+    """
+    keys = [*MATCH, "station"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = fold_log(feed_log(valid_journeys(prepare(batch)), stations))
+        before = [b for b in _folders(spark, path) if b < batch_id]
+        if before:
+            old = spark.read.parquet(f"{path}/batch={before[-1]}")
+            values = [c for c in old.columns if c not in (*keys, "n_updates")]
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
+            both = old.alias("o").join(new.alias("n"), same, "full")
+            counts = [F.coalesce(f"{side}.n_updates", F.lit(0)) for side in "on"]
+            new = both.select(
+                *[F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in (*keys, *values)],
+                (counts[0] + counts[1]).alias("n_updates"),
+            )
+        if keep_days:
+            newest = new.agg(F.max("departure_date")).scalar()
+            new = new.filter(F.col("departure_date") > F.date_sub(newest, keep_days))
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        for old_batch in before[:-1]:
+            delete_path(spark, f"{path}/batch={old_batch}")
+
+    return write
+
+
+def _folders(spark: SparkSession, path: str) -> list[int]:
+    """The finished batches below a path, in order."""
+    if not path_exists(spark, path):
+        return []
+    found = list_names(spark, path)
+    done = (n for n in found if n.startswith("batch=") and path_exists(spark, f"{path}/{n}/_SUCCESS"))
+    return sorted(int(n.removeprefix("batch=")) for n in done)
+
+
+def newest_fold(spark: SparkSession, path: str) -> DataFrame:
+    """Result of `fold_batches`: its last folder."""
+    return spark.read.parquet(f"{path}/batch={_folders(spark, path)[-1]}")
 
 
 def upsert_batches(
     spark: SparkSession,
     table: str,
-    schedule_of_day: Callable[[date], DataFrame],
-    day: date,
+    schedule_of_days: Callable[[list[date]], DataFrame],
     stations: DataFrame,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink: journeys into one day of the trip table.
+    """foreachBatch sink: journeys into the trip table, whatever days they are about.
 
-    If the table has no rows for `day`, its schedule is loaded first. Both steps give the
+    The days come from the batch. A train past midnight belongs to the service day before, so
+    the schedules of both days are loaded if the table has none of them. Both steps give the
     same table when a batch is run again. For XML snapshots pass `siri.number_rows` as
     `prepare`, so that journeys of one file keep their order.
     """
+    without_trips: set[date] = set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not _has_day(spark, table, day):
-            write_days(schedule_of_day(day), table, mode="overwrite")
-        trips = read_trip_table(spark, table).filter(F.col("service_date") == F.lit(day))
-        journeys = valid_journeys(prepare(batch))
+        recover(spark, table)
+        journeys = valid_journeys(prepare(batch)).filter(F.col("departure_date").isNotNull())
+        days = [r.departure_date for r in journeys.select("departure_date").distinct().collect()]
+        if not days:
+            return
+        concerned = {d - timedelta(days=back) for d in days for back in (0, 1)}
+        absent = missing_days(spark, table, concerned - without_trips)
+        if absent:
+            replace_days(schedule_of_days(absent).filter(F.col("service_date").isin(absent)), table)
+            without_trips.update(missing_days(spark, table, absent))
+        trips = read_trip_table(spark, table).filter(F.col(DEPARTURE_DAY.name).isin(days))
         upsert(spark, table, fold_feed(journeys, trips, stations), SLOT)
 
     return write
 
 
-def _has_day(spark: SparkSession, table: str, day: date) -> bool:
-    return day_is_loaded(read_trip_table(spark, table), day)
+def realtime_job(
+    spark: SparkSession,
+    snapshots: str,
+    table: str,
+    schedule_of_days: Callable[[list[date]], DataFrame],
+    stations: DataFrame,
+    max_files: int | None = None,
+) -> DataStreamWriter:
+    """The whole job, to be started: snapshot files in, what is polled in operating hours into the trip table."""
+    stream = siri.stream_journeys(spark, snapshots, max_files)
+    open_hours = operating_hours(stream, F.col("polled_at"))
+    sink = upsert_batches(spark, table, schedule_of_days, stations, siri.number_rows)
+    return open_hours.writeStream.foreachBatch(sink)
 
 
 def create_table(spark: SparkSession, table: str) -> None:
     """An empty trip table."""
-    spark.createDataFrame([], TRIPS).write.mode("ignore").parquet(table)
+    spark.createDataFrame([], STORED).write.mode("ignore").parquet(table)

@@ -1,0 +1,219 @@
+"""Rules that hold for whatever days trips and feeds are about."""
+
+from datetime import date, datetime, timedelta
+from unittest import mock
+
+import pytest
+from helpers import by, trip, trips
+from pyspark.sql import functions as F
+from test_realtime import A, B, call, entity, journey, snapshot, stations, valid
+
+from railtempo import schema
+from railtempo.functions.times import wall_clock
+from railtempo.operators import filters, gtfs_rt, realtime, updates
+from railtempo.schema import GTFS_RT_ENTITY, TRIPS
+from railtempo.sources import siri, trip_table
+from railtempo.streaming import jobs
+
+DAY = date(2024, 1, 15)
+
+
+def shifted(name, service, **other):
+    """A trip that departs on DAY and belongs to another service day, or to none."""
+    row = dict(zip(TRIPS.names, trip(name, str(DAY), headsign="847", **other)))
+    row["service_date"] = service
+    return tuple(row.values())
+
+
+@pytest.fixture
+def odd_days(spark):
+    return trips(spark, [shifted("far", date(2024, 1, 11)), shifted("near", DAY), shifted("none", None)])
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_filters_go_by_departure_alone(spark, odd_days, tmp_path, stored):
+    table = odd_days
+    if stored:
+        trip_table.write_days(odd_days, str(tmp_path / "t"))
+        table = trip_table.read_trip_table(spark, str(tmp_path / "t"))
+    for found in (filters.on_day(table, DAY), filters.date_filter(table, DAY), filters.date_filter(table, None, DAY)):
+        assert {r.trip_id for r in found.collect()} == {"far", "near", "none"}
+    assert filters.on_day(table, DAY - timedelta(days=1)).isEmpty()
+    assert tuple(filters.date_range(table).first()) == (DAY, DAY)
+
+
+def test_upsert_reaches_every_service_day(spark, odd_days, tmp_path):
+    path = str(tmp_path / "t")
+    trip_table.write_days(odd_days, path)
+    feed = snapshot(tmp_path / "feed", "1.xml", journey("847", day=str(DAY), estimated=call("Estimated", A, "2024-01-15T08:04:00+01:00")))
+    folded = realtime.fold_feed(valid(spark, feed), trip_table.read_trip_table(spark, path), stations(spark))
+    trip_table.upsert(spark, path, folded, updates.SLOT)
+    found = by(trip_table.read_trip_table(spark, path), "trip_id")
+    assert {k: r["siri_departure_time_real"] for k, r in found.items()} == dict.fromkeys(("far", "near", "none"), datetime(2024, 1, 15, 8, 4))
+
+
+def test_feed_selects_partitions(spark, odd_days, tmp_path):
+    path = str(tmp_path / "t")
+    trip_table.write_days(odd_days, path)
+    table = trip_table.read_trip_table(spark, path)
+    feed = valid(spark, snapshot(tmp_path / "feed", "1.xml", journey("847", day=str(DAY))))
+    for df in (
+        realtime.fold_feed(feed, table, stations(spark)),
+        realtime.journey_match(feed, table),
+        realtime.build_updates(feed, table, stations(spark)),
+        realtime.unmatched_journeys(feed, table),
+        realtime.feed_counters(feed, table, stations(spark)),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [part.split("PushedFilters")[0] for part in plan.split("PartitionFilters: ")[1:]]
+        assert any("departure_day" in scan for scan in scans)
+    assert realtime.feed_counters(feed, table, stations(spark)).first().trips_updated == 3
+
+
+def test_calls_without_a_stop_are_left_out(spark, tmp_path):
+    """Earlier calls of the journey stay; folding before the join gives what folding after it gives."""
+    lost = "<EstimatedCall><ExpectedDepartureTime>2024-01-15T08:30:00+01:00</ExpectedDepartureTime></EstimatedCall>"
+    calls = call("Estimated", A, "2024-01-15T08:04:00+01:00") + call("Estimated", B, None, "2024-01-15T09:07:00+01:00") + lost
+    feed = snapshot(tmp_path / "feed", "1.xml", journey("847", day=str(DAY), estimated=calls))
+    table = trips(spark, [trip("go", str(DAY), headsign="847")])
+    journeys = valid(spark, feed)
+    assert realtime.station_values(journeys, stations(spark)).count() == 2
+    folded = realtime.fold_feed(journeys, table, stations(spark))
+    row = folded.first()
+    assert (row.siri_departure_time_real, row.siri_arrival_time_real) == (datetime(2024, 1, 15, 8, 4), datetime(2024, 1, 15, 9, 7))
+    later = updates.fold_updates(realtime.build_updates(journeys, table, stations(spark)), updates.SLOT)
+    assert later.select(sorted(later.columns)).collect() == folded.select(sorted(folded.columns)).collect()
+
+
+def test_journey_without_a_time_has_that_of_its_file(spark, tmp_path):
+    import os
+
+    text = journey("847", day=str(DAY), estimated=call("Estimated", A, "2024-01-15T08:04:00+01:00"))
+    text = text.replace("<RecordedAtTime>2024-07-01T08:00:00+02:00</RecordedAtTime>", "")
+    feed = snapshot(tmp_path / "feed", "1.xml", text)
+    os.utime(tmp_path / "feed" / "1.xml", (1_705_302_000, 1_705_302_000))
+    folded = realtime.fold_feed(valid(spark, feed), trips(spark, [trip("go", str(DAY), headsign="847")]), stations(spark)).first()
+    assert (folded.siri_updated_at, folded.n_updates) == (datetime(2024, 1, 15, 8, 0), 1)
+
+
+def test_fold_counts_journeys_without_any_time(spark, tmp_path):
+    feed = snapshot(tmp_path / "feed", "1.xml", journey("847", day=str(DAY)), journey("847", day=str(DAY)))
+    journeys = valid(spark, feed).withColumn("polled_at", F.lit(None).cast("timestamp_ntz"))
+    table = trips(spark, [trip("go", str(DAY), headsign="847")])
+    folded = realtime.fold_feed(journeys, table, stations(spark))
+    later = updates.fold_updates(realtime.build_updates(journeys, table, stations(spark)), updates.SLOT)
+    assert folded.first().n_updates == 2
+    assert later.select(sorted(later.columns)).collect() == folded.select(sorted(folded.columns)).collect()
+
+
+def test_gtfs_rt_concerns_one_run_of_a_trip(spark, tmp_path):
+    stop_a, stop_b = (s[1] for s in schema.DEFAULT_STATIONS)
+    days = [DAY + timedelta(days=i) for i in range(3)]
+    path = str(tmp_path / "t")
+    trip_table.write_days(trips(spark, [trip("a", str(d)) for d in days]), path)
+    start = 1_705_302_000 + 300
+    rows = [
+        entity("a", [(stop_a, (start, 300), None, None), (stop_b, None, (start + 3600, 600), "SKIPPED")], None, "20240115"),
+        entity("a", [], "CANCELED", "20240117"),
+        entity("a", [(stop_a, (start + 86400, 60), None, None)], None, None),
+    ]
+    entities = gtfs_rt.entity_rows(spark.createDataFrame(rows, GTFS_RT_ENTITY)).withColumn("seq", F.monotonically_increasing_id())
+    table = trip_table.read_trip_table(spark, path)
+    assert gtfs_rt.trip_updates(entities, table, stations(spark)).count() == 3
+    assert gtfs_rt.known_trips(entities, table).count() == 3
+    folded = gtfs_rt.fold_trip_updates(entities, table, stations(spark))
+    trip_table.upsert(spark, path, gtfs_rt.as_update(folded, wall_clock(datetime(2024, 1, 15, 8, 1))), updates.TRIP)
+    found = by(trip_table.read_trip_table(spark, path), "service_date")
+    first, second, third = (found[d] for d in days)
+    assert first["siri_departure_time_real"] == datetime(2024, 1, 15, 8, 5)
+    assert (first["departure_gtfs_delay"], first["arrival_gtfs_delay"]) == (300, 600)
+    assert first["arrival_schedule_relationship"] == "SKIPPED"
+    assert second["siri_departure_time_real"] == datetime(2024, 1, 16, 8, 5) and second["arrival_gtfs_delay"] is None
+    assert third["trip_schedule_relationship"] == "CANCELED" and third["siri_departure_time_real"] is None
+
+
+def _updates(spark, day):
+    rows = [("847", day, A, B, datetime(2024, 1, 15, 8, 4))]
+    return spark.createDataFrame(rows, "trip_headsign string, departure_date date, departure_station_name string, arrival_station_name string, siri_departure_time_real timestamp_ntz")
+
+
+def test_failed_swap_is_mended(spark, odd_days, tmp_path):
+    path = str(tmp_path / "t")
+    trip_table.write_days(odd_days, path)
+
+    def lost(rows, where, mode="append"):
+        import shutil
+
+        shutil.rmtree(f"{path}/service_date=2024-01-15")
+        raise OSError("lost between removing and moving")
+
+    with mock.patch.object(trip_table, "write_days", lost), pytest.raises(OSError):
+        trip_table.upsert(spark, path, _updates(spark, DAY), updates.SLOT)
+    spark.catalog.refreshByPath(path)
+    assert trip_table.read_trip_table(spark, path).count() == 2
+    trip_table.recover(spark, path)
+    found = by(trip_table.read_trip_table(spark, path), "trip_id")
+    assert {r["siri_departure_time_real"] for r in found.values()} == {datetime(2024, 1, 15, 8, 4)} and len(found) == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_half_staged_rows_are_dropped(spark, odd_days, tmp_path):
+    path = str(tmp_path / "t")
+    trip_table.write_days(odd_days, path)
+    (tmp_path / "t.pending").mkdir()
+    (tmp_path / "t.pending" / "part-0").write_text("half")
+    trip_table.upsert(spark, path, _updates(spark, DAY), updates.SLOT)
+    assert trip_table.read_trip_table(spark, path).count() == 3
+
+
+def test_batches_leave_nothing_behind(spark, odd_days, tmp_path):
+    from railtempo.session import work_path
+
+    path = str(tmp_path / "t")
+    trip_table.write_days(odd_days, path)
+    work = __import__("pathlib").Path(work_path(spark, "x")).parent
+    before = set(work.glob("updates-*"))
+    for _ in range(10):
+        trip_table.upsert(spark, path, _updates(spark, DAY), updates.SLOT)
+    assert set(work.glob("updates-*")) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_job_runs_over_midnight(spark, tmp_path):
+    """Two days in the feed, a train past midnight, and a day without trips that is asked for once."""
+    late = dict(zip(TRIPS.names, trip("late", str(DAY), headsign="900", departure="23:50:00")))
+    late["departure_time_scheduled"], late["arrival_time_scheduled"] = datetime(2024, 1, 16, 0, 20), datetime(2024, 1, 16, 1, 20)
+    rows = trips(spark, [trip("one", str(DAY), headsign="847"), tuple(late.values()), trip("two", "2024-01-16", headsign="847")])
+    asked = []
+
+    def schedule_of_days(days):
+        asked.extend(days)
+        return rows
+
+    feed = tmp_path / "feed"
+    snapshot(feed, "1.xml", journey("847", day="2024-01-15", polled="2024-01-15T08:00:00+01:00", estimated=call("Estimated", A, "2024-01-15T08:04:00+01:00")))
+    snapshot(feed, "2.xml", journey("900", day="2024-01-16", polled="2024-01-16T00:21:00+01:00", estimated=call("Estimated", A, "2024-01-16T00:25:00+01:00")),
+             journey("847", day="2024-01-16", polled="2024-01-16T00:21:00+01:00", estimated=call("Estimated", A, "2024-01-16T08:09:00+01:00")))
+    snapshot(feed, "3.xml", journey("847", day="2024-01-16", polled="2024-01-16T03:00:00+01:00", estimated=call("Estimated", A, "2024-01-16T09:00:00+01:00")))
+    table = str(tmp_path / "t")
+    for _ in range(2):
+        job = jobs.realtime_job(spark, str(feed), table, schedule_of_days, stations(spark), max_files=1)
+        jobs.start(job, str(tmp_path / "progress"), available_now=True).awaitTermination()
+    found = by(trip_table.read_trip_table(spark, table), "trip_id")
+    assert {k: r["siri_departure_time_real"] for k, r in found.items()} == {
+        "one": datetime(2024, 1, 15, 8, 4),
+        "late": datetime(2024, 1, 16, 0, 25),
+        "two": datetime(2024, 1, 16, 8, 9),
+    }
+    assert sorted(asked) == [date(2024, 1, 14), date(2024, 1, 15), date(2024, 1, 16)]
+
+
+def test_fold_keeps_the_newest_days(spark, tmp_path):
+    out = str(tmp_path / "fold")
+    sink = jobs.fold_batches(spark, out, stations(spark), siri.number_rows, keep_days=2)
+    for i in range(4):
+        day = DAY + timedelta(days=i)
+        path = snapshot(tmp_path / f"feed{i}", "1.xml", journey("847", day=str(day), estimated=call("Estimated", A, f"{day}T08:04:00+01:00")))
+        sink(siri.read_journeys(spark, path), i)
+    kept = {r.departure_date for r in jobs.newest_fold(spark, out).collect()}
+    assert kept == {DAY + timedelta(days=2), DAY + timedelta(days=3)}

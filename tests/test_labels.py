@@ -42,6 +42,10 @@ def test_every_weekday_set(spark):
         ("2024-01-01T08:30:00+01:00", datetime(2024, 1, 1, 8, 30)),
         ("2024-01-01T08:30:00", datetime(2024, 1, 1, 8, 30)),
         ("2024-01-01T08:30", datetime(2024, 1, 1, 8, 30)),
+        ("2024-01-01t07:30:00z", datetime(2024, 1, 1, 8, 30)),
+        ("2024-01-01T08:00:00garbage", None),
+        ("2024-01-01T08:00:00 maybe", None),
+        ("2024", None),
         ("not a time", None),
         ("", None),
         (None, None),
@@ -82,10 +86,10 @@ def test_service_time(spark):
     ]
 
 
-def test_service_time_refuses_what_date_filters_cannot_prune(spark):
-    df = spark.createDataFrame([("72:00:00",)], "t string")
-    with pytest.raises(Exception, match="72:00:00"):
-        df.select(service_time(F.lit(date(2024, 1, 1)), F.col("t"))).collect()
+def test_service_time_has_no_last_hour(spark):
+    df = spark.createDataFrame([("75:00:00",), ("240:00:01",)], "t string")
+    found = [r[0] for r in df.select(service_time(F.lit(date(2024, 1, 1)), F.col("t"))).collect()]
+    assert found == [datetime(2024, 1, 4, 3), datetime(2024, 1, 11, 0, 0, 1)]
 
 
 def test_epoch_time(spark):

@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from railtempo.plans.queries import QUERIES
+from railtempo.plans.reference_sql import SQL
 
 SF_DIR = os.environ.get("RAILTEMPO_TESTDATA", "/root/testdata/sf0.01")
 TABLES = "events orders lineitem".split()
@@ -24,19 +26,20 @@ def checker():
 
 
 def test_same_keys():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, checker, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     found = Counter(tuple(r[c] for c in columns) for r in df.collect())
-    cursor = checker.execute(entry.oracle_sql()[name])
+    cursor = checker.execute(SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]

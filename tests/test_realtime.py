@@ -283,8 +283,8 @@ def test_apply_keeps_known_values(spark):
 # --- GTFS-RT ------------------------------------------------------------------------------
 
 
-def entity(trip_id, stops, relationship=None):
-    return (f"e_{trip_id}", ((trip_id, "route_K01", relationship), stops))
+def entity(trip_id, stops, relationship=None, start="20240101"):
+    return (f"e_{trip_id}", ((trip_id, "route_K01", start, relationship), stops))
 
 
 def test_gtfs_rt_updates(spark):

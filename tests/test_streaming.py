@@ -38,10 +38,11 @@ def test_running_fold_equals_batch(spark, tmp_path):
     path = polls(tmp_path / "feed")
     out = str(tmp_path / "fold")
     stream = siri.stream_journeys(spark, path, max_files=1)
-    folded = jobs.running_fold(stream, stations(spark))
-    run(folded.writeStream.foreachBatch(jobs.batches_to(out)).outputMode("update"), tmp_path / "progress")
-    assert spark.read.parquet(out).select("batch").distinct().count() == 3
-    newest = jobs.newest_per_key(spark, out, [*realtime.MATCH, "station"])
+    sink = jobs.fold_batches(spark, out, stations(spark), siri.number_rows)
+    run(stream.writeStream.foreachBatch(sink), tmp_path / "progress")
+    assert sorted(p.name for p in (tmp_path / "fold").iterdir()) == ["batch=1", "batch=2"]
+    sink(siri.read_journeys(spark, f"{path}/3.xml"), 2)
+    newest = jobs.newest_fold(spark, out)
     streamed = realtime.orient_fold(newest, schedule(spark), stations(spark))
     journeys = realtime.valid_journeys(siri.read_journeys(spark, path))
     batch = realtime.fold_feed(journeys, schedule(spark), stations(spark))
@@ -53,15 +54,14 @@ def test_feed_into_empty_table(spark, tmp_path):
     table = str(tmp_path / "trips")
     loads = []
 
-    def schedule_of_day(day):
-        loads.append(day)
-        return schedule(spark).filter(F.col("service_date") == F.lit(day))
+    def schedule_of_days(days):
+        loads.append(days)
+        return schedule(spark).filter(F.col("service_date").isin(days))
 
     jobs.create_table(spark, table)
-    sink = jobs.upsert_batches(spark, table, schedule_of_day, ON, stations(spark), siri.number_rows)
-    stream = siri.stream_journeys(spark, polls(tmp_path / "feed"), max_files=1)
-    run(stream.writeStream.foreachBatch(sink), tmp_path / "progress")
-    assert loads == [ON]
+    job = jobs.realtime_job(spark, polls(tmp_path / "feed"), table, schedule_of_days, stations(spark), max_files=1)
+    run(job, tmp_path / "progress")
+    assert loads == [[ON - timedelta(days=1), ON]]
     found = by(trip_table.read_trip_table(spark, table), "trip_id")
     assert set(found) == {"go", "go_twin", "back", "elsewhere"}
     assert found["go"]["siri_departure_time_real"] == datetime(2024, 7, 1, 8, 6)
@@ -72,8 +72,7 @@ def test_feed_into_empty_table(spark, tmp_path):
 def test_rerun_batch_changes_nothing(spark, tmp_path):
     table = str(tmp_path / "trips")
     jobs.create_table(spark, table)
-    day = schedule(spark).filter(F.col("service_date") == F.lit(ON))
-    sink = jobs.upsert_batches(spark, table, lambda d: day, ON, stations(spark))
+    sink = jobs.upsert_batches(spark, table, lambda days: schedule(spark), stations(spark))
     batch = siri.read_journeys(spark, polls(tmp_path / "feed"))
     results = []
     for _ in range(2):
