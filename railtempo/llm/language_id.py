@@ -68,10 +68,13 @@ class Samples:
         """At state * size + letter: twice the next state * size, odd where the phrase ended before the letter."""
         automaton = SuffixAutomaton()
         automaton.add(tokens)
-        root = np.zeros(self.size, np.int32)
+        # A letter that the sample lacks is a phrase of its own: the last state, which no phrase goes on from.
+        alone = len(automaton.next) * self.size * 2
+        root = np.full(self.size, alone, np.int32)
         for t, state in automaton.next[0].items():
             root[t] = state * self.size * 2
-        table = np.tile(root + 1, (len(automaton.next), 1))
+        table = np.tile(root + 1, (len(automaton.next) + 1, 1))
+        table[0] = root
         table[:, PAD] = 0
         for state, moves in enumerate(automaton.next):
             for t, there in moves.items():

@@ -167,13 +167,14 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     sizes = passed.groupBy("g").count().filter(F.col("count") >= LEAST_GROUP).select("g")
     fitted = fit(passed.unionByName(passed.withColumn("g", F.lit("")))).join(sizes.unionByName(sizes.sparkSession.range(1).select(F.lit("").alias("g"))), "g")
     fitted = cut(fitted)
-    pooled = fitted.filter("g = ''").select(F.col("centre").alias("c0"), F.col("inverse").alias("i0"), F.lit(1).alias("one"))
-    keyed = rows.withColumn("g", group).withColumn("x", vector()).join(fitted.filter("g <> ''"), "g", "left").withColumn("one", F.lit(1))
-    keyed = keyed.join(F.broadcast(pooled), "one", "left")
-    keyed = keyed.withColumn("centre", F.coalesce("centre", "c0")).withColumn("inverse", F.coalesce("inverse", "i0"))
+    pooled = fitted.filter("g = ''").first()
+    keyed = rows.withColumn("g", group).withColumn("x", vector()).join(fitted.filter("g <> ''"), "g", "left")
+    for c in ("centre", "inverse"):
+        values = F.array(*[F.lit(v) for v in pooled[c]]) if pooled else F.lit(None).cast("array<double>")
+        keyed = keyed.withColumn(c, F.coalesce(c, values))
     keyed = keyed.withColumn("distance", F.when(~F.col("base_failed"), distance()))
     keyed = keyed.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True)))
-    return keyed.drop("g", "x", "one", "centre", "inverse", "c0", "i0")
+    return keyed.drop("g", "x", "centre", "inverse")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

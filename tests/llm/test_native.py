@@ -1,0 +1,191 @@
+"""Operators that use Spark functions only: tool calls, decontamination, mixing."""
+
+import re
+from collections import Counter, defaultdict
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from railtempo.llm import decontaminate, mixing, tool_calls
+
+PYTHON = ("Python", "Arrow", "Pandas")
+
+
+def without_python(df):
+    plan = df._jdf.queryExecution().toString()
+    return not any(p in plan for p in PYTHON)
+
+
+def checked(spark, sf_dir, name):
+    import duckdb
+    from railtempo.llm.queries import QUERIES, SQL
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    df = QUERIES[name](spark, sf_dir)
+    assert without_python(df)
+    cursor = con.execute(SQL[name])
+    names = [d[0] for d in cursor.description]
+    assert sorted(names) == sorted(df.columns)
+    expected = Counter(cursor.fetchall())
+    assert Counter(tuple(r[c] for c in names) for r in df.collect()) == expected
+
+
+@pytest.mark.parametrize("name", ["op2_tool_calls", "op5_decontaminate"])
+def test_against_sql(spark, sf_dir, name):
+    checked(spark, sf_dir, name)
+
+
+# --- tool calls ---------------------------------------------------------------------------
+
+CALLS = "conv_id long, id string, parent string, seq long, name string, arguments string, extra int"
+RESULTS = "conv_id long, id string, call string, seq long, content string"
+SCHEMAS = "name string, parameter string, type string, required boolean"
+
+
+def formatted(spark, calls, results=(), schemas=(("f", "x", "integer", True), ("f", "y", "string", False))):
+    make = spark.createDataFrame
+    out = tool_calls.format_tool_calls(make(list(calls), CALLS), make(list(results), RESULTS), make(list(schemas), SCHEMAS))
+    return {(r.kind, r.id, r.seq): r for r in out.collect()}
+
+
+def test_calls_are_ordered_and_checked(spark):
+    calls = [
+        (1, "a", None, 0, "f", '{"y":"t", "x":1}', 0),
+        (1, "b", "a", 1, "f", '{"x":"1"}', 0),
+        (1, "c", "b", 2, "f", '{"y":null,"z":{"q":2,"p":[1,2.50]}}', 0),
+        (1, "d", "gone", 3, "g", "{}", 0),
+        (1, "e", "f", 4, "f", '{"x":1}', 0),
+        (1, "f", "e", 5, "f", "[1]", 0),
+        (1, "g", "f", 6, "f", None, 0),
+        (1, "h", "h", 7, "f", '{"x":1,"x":2}', 0),
+        (2, "i", None, 8, "f", '{"x":1}', 0),
+        (2, "i", "a", 9, "f", '{"x":1}', 0),
+        (2, None, None, 10, None, '{"x":1}', 0),
+    ]
+    found = formatted(spark, calls, [(1, "r", "b", 3, 'say "é"\n'), (1, "s", "b", 4, None), (1, "t", "zz", 5, ""), (1, "u", None, 6, "")])
+    by_id = {k: found["call", k, s] for _, k, _, s, *_ in calls for s in [s]}
+    assert [by_id[k].depth for k in "abcdefgh"] == [0, 1, 2, 0, None, None, None, None]
+    assert by_id["a"].valid and by_id["a"].line == '{"arguments":{"x":1,"y":"t"},"id":"a","name":"f","type":"call"}'
+    assert by_id["b"].errors == ["x: not integer"] and by_id["b"].n_results == 2
+    assert by_id["c"].errors == ["x: missing", "z: not in the schema"]
+    assert '"arguments":{"y":null,"z":{"p":[1,2.5],"q":2}}' in by_id["c"].line
+    assert by_id["d"].errors == ["no such tool", "parent: unknown"]
+    assert by_id["f"].errors == ["not a JSON object", "parent: cycle"] and '"raw":"[1]"' in by_id["f"].line
+    assert by_id["g"].errors == ["not a JSON object", "parent: cycle"]
+    assert "not a JSON object" in by_id["h"].errors and "parent: cycle" in by_id["h"].errors
+    assert by_id["e"].errors == ["parent: cycle"]
+    assert all(found["call", "i", s].errors == ["id: repeated"] for s in (8, 9))
+    assert found["call", None, 10].errors == ["no such tool", "id: missing"]
+    assert found["result", "r", 3].line == '{"call":"b","content":"say \\"é\\"\\n","id":"r","type":"result"}'
+    assert found["result", "r", 3].valid and found["result", "r", 3].depth == 1
+    assert not found["result", "t", 5].valid and not found["result", "u", 6].valid
+
+
+def test_long_chain_takes_few_rounds(spark):
+    calls = [(1, f"c{i}", f"c{i - 1}" if i else None, i, "f", '{"x":1}', 0) for i in range(300)]
+    found = formatted(spark, calls)
+    assert all(found["call", f"c{i}", i].depth == i for i in range(300))
+
+
+def test_no_calls(spark):
+    assert formatted(spark, []) == {}
+    assert not formatted(spark, [], [(1, "r", "x", 1, "")])["result", "r", 1].valid
+
+
+# --- decontamination ----------------------------------------------------------------------
+
+
+def brute_hits(docs, items, window=10):
+    def words(t):
+        low = re.sub("[A-Z]", lambda x: x[0].lower(), t or "")
+        return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+
+    windows = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        n = min(window, len(w))
+        for k in range(len(w) - n + 1) if n else ():
+            windows[tuple(w[k : k + n])].add("" if i is None else str(i))
+    out = []
+    for i, t in docs:
+        w, hit, found = words(t), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if (ids := windows.get(tuple(w[k : k + n]))) is not None:
+                    hit |= set(range(k, k + n))
+                    found |= ids
+        out.append((i, len(w), len(hit), sorted(found)))
+    return sorted(out, key=str)
+
+
+ITEMS = [(1, "One line that stands in many of these documents, over and over. ONE line"), (None, "ten words"), (3, None), (4, ""), (5, "-- !"), (6, "aaa aaa aaa aaa aaa aaa aaa aaa aaa aaa aaa"), (6, "no id"), (10, "no more than ten")]
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_hits(spark, edge_docs, edge_rows, block, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontaminate.benchmark_hits(edge_docs, items, block=block).select("doc_id", "n_words", decontaminate.covered(), "items")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_hits([r[:2] for r in edge_rows], ITEMS)
+
+
+def test_clean_documents_and_spans(spark, edge_docs, edge_rows, no_docs):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    hits = brute_hits([r[:2] for r in edge_rows], ITEMS)
+    clean = decontaminate.clean_documents(edge_docs, items)
+    assert clean.columns == edge_docs.columns and clean.count() == sum(not h[2] for h in hits)
+    cut = decontaminate.without_hit_words(edge_docs, items)
+    assert cut.columns == edge_docs.columns and cut.count() == len(edge_rows)
+    left = decontaminate.benchmark_hits(cut, items).agg(F.sum("n_words")).first()[0]
+    assert left == sum(h[1] - h[2] for h in hits)
+    assert decontaminate.benchmark_hits(no_docs, items).isEmpty() and decontaminate.clean_documents(no_docs, items).isEmpty()
+    nothing = items.filter("false")
+    assert decontaminate.clean_documents(edge_docs, nothing).count() == len(edge_rows)
+
+
+# --- mixing -------------------------------------------------------------------------------
+
+
+def test_op10_over_the_table(spark, sf_dir):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    df = mixing.op10_mixing(spark, sf_dir)
+    assert without_python(df)
+    rows = df.collect()
+    sizes = {i: len((r.text or "").encode().split()) for i, r in docs.items()}
+    targets = brute.mix_targets([(docs[i].source, n) for i, n in sizes.items()])
+    taken = Counter()
+    for r in rows:
+        size, target = targets[docs[r.doc_id].source]
+        assert (r["size"], r.source_size) == (sizes[r.doc_id], size) and r.target == pytest.approx(target)
+        assert 0 <= r.taken <= 2 * r["size"]
+        taken[docs[r.doc_id].source] += r.taken
+    for s, (_, target) in targets.items():
+        assert abs(taken[s] - target) <= max(n for i, n in sizes.items() if docs[i].source == s)
+    assert sorted(rows) == sorted(mixing.op10_mixing(spark, sf_dir).collect()) and len(rows) == len(docs)
+
+
+@pytest.mark.parametrize("block", [128, 4])
+def test_mixing_edge_rows(spark, edge_docs, edge_rows, block):
+    rows = mixing.mix(edge_docs, block=block).collect()
+    assert Counter((r.doc_id, r["size"]) for r in rows) == Counter((i, len((t or "").encode().split())) for i, t, *_ in edge_rows)
+    targets = brute.mix_targets([(r[3], len((r[1] or "").encode().split())) for r in edge_rows])
+    assert {r.source: (r.source_size, pytest.approx(r.target)) for r in rows} == targets
+    assert all(r.copies in (0, 1, 2) and r.taken == r.copies * r["size"] for r in rows)
+
+
+def test_mass_is_kept(spark):
+    """Rounding gives each block its mass of copies, up to one, and large sources their target closely."""
+    rows = [(i, "w " * (1 + i % 50), "a" if i % 3 else "b") for i in range(3000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for r in out.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("target"), F.sum("copies").alias("c"), F.first("source_size").alias("s"), F.count("*").alias("n")).collect():
+        assert r.t == pytest.approx(r.target, rel=0.01) and r.c == pytest.approx(r.target / r.s * r.n, abs=1.01)
+
+
+def test_mixing_nothing(spark, no_docs):
+    assert mixing.mix(no_docs).isEmpty()
+    empty = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
+    assert [(r.taken, r.target) for r in mixing.mix(empty).collect()] == [(0, 0.0)] * 2
