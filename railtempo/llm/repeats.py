@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railtempo.llm.common import flat, id_key, slices, staged, text_bytes, whole_groups
@@ -21,6 +21,9 @@ from railtempo.llm.winnow import BYTE, anchors, word_places
 DOC = ["id", "v"]
 SITE = "array<struct<at:int,h:long,n:long>>"
 CONTEXT = "h long, id long, v long, at int, lead int, ctx binary"
+CONTEXT_NAMES = ["h", "id", "v", "at", "lead", "ctx"]
+#: Ranges of windows by which groups too large for a task are refined.
+PARTS = 4
 SPAN = "id long, v long, begin int, end int"
 
 
@@ -31,7 +34,9 @@ class Measure:
     words: bool
     span: int
     gram: int
-    #: An anchor found more often than this is compared by window hashes, not in one task.
+    #: The groups of anchors found more often than this are refined before they are dealt out.
+    frequent: int
+    #: Anchors found more often than this aren't compared in one task at all, but by joins.
     hot: int
 
 
@@ -76,9 +81,18 @@ def joined(part: list[bytes] | bytes) -> bytes:
     return part if isinstance(part, bytes) else b" ".join(part)
 
 
+def ranges(m: Measure) -> list[tuple[int, int]]:
+    """Ranges of windows, first and last; windows are numbered by their first unit, from span - gram units before the anchor."""
+    edges = [(m.span - m.gram + 1) * i // PARTS for i in range(PARTS + 1)]
+    return [(a, b - 1) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+
+
 def cut_rows(m: Measure, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Contexts: what all windows around an anchor hold. hot: the single windows of the anchors found very often."""
-    back = m.span - m.gram
+    """Contexts: what all windows around an anchor hold. hot: those of the anchors that are found most often.
+
+    Frequent anchors are cut finer: by range of windows, grouped by what all windows of the range share.
+    """
+    back, parts = m.span - m.gram, ranges(m)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
@@ -87,22 +101,52 @@ def cut_rows(m: Measure, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 mine = [s for s in sites or () if (s["n"] > m.hot) == hot]
                 if not mine:
                     continue
-                units, seen = pieces(body, m), set()
+                units = pieces(body, m)
                 for s in mine:
-                    at = s["at"]
-                    begin, end = max(0, at - back), min(len(units), at + m.span)
-                    if not hot:
-                        out.append((s["h"], key, v, at, at - begin, joined(units[begin:end])))
+                    h, at = s["h"], s["at"]
+                    begin = max(0, at - back)
+                    if hot or s["n"] <= m.frequent:
+                        out.append((h, key, v, at, at - begin, joined(units[begin : at + m.span])))
                         continue
-                    for i in range(begin, end - m.span + 1):
-                        if i not in seen:
-                            seen.add(i)
-                            name = hashlib.blake2b(joined(units[i : i + m.span]), digest_size=16).digest()
-                            out.append((0, key, v, i, 0, name))
+                    zero = at - back
+                    for low, high in parts:
+                        first, last = max(low, begin - zero), min(high, len(units) - m.span - zero)
+                        if first <= last:
+                            shared = joined(units[zero + high : zero + low + m.span])
+                            name = hashlib.blake2b(b"%d %d " % (h, low) + shared, digest_size=8).digest()
+                            part = joined(units[zero + first : zero + last + m.span])
+                            out.append((int.from_bytes(name, "big", signed=True), key, v, at, back - first, part))
+                if len(out) >= 4096:
+                    yield context_batch(out)
+                    out = []
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                names = ("h", "id", "v", "at", "lead", "ctx")
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                yield context_batch(out)
+
+    return rows
+
+
+def context_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], CONTEXT_NAMES)
+
+
+def window_rows(m: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The single windows of contexts within a range: a hash of each (as ctx), and its place."""
+    back = m.span - m.gram
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 128):
+            out = []
+            for h, key, v, at, lead, text, low, high in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
+                units = text.split(b" ") if m.words else text
+                begin = back - lead
+                for x in range(max(low, begin), min(high, begin + len(units) - m.span) + 1):
+                    # With the group and the distance from the anchor, so that no window is its own equal.
+                    part = joined(units[x - begin : x - begin + m.span])
+                    name = hashlib.blake2b(b"%d %d " % (h, x) + part, digest_size=16).digest()
+                    out.append((h, key, v, at - back + x, 0, name))
+            if out:
+                yield context_batch(out)
 
     return rows
 
@@ -125,6 +169,55 @@ def sites_of(texts: DataFrame, m: Measure) -> tuple[DataFrame, bool]:
     return sites, not again.filter(F.col("n") > m.hot).isEmpty()
 
 
+def without_equal(contexts: DataFrame, m: Measure, later_only: bool) -> tuple[DataFrame, DataFrame]:
+    """Of contexts of very frequent anchors: one of each kind, for the comparison in tasks, and spans that are certain.
+
+    Equal contexts, as of a line that a text repeats over and over, are counted with partial sums before the shuffle.
+    Anchors with very many kinds of contexts, as of a short line that many documents have, aren't left to one task:
+    Spark refines their groups by what a few neighbouring windows share, and counts the single windows of what is left.
+    """
+    named = contexts.withColumn("w", F.unhex(F.md5(F.concat(F.col("lead").cast("string").cast("binary"), F.lit(b" "), "ctx"))))
+    first = F.min(F.struct(*DOC, "at", "lead")).alias("first")
+    kinds = staged(named.groupBy("h", "w").agg(F.count("*").alias("n"), first, F.max("ctx").alias("ctx")), "kinds")
+    length = F.size(F.split(F.col("ctx").cast("string"), " ")) if m.words else F.octet_length("ctx")
+    begin = F.col("at") - F.col("lead")
+    light = named.select("h", "w", *DOC, "at", begin.alias("begin"), (begin + length).alias("end"))
+    equal = light.join(kinds.filter("n > 1").select("h", "w", "first"), ["h", "w"]).filter(F.col("end") - F.col("begin") >= m.span)
+    if later_only:
+        equal = equal.filter(F.struct(*DOC, "at") != F.struct("first.id", "first.v", "first.at"))
+    sizes = kinds.groupBy("h").agg(F.count("*").alias("d"))
+    row = ["h", "first.id", "first.v", "first.at", "first.lead", "ctx"]
+    few = kinds.join(sizes.filter(F.col("d") <= m.hot), "h").select(*row)
+    many = kinds.join(sizes.filter(F.col("d") > m.hot).select("h"), "h")
+    keys = many.select("h", "w", F.explode(shared_parts(m)).alias("part"))
+    again = keys.groupBy("part").agg(F.count("*").alias("d")).filter("d > 1")
+    left = many.join(keys.join(again, "part"), ["h", "w"]).select(F.col("part.key").alias("h"), *row[1:], "part.low", "part.high", "d")
+    few = few.unionByName(left.filter(F.col("d") <= m.hot).select("h", *CONTEXT_NAMES[1:]))
+    windows = left.filter(F.col("d") > m.hot).drop("d").mapInArrow(window_rows(m), CONTEXT).select(*DOC, "at", F.col("ctx").alias("w"))
+    counted = windows.groupBy("w").agg(F.count("*").alias("n"), F.min(F.struct(*DOC, "at")).alias("first")).filter("n > 1")
+    again = windows.join(counted, "w")
+    if later_only:
+        again = again.filter(F.struct(*DOC, "at") != F.col("first"))
+    certain = equal.select(*DOC, "begin", "end")
+    return few, certain.unionByName(again.select(*DOC, F.col("at").alias("begin"), (F.col("at") + m.span).alias("end")))
+
+
+def shared_parts(m: Measure) -> Column:
+    """For each range of windows that a context has any of: the range, and a key of what all of it share."""
+    back = m.span - m.gram
+    units = F.split(F.col("ctx").cast("string"), " ") if m.words else F.col("ctx")
+    size = F.size(units) if m.words else F.octet_length("ctx")
+    begin = back - F.col("first.lead")
+    parts = []
+    for low, high in ranges(m):
+        at, n = F.lit(high + 1) - begin, F.lit(low + m.span - high)
+        shared = F.concat_ws(" ", F.slice(units, at, n)) if m.words else F.substring(units, at, n)
+        key = F.xxhash64("h", F.lit(low), shared)
+        has = (begin <= high) & (begin + size - m.span >= low) & (n > 0)
+        parts.append(F.when(has, F.struct(F.lit(low).alias("low"), F.lit(high).alias("high"), key.alias("key"))))
+    return F.filter(F.array(*parts), lambda x: x.isNotNull())
+
+
 def spans_of(texts: DataFrame, m: Measure, kernel: Callable, later_only: bool) -> DataFrame:
     """For each document with repeated windows, the spans they cover, and `whole`, true for a copy of a whole text.
 
@@ -136,21 +229,19 @@ def spans_of(texts: DataFrame, m: Measure, kernel: Callable, later_only: bool) -
     sites = sites.join(copies.filter(~F.col("is_first")), DOC, "left_anti")
     placed = texts.join(sites.hint("shuffle_hash"), DOC, "left")
     contexts = placed.mapInArrow(cut_rows(m, False), CONTEXT)
+    certain = None
+    if hot:
+        many = staged(placed.mapInArrow(cut_rows(m, True), CONTEXT), "contexts")
+        more, certain = without_equal(many, m, later_only)
+        contexts = contexts.unionByName(more)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "h", 8192):
             yield from kernel(table, m)
 
     spans = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(compared, SPAN)
-    if hot:
-        # Too many for one task: Spark counts the windows themselves, with partial sums before the shuffle.
-        windows = placed.mapInArrow(cut_rows(m, True), CONTEXT).select(*DOC, "at", F.col("ctx").alias("w"))
-        first = F.min(F.struct(*DOC, "at")).alias("first")
-        counted = windows.groupBy("w").agg(F.count("*").alias("n"), first).filter("n > 1")
-        more = windows.join(counted, "w")
-        if later_only:
-            more = more.filter(F.struct(*DOC, "at") != F.col("first"))
-        spans = spans.unionByName(more.select(*DOC, F.col("at").alias("begin"), (F.col("at") + m.span).alias("end")))
+    if certain is not None:
+        spans = spans.unionByName(certain)
     entire = copies.filter(~F.col("is_first")) if later_only else copies
     spans = spans.withColumn("whole", F.lit(False)).unionByName(
         entire.select(*DOC, F.lit(0).alias("begin"), F.lit(0).alias("end"), F.lit(True).alias("whole"))

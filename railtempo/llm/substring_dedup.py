@@ -22,7 +22,8 @@ from railtempo.llm.suffix_dedup import n_removed
 
 SPAN = 20
 GRAM = 8
-HOT = 4096
+FREQUENT = 1 << 17
+HOT = 1 << 17
 MADE = {"n_words", "kept", "removed", "spans"}
 
 
@@ -61,7 +62,7 @@ def compare(table: pa.Table, m: Measure) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["id", "v", "begin", "end"])
 
 
-def remove_earlier_passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove_earlier_passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM, frequent: int = FREQUENT, hot: int = HOT) -> DataFrame:
     """docs without text, and n_words, kept (binary: words left, joined by a space) and removed (array of begin, end in words).
 
     A word goes if a window of `span` words that covers it also starts earlier: in a smaller doc_id, or before in the
@@ -69,10 +70,29 @@ def remove_earlier_passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM,
     the same doc_id and text count as one document; a repeated doc_id with another text is another document, ordered by
     a hash of its text. Columns of docs that have the name of a result are replaced.
     """
-    m = Measure(words=True, span=span, gram=gram, hot=hot)
+    m = Measure(words=True, span=span, gram=gram, frequent=frequent, hot=hot)
     return without_repeats(docs, m, compare, True, MADE).withColumnRenamed("n_units", "n_words")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_earlier_passages(documents(spark, sf_dir))
     return done.select("doc_id", "n_words", n_removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+    SELECT rid, doc_id, i, md5(array_to_string(w[i : i + 19], ' ')) AS k FROM d, unnest(range(1, len(w) - 18)) AS t(i)
+), later AS (
+    SELECT rid, i FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, i) > 1
+), gone AS (
+    SELECT DISTINCT rid, p FROM later, unnest(range(i, i + 20)) AS t(p)
+), words AS (
+    SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d
+), left_over AS (
+    SELECT rid, string_agg(word, ' ' ORDER BY p) AS kept FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid
+), n AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (rid) LEFT JOIN left_over USING (rid)
+"""

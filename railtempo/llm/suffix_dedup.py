@@ -20,7 +20,8 @@ from railtempo.llm.repeats import Measure, without_repeats
 
 SPAN = 200
 GRAM = 32
-HOT = 32768
+FREQUENT = 1 << 17
+HOT = 1 << 17
 Q = 8
 MADE = {"n_bytes", "kept", "removed", "spans"}
 
@@ -99,7 +100,7 @@ def compare(table: pa.Table, m: Measure) -> Iterator[pa.RecordBatch]:
     )
 
 
-def remove_repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+def remove_repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM, frequent: int = FREQUENT, hot: int = HOT) -> DataFrame:
     """docs without text, and n_bytes, kept (binary: the bytes left) and removed (array of begin, end in bytes).
 
     A byte goes if a string of `span` bytes that covers it also starts at another place of any document, overlaps
@@ -107,7 +108,7 @@ def remove_repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM,
     other and both lose their text if it is long enough; a repeated doc_id with another text is another document.
     Columns of docs that have the name of a result are replaced. An empty table gives an empty result.
     """
-    m = Measure(words=False, span=span, gram=gram, hot=hot)
+    m = Measure(words=False, span=span, gram=gram, frequent=frequent, hot=hot)
     return without_repeats(docs, m, compare, False, MADE).withColumnRenamed("n_units", "n_bytes")
 
 
@@ -124,3 +125,28 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+OP1_SQL = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), win AS (
+    SELECT rid, i, md5(b[i : i + 199]) AS k FROM d, unnest(range(1, octet_length(b) - 198)) AS t(i)
+), again AS (
+    SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before
+    FROM win WHERE k IN (SELECT k FROM win GROUP BY k HAVING count(*) > 1)
+), numbered AS (
+    SELECT rid, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS run FROM again
+), runs AS (
+    SELECT rid, min(i) AS a, max(i) + 200 AS z FROM numbered GROUP BY rid, run
+), gaps AS (
+    SELECT rid, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 1) AS a, a AS z FROM runs
+    UNION ALL
+    SELECT rid, max(z), max(octet_length(b)) + 1 FROM runs JOIN d USING (rid) GROUP BY rid
+), kept AS (
+    SELECT rid, sha256(unhex(string_agg(hex(b[gaps.a : gaps.z - 1]), '' ORDER BY gaps.a))) AS sha FROM gaps JOIN d USING (rid) WHERE gaps.z > gaps.a GROUP BY rid
+), total AS (SELECT rid, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY rid)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    CASE WHEN n_removed IS NULL THEN sha256(b) ELSE coalesce(sha, sha256('')) END AS kept_sha256
+FROM d LEFT JOIN total USING (rid) LEFT JOIN kept USING (rid)
+"""
