@@ -52,7 +52,7 @@ STRAY, OWN, SLIP = 0.03, 0.8, 1e-4
 #: The scorer's training sample: at most so many documents that the weak labels hold for each class, of at most so many
 #: characters; the hashed features; passes over the sample; what a weight must be worth.
 SAMPLE_DOCS, SAMPLE_CHARS = 2000, 16000
-BUCKETS, PASSES, RATE, SPARSE = 1 << 40, 100, 0.3, 3e-4
+BUCKETS, PASSES, RATE, SPARSE = 1 << 40, 100, 0.3, 1e-4
 SHAPES, BINS, PREFIX = 7, 12, 4
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -183,8 +183,16 @@ def posterior(patterns: np.ndarray, share: np.ndarray, rate: np.ndarray) -> np.n
 class Scorer:
     """A linear scorer: hashed features of some worth, sorted, and their weights for each class."""
 
-    def __init__(self, rows: list[np.ndarray], labels: np.ndarray) -> None:
-        """rows: the distinct features of each text; labels: its posterior."""
+    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, share: np.ndarray | None = None) -> None:
+        """rows: the distinct features of each text; labels: its posterior; share: of the classes among all texts.
+
+        The sample has as many texts of each class as it can get, so the score of junk against clean is moved by what
+        the sample has too much of it; that of abuse isn't, as a miss is worse there.
+        """
+        self.shift = np.zeros(len(CLASSES))
+        if rows and share is not None:
+            more = np.log(np.maximum(share, 1e-6)) - np.log(np.maximum(labels.mean(0), 1e-6))
+            self.shift[JUNK] = min(0.0, more[JUNK] - more[CLEAN])
         self.features = np.zeros(0, np.int64)
         self.weights = np.zeros((0, len(CLASSES)))
         if rows:
@@ -221,7 +229,8 @@ class Scorer:
         size = len(self.features) + 1
         both = np.unique(doc[found] * size + at[found])
         doc, at = both // size, both % size
-        return softmax(np.stack([np.bincount(doc, self.weights[at, c], len(texts.n)) for c in range(len(CLASSES))], 1))
+        scores = np.stack([np.bincount(doc, self.weights[at, c], len(texts.n)) for c in range(len(CLASSES))], 1)
+        return softmax(scores + self.shift)
 
 
 def softmax(score: np.ndarray) -> np.ndarray:
@@ -254,7 +263,8 @@ def learn(docs: DataFrame, labels: DataFrame | None = None) -> Scorer:
     if not found:
         return Scorer([], np.zeros((0, len(CLASSES))))
     seen, counts = np.array([r.pattern for r in found]), np.array([r.n for r in found], float)
-    chances = posterior(seen, *expectation_maximisation(seen, counts))
+    share, rate = expectation_maximisation(seen, counts)
+    chances = posterior(seen, share, rate)
     best = {c: [int(p) for p, k in zip(seen, chances.argmax(1), strict=True) if k == c] for c in range(len(CLASSES))}
     which = F.when(F.col("pattern").isin(best[JUNK]), JUNK).when(F.col("pattern").isin(best[TOXIC]), TOXIC).otherwise(CLEAN)
     # Of equal texts with different labels the one of most labels counts.
@@ -272,7 +282,7 @@ def learn(docs: DataFrame, labels: DataFrame | None = None) -> Scorer:
     sample = named.select("name", "text").join(F.broadcast(names), "name", "left_semi").dropDuplicates(["name"])
     sample = {r.name: np.array(r.features, np.int64) for r in sample.mapInArrow(features, "name long, features array<long>").collect()}
     order = sorted((r for r in chosen if r.name in sample), key=lambda r: r.name)
-    return Scorer([sample[r.name] for r in order], chances[np.searchsorted(seen, [r.pattern for r in order])])
+    return Scorer([sample[r.name] for r in order], chances[np.searchsorted(seen, [r.pattern for r in order])], share)
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, scorer: Scorer | None = None) -> DataFrame:

@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_suffix_dedup": suffix_dedup.OP1_SQL,
     "op2_tool_calls": tool_calls.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
+    "op8_substring_dedup": substring_dedup.OP8_SQL,
 }
