@@ -20,8 +20,9 @@ from railtempo.llm.suffix_automaton import SuffixAutomaton
 
 #: The sample of a language: at most so many whole documents of at most so many characters, and so many letters.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 96, 4000, 32768
-#: Cells of a language's table; with a large alphabet fewer letters are kept.
-CELLS = 1 << 22
+#: Cells of a language's table and of all together, which every task holds; with a large alphabet, or very many
+#: languages, fewer letters of a sample are kept.
+CELLS, ALL_CELLS = 1 << 22, 1 << 25
 #: Letters that are parsed in one go; a phrase ends with its piece.
 PIECE = 256
 UNKNOWN = "und"
@@ -58,6 +59,7 @@ class Samples:
         self.codes[0] = GAP
         self.codes[alphabet] = np.arange(FIRST, self.size)
         self.langs = list(found)
+        cells = min(cells, ALL_CELLS // max(1, len(found)))
         self.tables, self.bits = [], []
         for points in found.values():
             points = points[: max(1, min(SAMPLE_LETTERS, cells // (2 * self.size)))]

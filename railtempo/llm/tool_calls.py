@@ -186,9 +186,9 @@ WITH RECURSIVE t AS (
     FROM t WHERE role = 'user' AND turn > 0
 ), tools(name, parameter, type, required) AS (VALUES {_TOOLS}),
 depth(id, depth) AS (
-    SELECT id, 0 FROM calls WHERE parent IS NULL OR parent NOT IN (SELECT id FROM calls)
+    SELECT id, 0::BIGINT FROM calls WHERE parent IS NULL OR parent NOT IN (SELECT id FROM calls)
     UNION ALL
-    SELECT calls.id, depth.depth + 1 FROM calls JOIN depth ON calls.parent = depth.id
+    SELECT calls.id, (depth.depth + 1)::BIGINT FROM calls JOIN depth ON calls.parent = depth.id
 ), checked AS (
     SELECT c.id, s.parameter, s.type, s.required, CASE WHEN json_valid(arguments) THEN json_type(arguments, '$.' || s.parameter) END AS kind
     FROM calls c JOIN tools s USING (name)
