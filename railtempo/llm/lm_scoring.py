@@ -207,6 +207,24 @@ def score_rows(shared: Broadcast):
     return rows
 
 
+def most_frequent(counts: DataFrame, head: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, `head` at most and the end, most frequent first: all words above one count.
+
+    The count comes from a table of some thousand bands of counts, so tasks send no more than the words that are kept.
+    """
+    band = F.floor(F.log2("n") * 64)
+    bands = counts.groupBy(band.alias("band")).agg(F.count("*").alias("k")).orderBy(F.desc("band")).collect()
+    least, held = None, 0
+    for r in bands:
+        held += r.k
+        if held > head:
+            break
+        least = r.band
+    end = F.col("word") == F.lit(END.encode())
+    kept = counts.filter(end if least is None else end | (band >= least)).collect()
+    return sorted(((bytes(r.word), r.n) for r in kept), key=lambda r: (-r[1], r[0]))
+
+
 def score(docs: DataFrame, training: Column, head: int = HEAD, steps: int = STEPS) -> DataFrame:
     """docs without text, with n_tokens, n_known, train_tokens, base_score and score (log10 probabilities of the text).
 
@@ -220,8 +238,7 @@ def score(docs: DataFrame, training: Column, head: int = HEAD, steps: int = STEP
     bodies = docs.filter(training).select(text_bytes().alias("body"))
     counts = staged(bodies.mapInArrow(count_rows, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(head).collect()]
-    v = vocabulary(top, total, distinct)
+    v = vocabulary(most_frequent(counts, head), total, distinct)
     shared = spark.sparkContext.broadcast(v)
     cells = bodies.mapInArrow(sequence_rows(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     cube = np.zeros(CLASSES**3, np.int64)
