@@ -174,16 +174,22 @@ def upsert_batches(
     def write(batch: DataFrame, batch_id: int) -> None:
         recover(spark, table)
         journeys = valid_journeys(prepare(batch)).filter(F.col("departure_date").isNotNull())
-        days = [r.departure_date for r in journeys.select("departure_date").distinct().collect()]
-        if not days:
-            return
+        journeys = journeys.persist()  # read for its days, and folded
+        try:
+            days = [r.departure_date for r in journeys.select("departure_date").distinct().collect()]
+            if days:
+                load(days)
+                trips = read_trip_table(spark, table).filter(F.col(DEPARTURE_DAY.name).isin(days))
+                upsert(spark, table, fold_feed(journeys, trips, stations), SLOT)
+        finally:
+            journeys.unpersist()
+
+    def load(days: list[date]) -> None:
         concerned = {d - timedelta(days=back) for d in days for back in (0, 1)}
         absent = missing_days(spark, table, concerned - without_trips)
         if absent:
             replace_days(schedule_of_days(absent).filter(F.col("service_date").isin(absent)), table)
             without_trips.update(missing_days(spark, table, absent))
-        trips = read_trip_table(spark, table).filter(F.col(DEPARTURE_DAY.name).isin(days))
-        upsert(spark, table, fold_feed(journeys, trips, stations), SLOT)
 
     return write
 
