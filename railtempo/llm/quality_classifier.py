@@ -51,9 +51,10 @@ PEOPLE = len(LABELLERS) - 3
 STRAY, OWN, SLIP = 0.03, 0.8, 1e-4
 #: The scorer's training sample: at most so many documents that the weak labels hold for each class, of at most so many
 #: characters; the hashed features; passes over the sample; what a weight must be worth.
-SAMPLE_DOCS, SAMPLE_CHARS = 2000, 16000
-BUCKETS, PASSES, RATE, SPARSE = 1 << 40, 100, 0.3, 1e-4
+SAMPLE_DOCS, SAMPLE_CHARS = 1500, 16000
+BUCKETS, PASSES, RATE, SPARSE = 1 << 40, 100, 0.3, 4e-4
 SHAPES, BINS, PREFIX = 7, 12, 4
+MOST_THIN = 1 << 30
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -196,7 +197,8 @@ class Scorer:
         self.features = np.zeros(0, np.int64)
         self.weights = np.zeros((0, len(CLASSES)))
         if rows:
-            self.train(np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), labels)
+            doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+            self.train(np.concatenate(rows), doc, labels)
         self.sieve = np.zeros(1 << 18, bool)
         self.sieve[self.features & (len(self.sieve) - 1)] = True
 
@@ -205,7 +207,8 @@ class Scorer:
         # Features that one text alone has teach nothing.
         known = times > 1
         some = known[column]
-        used, column, doc = used[known], (np.cumsum(known) - 1)[column[some]], doc[some]
+        used, column, doc = used[known], (np.cumsum(known) - 1).astype(np.int32)[column[some]], doc[some]
+        del feature, some
         w = np.zeros((len(used), len(CLASSES)))
         state = np.full(w.shape, 1e-6)
         for _ in range(PASSES):
@@ -267,22 +270,33 @@ def learn(docs: DataFrame, labels: DataFrame | None = None) -> Scorer:
     chances = posterior(seen, share, rate)
     best = {c: [int(p) for p, k in zip(seen, chances.argmax(1), strict=True) if k == c] for c in range(len(CLASSES))}
     which = F.when(F.col("pattern").isin(best[JUNK]), JUNK).when(F.col("pattern").isin(best[TOXIC]), TOXIC).otherwise(CLEAN)
+    # A hash thins out what is far more than the sample needs, so that no task ranks a whole class.
+    told = F.col("pattern") >= (1 << PEOPLE)
+    thin = F.lit(MOST_THIN)
+    for c in best:
+        for said in (False, True):
+            many = sum(n for p, n in zip(seen.tolist(), counts.tolist(), strict=True) if p in best[c] and (p >= 1 << PEOPLE) == said)
+            share = int(min(1.0, 4 * SAMPLE_DOCS / max(many, 1)) * MOST_THIN)
+            thin = F.when((which == c) & (told == said), share).otherwise(thin)
+    usable = rows.filter((F.col("size") <= SAMPLE_CHARS) & (F.pmod(F.xxhash64("name"), F.lit(MOST_THIN)) < thin))
     # Of equal texts with different labels the one of most labels counts.
-    usable = rows.filter(F.col("size") <= SAMPLE_CHARS).groupBy("name").agg(F.max("pattern").alias("pattern")).select("name", "pattern", which.alias("class"))
+    usable = usable.groupBy("name").agg(F.max("pattern").alias("pattern")).select("name", "pattern", which.alias("class"))
     rank = F.row_number().over(Window.partitionBy("class").orderBy((F.col("pattern") < (1 << PEOPLE)).cast("int"), "name"))
     chosen = usable.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).select("name", "pattern").collect()
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             doc, feature = Texts(body_of(batch)).features()
-            lists = [np.unique(feature[doc == i]) for i in range(batch.num_rows)]
-            yield pa.record_batch([batch.column("name"), pa.array(lists, pa.list_(pa.int64()))], ["name", "features"])
+            lists = [np.unique(feature[doc == i]).tobytes() for i in range(batch.num_rows)]
+            yield pa.record_batch([batch.column("name"), pa.array(lists, pa.binary())], ["name", "features"])
 
     names = spark.createDataFrame([(r.name,) for r in chosen], "name long")
     sample = named.select("name", "text").join(F.broadcast(names), "name", "left_semi").dropDuplicates(["name"])
-    sample = {r.name: np.array(r.features, np.int64) for r in sample.mapInArrow(features, "name long, features array<long>").collect()}
+    # As bytes: numbers as objects would take four times the driver's memory.
+    sample = {r.name: r.features for r in sample.mapInArrow(features, "name long, features binary").collect()}
     order = sorted((r for r in chosen if r.name in sample), key=lambda r: r.name)
-    return Scorer([sample[r.name] for r in order], chances[np.searchsorted(seen, [r.pattern for r in order])], share)
+    labels = chances[np.searchsorted(seen, [r.pattern for r in order])]
+    return Scorer([np.frombuffer(sample.pop(r.name), np.int64) for r in order], labels, share)
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, scorer: Scorer | None = None) -> DataFrame:
