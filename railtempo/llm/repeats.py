@@ -1,7 +1,7 @@
 """Finds the passages that need comparing across the corpus, and deals them out by content.
 
 Both repeat removers use it: texts are only ever compared around anchors (see winnow) that occur more than once.
-A document is known by its id key and a hash of its text, so repeated ids and missing ids do no harm.
+A document is known by its id key and a short hash of its text, so repeated ids and missing ids do no harm.
 """
 
 from __future__ import annotations
@@ -20,11 +20,9 @@ from railtempo.llm.winnow import BYTE, anchors, word_places
 
 DOC = ["id", "v"]
 SITE = "array<struct<at:int,h:long,n:long>>"
-CONTEXT = "h long, id long, v long, at int, lead int, ctx binary"
+CONTEXT = "h long, id long, v int, at int, lead int, ctx binary"
 CONTEXT_NAMES = ["h", "id", "v", "at", "lead", "ctx"]
-#: Ranges of windows by which groups too large for a task are refined.
-PARTS = 4
-SPAN = "id long, v long, begin int, end int"
+SPAN = "id long, v int, begin int, end int"
 
 
 @dataclass(frozen=True)
@@ -36,6 +34,8 @@ class Measure:
     gram: int
     #: The groups of anchors found more often than this are refined before they are dealt out.
     frequent: int
+    #: Into how many ranges of windows they are refined.
+    parts: int
     #: Anchors found more often than this aren't compared in one task at all, but by joins.
     hot: int
 
@@ -45,7 +45,7 @@ def whole_texts(docs: DataFrame, made: set[str]) -> DataFrame:
     others = [c for c in docs.columns if c.lower() not in made | {"text"}]
     return docs.select(
         id_key().alias("id"),
-        F.xxhash64("text").alias("v"),
+        F.hash("text").alias("v"),
         text_bytes().alias("body"),
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("others"),
     )
@@ -83,7 +83,7 @@ def joined(part: list[bytes] | bytes) -> bytes:
 
 def ranges(m: Measure) -> list[tuple[int, int]]:
     """Ranges of windows, first and last; windows are numbered by their first unit, from span - gram units before the anchor."""
-    edges = [(m.span - m.gram + 1) * i // PARTS for i in range(PARTS + 1)]
+    edges = [(m.span - m.gram + 1) * i // m.parts for i in range(m.parts + 1)]
     return [(a, b - 1) for a, b in zip(edges, edges[1:], strict=False) if a < b]
 
 
@@ -126,7 +126,7 @@ def cut_rows(m: Measure, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], CONTEXT_NAMES)
 
 
@@ -163,7 +163,7 @@ def sites_of(texts: DataFrame, m: Measure) -> tuple[DataFrame, bool]:
 
     Of whole copies only the first is looked at.
     """
-    found = staged(texts.select(*DOC, "body").mapInArrow(anchor_rows(m), "h long, id long, v long, at int"), "anchors")
+    found = staged(texts.select(*DOC, "body").mapInArrow(anchor_rows(m), "h long, id long, v int, at int"), "anchors")
     again = staged(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "anchors-again")
     sites = found.join(again, "h").groupBy(*DOC).agg(F.collect_list(F.struct("at", "h", "n")).alias("sites"))
     return sites, not again.filter(F.col("n") > m.hot).isEmpty()

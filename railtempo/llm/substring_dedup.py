@@ -21,12 +21,24 @@ from railtempo.llm.suffix_automaton import SuffixAutomaton
 from railtempo.llm.suffix_dedup import n_removed
 
 SPAN = 20
-GRAM = 8
-FREQUENT = 1 << 17
+GRAM = 4
+FREQUENT = 4096
 HOT = 1 << 17
+PARTS = 2
 MADE = {"n_words", "kept", "removed", "spans"}
 
 
+def runs_of(ends: list[int]) -> list[list[int]]:
+    """First and last of each run of numbers that follow each other."""
+    runs: list[list[int]] = []
+    for end in ends:
+        if runs and runs[-1][1] == end - 1:
+            runs[-1][1] = end
+        else:
+            runs.append([end, end])
+    return runs
+
+
 def compare(table: pa.Table, m: Measure) -> Iterator[pa.RecordBatch]:
     """Spans of the windows of whole anchor groups that occur earlier."""
     back = m.span - m.gram
@@ -53,12 +65,12 @@ def compare(table: pa.Table, m: Measure) -> Iterator[pa.RecordBatch]:
         tokens = [ids.setdefault(w, len(ids)) * width + i for i, w in enumerate(texts[row].split(b" "), back - lead)]
         if len(tokens) < m.span:
             continue
-        for i, n in enumerate(automaton.matching(tokens)):
-            if n >= m.span:
-                out.append((key, v, begin + i + 1 - m.span, begin + i + 1))
+        long = [i + 1 for i, n in enumerate(automaton.matching(tokens)) if n >= m.span]
+        for run in runs_of(long):
+            out.append((key, v, begin + run[0] - m.span, begin + run[1]))
         automaton.add(tokens)
     if out:
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["id", "v", "begin", "end"])
 
 
@@ -70,7 +82,7 @@ def remove_earlier_passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM,
     the same doc_id and text count as one document; a repeated doc_id with another text is another document, ordered by
     a hash of its text. Columns of docs that have the name of a result are replaced.
     """
-    m = Measure(words=True, span=span, gram=gram, frequent=frequent, hot=hot)
+    m = Measure(words=True, span=span, gram=gram, frequent=frequent, parts=PARTS, hot=hot)
     return without_repeats(docs, m, compare, True, MADE).withColumnRenamed("n_units", "n_words")
 
 

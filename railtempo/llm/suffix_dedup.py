@@ -22,6 +22,7 @@ SPAN = 200
 GRAM = 32
 FREQUENT = 1 << 17
 HOT = 1 << 17
+PARTS = 4
 Q = 8
 MADE = {"n_bytes", "kept", "removed", "spans"}
 
@@ -108,7 +109,7 @@ def remove_repeated_strings(docs: DataFrame, span: int = SPAN, gram: int = GRAM,
     other and both lose their text if it is long enough; a repeated doc_id with another text is another document.
     Columns of docs that have the name of a result are replaced. An empty table gives an empty result.
     """
-    m = Measure(words=False, span=span, gram=gram, frequent=frequent, hot=hot)
+    m = Measure(words=False, span=span, gram=gram, frequent=frequent, parts=PARTS, hot=hot)
     return without_repeats(docs, m, compare, False, MADE).withColumnRenamed("n_units", "n_bytes")
 
 
