@@ -39,6 +39,11 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items, in even partitions: turning one into a feed record costs much, and a file may be one split."""
+    return table(spark, sf_dir, "lineitem").hint("rebalance")
+
+
 def stations(spark: SparkSession) -> DataFrame:
     """The two stations of the main corridor."""
     return parameter_table(spark, STATION_ROWS[1:3], STATIONS)
@@ -297,12 +302,12 @@ def journeys_of(lines: DataFrame) -> DataFrame:
 
 
 def journeys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return journeys_of(table(spark, sf_dir, "lineitem"))
+    return journeys_of(lines(spark, sf_dir))
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded GTFS-RT entities, one per line item, for the trips of `runs`; some lack the start date."""
-    lines = table(spark, sf_dir, "lineitem")
+    items = lines(spark, sf_dir)
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     start = F.lit(1705276800) + F.col("l_orderkey") % 960 * 60
     quantity = F.col("l_quantity").cast("bigint")
@@ -324,7 +329,7 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(cancelled, "SKIPPED").alias("schedule_relationship"),
         )
 
-    return lines.select(
+    return items.select(
         F.concat_ws("-", "l_orderkey", _sequence()).alias("id"),
         F.struct(
             F.struct(

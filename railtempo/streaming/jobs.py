@@ -119,10 +119,13 @@ def fold_batches(
     keys = [*MATCH, "station"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = fold_log(feed_log(valid_journeys(prepare(batch)), stations))
+        journeys = valid_journeys(prepare(batch))
+        new = fold_log(feed_log(journeys, stations))
+        days = journeys.select("departure_date")
         before = [b for b in _folders(spark, path) if b < batch_id]
         if before:
             old = spark.read.parquet(f"{path}/batch={before[-1]}")
+            days = days.unionByName(old.select("departure_date"))
             values = [c for c in old.columns if c not in (*keys, "n_updates")]
             same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
             both = old.alias("o").join(new.alias("n"), same, "full")
@@ -132,7 +135,7 @@ def fold_batches(
                 (counts[0] + counts[1]).alias("n_updates"),
             )
         if keep_days:
-            newest = new.agg(F.max("departure_date")).scalar()
+            newest = days.agg(F.max("departure_date")).scalar()
             new = new.filter(F.col("departure_date") > F.date_sub(newest, keep_days))
         new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         for old_batch in before[:-1]:
