@@ -1,10 +1,15 @@
-"""LM scoring: a log-bilinear model, trained with noise-contrastive estimation, and an add-one unigram beside it.
-
-The model predicts the class of a token from the classes of the two before it: a class is a frequent word, or words of
-like frequency. A context's vectors are weighted and summed, and matrix products with the class vectors give the scores
-of all classes, normalised exactly; within a class a word has its add-one share. Class sequences are counted over the
-whole corpus, so training sees every training token; there are boundedly many of them. Word counts grow with the
-corpus: the most frequent words are broadcast, their number is fixed; tokens of all other words are joined.
+"""LM scoring: a log-bilinear model of words, and an add-one unigram beside it.
+
+The model predicts a token from the two before it. Every broadcast word has vectors of its own as a context, one for
+each place; they are summed. First comes the token's class (a frequent word, or words of like frequency), normalised
+over all classes, then the word among those of its class by the decisions of a binary tree, each of which has a vector.
+So the model is normalised exactly, and a word's probability follows its context. Words that aren't broadcast are one
+context and one class, in which each has its add-one share.
+
+It starts from a model of classes alone, trained with noise-contrastive estimation on draws from the counted class
+sequences. Then tasks go over every training token, in steps of many tokens; each begins at the start, and a vector
+becomes the mean of the tasks' vectors, weighted by how often they used it. Word counts grow with the corpus: the most
+frequent words are broadcast, their number is fixed; tokens of all other words are joined.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +34,10 @@ HEAD, ALONE = 1 << 17, 40
 CLASSES = 64
 RARE = CLASSES - 1
 DIM, STEPS, BATCH, NOISE, RATE, SEED = 24, 1500, 2048, 8, 0.1, 9
+#: Of the training over all tokens: tokens of a step, input partitions of a task, the rate, what squares begin with.
+CHUNK, MERGED, WORD_RATE, WORD_SQUARE = 1 << 13, 4, 0.1, 1.0
+#: A vector, its bias, and a 0 that makes the width even.
+WIDTH = DIM + 2
 #: Distinct words a task counts before it hands them on.
 FLUSH = 200_000
 
@@ -105,24 +115,25 @@ def class_lists(bodies: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndar
     return np.array(places, np.int64), np.array(sizes, np.int64), others
 
 
-def with_contexts(places: np.ndarray, sizes: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes two before, one before and at each token; before a text there are ends."""
-    kind = np.where(places < 0, RARE, v.kind[places])
+def with_contexts(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values two before and one before each token; before a text there are ends, which are 0."""
     first = np.cumsum(sizes) - sizes
-    one, two = np.roll(kind, 1), np.roll(kind, 2)
+    one, two = np.roll(values, 1), np.roll(values, 2)
     one[first] = 0
     two[first] = 0
     second = (first + 1)[sizes > 1]
     two[second] = 0
-    return two, one, kind
+    return two, one
 
 
 def sequence_rows(shared: Broadcast):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
         counts = np.zeros(CLASSES**3, np.int64)
         for batch in slices(batches):
-            places, sizes, _ = class_lists(batch.column("body").to_pylist(), shared.value)
-            two, one, kind = with_contexts(places, sizes, shared.value)
+            places, sizes, _ = class_lists(batch.column("body").to_pylist(), v)
+            kind = np.where(places < 0, RARE, v.kind[places])
+            two, one = with_contexts(kind, sizes)
             counts += np.bincount((two * CLASSES + one) * CLASSES + kind, minlength=CLASSES**3)
         some = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(some), pa.array(counts[some])], ["cell", "n"])
@@ -182,25 +193,206 @@ class LogBilinear:
         return (score / np.log(10)).reshape(CLASSES, CLASSES, CLASSES)
 
 
+def tree(weights: list[float]) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """A Huffman tree: for each leaf, then each decision, the decision above (-1 for none) and its side, 0 or 1; and for
+    each decision the log odds of 1.
+    """
+    heap = [(w, i) for i, w in enumerate(weights)]
+    heapify(heap)
+    above, side = np.full(2 * len(weights) - 1, -1), np.zeros(2 * len(weights) - 1, np.float32)
+    odds: list[float] = []
+    while len(heap) > 1:
+        low, a = heappop(heap)
+        high, b = heap[0]
+        above[a] = above[b] = len(odds)
+        side[b] = 1
+        heapreplace(heap, (low + high, len(weights) + len(odds)))
+        odds.append(float(np.log(high / low)))
+    return above, side, odds
+
+
+def sums(rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Of runs of rows, which begin at these places. Two columns are added as one complex number, which is faster."""
+    return np.add.reduceat(rows.view(np.complex64), begin).view(np.float32)
+
+
+class WordModel:
+    """All vectors in one table: contexts two before and one before (by place; the words that aren't broadcast come
+    last), classes, decisions. Column DIM is a bias; that of the contexts adds up to 1.
+    """
+
+    def __init__(self, v: Vocabulary, start: LogBilinear) -> None:
+        """At the start, words have the vectors of their classes, and the decisions give the add-one shares."""
+        self.kind = np.append(v.kind, RARE)
+        contexts = len(self.kind)
+        self.one, self.classes = contexts, 2 * contexts
+        found, nodes, sides, odds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], []
+        for k in range(ALONE, RARE):
+            words = np.flatnonzero(v.kind == k)
+            if not len(words):
+                continue
+            above, side, mine = tree((10 ** v.log_count[words]).tolist())
+            at, of = np.arange(len(words)), words
+            while (more := above[at] >= 0).any():
+                at, of = at[more], of[more]
+                found.append(of)
+                nodes.append(above[at] + len(odds))
+                sides.append(side[at])
+                at = above[at] + len(words)
+            odds += mine
+        word = np.concatenate(found)
+        order = np.argsort(word, kind="stable")
+        self.length = np.bincount(word, minlength=contexts)
+        self.first = np.cumsum(self.length) - self.length
+        self.nodes = (np.concatenate(nodes)[order] + self.classes + CLASSES).astype(np.int32)
+        self.sides = np.concatenate(sides)[order].astype(np.int8)
+        self.rows = np.zeros((self.classes + CLASSES + len(odds), WIDTH), np.float32)
+        for k, at in enumerate((0, self.one)):
+            self.rows[at : at + contexts, :DIM] = (start.context[k] * start.weight[k])[self.kind]
+        self.rows[self.one : self.classes, DIM] = 1
+        self.rows[self.classes : self.classes + CLASSES, : DIM + 1] = np.column_stack([start.target, start.bias])
+        self.rows[self.classes + CLASSES :, DIM] = odds
+
+    def paths(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens with decisions and where theirs begin; for all decisions their tokens and places."""
+        n = self.length[words]
+        some = np.flatnonzero(n)
+        begin = np.cumsum(n[some]) - n[some]
+        token = np.repeat(some, n[some])
+        return some, begin, token, np.arange(len(token)) + np.repeat(self.first[words[some]] - begin, n[some])
+
+    def log_probabilities(self, two: np.ndarray, one: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Natural logs, of words after two others; of the last word, which stands for many, its class's."""
+        out = np.zeros(len(words))
+        for at in range(0, len(words), CHUNK):
+            part = slice(at, at + CHUNK)
+            w = words[part]
+            hidden = self.rows.take(two[part], 0) + self.rows.take(one[part] + self.one, 0)
+            score = hidden @ self.rows[self.classes : self.classes + CLASSES].T
+            score -= score.max(1, keepdims=True)
+            done = score[np.arange(len(w)), self.kind[w]] - np.log(np.exp(score).sum(1))
+            some, begin, token, place = self.paths(w)
+            if len(some):
+                s = np.einsum("nd,nd->n", hidden.take(token, 0), self.rows.take(self.nodes[place], 0))
+                done[some] -= np.add.reduceat(np.logaddexp(0, np.where(self.sides[place] > 0, -s, s)), begin)
+            out[part] = done
+        return out
+
+
+class Training:
+    """A task's own vectors: gradient steps, scaled by each vector's squares so far."""
+
+    def __init__(self, model: WordModel) -> None:
+        self.model = model
+        self.rows = model.rows.copy()
+        self.squares = np.full(len(self.rows), WORD_SQUARE, np.float32)
+        self.used = np.zeros(len(self.rows), np.int64)
+
+    def step(self, two: np.ndarray, one: np.ndarray, words: np.ndarray) -> None:
+        m, rows = self.model, self.rows
+        of_classes = slice(m.classes, m.classes + CLASSES)
+        one = one + m.one
+        hidden = rows.take(two, 0) + rows.take(one, 0)
+        error = hidden @ rows[of_classes].T
+        error -= error.max(1, keepdims=True)
+        np.exp(error, out=error)
+        error /= -error.sum(1, keepdims=True)
+        error[np.arange(len(words)), m.kind[words]] += 1
+        pull = error @ rows[of_classes]
+        some, begin, token, place = m.paths(words)
+        ids, grads = [two, one], [pull, pull]
+        if len(some):
+            nodes = m.nodes[place]
+            vectors, before = rows.take(nodes, 0), hidden.take(token, 0)
+            s = np.einsum("nd,nd->n", before, vectors)
+            off = m.sides[place].astype(np.float32) - 1 / (1 + np.exp(-np.clip(s, -30, 30)))
+            vectors *= off[:, None]
+            before *= off[:, None]
+            pull[some] += sums(vectors, begin)
+            ids.append(nodes)
+            grads.append(before)
+        pull[:, DIM] = 0
+        self.move(np.arange(m.classes, m.classes + CLASSES), error.T @ hidden, np.full(CLASSES, len(words)))
+        every = np.concatenate(ids)
+        order = np.argsort(every)
+        every = every[order]
+        begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        self.move(every[begin], sums(np.concatenate(grads).take(order, 0), begin), np.diff(np.append(begin, len(every))))
+
+    def move(self, ids: np.ndarray, grads: np.ndarray, times: np.ndarray) -> None:
+        self.used[ids] += times
+        self.squares[ids] += np.einsum("nd,nd->n", grads, grads) / WIDTH
+        self.rows[ids] += grads * (WORD_RATE / np.sqrt(self.squares[ids]))[:, None]
+
+
+#: Vectors go in blocks of neighbours: their places, how often each was used, and how far it moved.
+BLOCK, BLOCKS = 1 << 10, "block long, ids binary, n binary, moved binary"
+
+
+def vector_rows(shared: Broadcast):
+    """The vectors that a task used, after its steps, and how often it did."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, model = shared.value
+        own = Training(model)
+        for batch in slices(batches, 256):
+            places, sizes, _ = class_lists(batch.column("body").to_pylist(), v)
+            words = np.where(places < 0, len(v.kind), places)
+            two, one = with_contexts(words, sizes)
+            for at in range(0, len(words), CHUNK):
+                own.step(*[x[at : at + CHUNK] for x in (two, one, words)])
+        used = np.flatnonzero(own.used)
+        for ids in np.split(used, np.flatnonzero(np.diff(used // BLOCK)) + 1) if len(used) else ():
+            moved = (own.rows[ids] - model.rows[ids]).astype(np.float16)
+            row = [int(ids[0]) // BLOCK, ids.tobytes(), own.used[ids].tobytes(), moved.tobytes()]
+            yield pa.record_batch([pa.array([x]) for x in row], ["block", "ids", "n", "moved"])
+
+    return rows
+
+
+def block_means(blocks: pa.Table) -> pa.Table:
+    """Of all tasks' rows of a block one, with the means; n is then for all."""
+    total, times = np.zeros((BLOCK, WIDTH)), np.zeros(BLOCK, np.int64)
+    for r in blocks.to_pylist():
+        at, n = np.frombuffer(r["ids"], np.int64) % BLOCK, np.frombuffer(r["n"], np.int64)
+        total[at] += np.frombuffer(r["moved"], np.float16).reshape(-1, WIDTH) * n[:, None].astype(float)
+        times[at] += n
+    some = np.flatnonzero(times)
+    block = blocks.column("block")[0].as_py()
+    row = [block, (some + block * BLOCK).tobytes(), times[some].tobytes(), (total[some] / times[some, None]).astype(np.float32).tobytes()]
+    return pa.table([pa.array([x]) for x in row], ["block", "ids", "n", "moved"])
+
+
+def train(bodies: DataFrame, v: Vocabulary, model: WordModel) -> None:
+    """Moves the model's vectors by the means over tasks, which go over all tokens of bodies."""
+    spark = bodies.sparkSession
+    shared = spark.sparkContext.broadcast((v, model))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-bodies.rdd.getNumPartitions() // MERGED))
+    blocks = bodies.coalesce(tasks).mapInArrow(vector_rows(shared), BLOCKS).groupBy("block").applyInArrow(block_means, BLOCKS)
+    for r in blocks.select("ids", "moved").collect():
+        model.rows[np.frombuffer(r.ids, np.int64)] += np.frombuffer(r.moved, np.float32).reshape(-1, WIDTH)
+    shared.destroy()
+
+
 def score_rows(shared: Broadcast):
     """For each text its tokens, and of those that are broadcast the known ones and the sums of both models' logs."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, table = shared.value
-        share = v.log_share()
+        v, model = shared.value
+        rare = v.log_share()[RARE]
         for batch in slices(batches, 256):
             places, sizes, others = class_lists(batch.column("body").to_pylist(), v)
-            two, one, kind = with_contexts(places, sizes, v)
             first = np.cumsum(sizes) - sizes
             there = places >= 0
             log_count = np.where(there, v.log_count[places], 0.0)
-            model = table[two, one, kind] - share[kind] + log_count
+            words = np.where(there, places, len(v.kind))
+            modelled = model.log_probabilities(*with_contexts(words, sizes), words) / np.log(10) - np.where(there, 0.0, rare)
             left = np.concatenate([[0], np.cumsum(~there)])
             ends = np.append(first, len(places))
             words = pa.ListArray.from_arrays(pa.array(left[ends].astype(np.int32)), pa.array(others, pa.binary()))
-            sums = [np.add.reduceat(x, first) if len(first) else x for x in (there & (log_count > 0), log_count, model)]
+            added = [np.add.reduceat(x, first) if len(first) else x for x in (there & (log_count > 0), log_count, modelled)]
             yield pa.record_batch(
-                [batch.column("others"), pa.array(sizes), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), words],
+                [batch.column("others"), pa.array(sizes), pa.array(added[0].astype(np.int64)), pa.array(added[1]), pa.array(added[2]), words],
                 ["others", "n_tokens", "n_known", "counts", "model", "words"],
             )
 
@@ -244,8 +436,11 @@ def score(docs: DataFrame, training: Column, head: int = HEAD, steps: int = STEP
     cube = np.zeros(CLASSES**3, np.int64)
     for r in cells:
         cube[r.cell] = r.n
-    table = LogBilinear(cube, steps).log_probabilities()
-    both = spark.sparkContext.broadcast((v, table))
+    shared.destroy()
+    model = WordModel(v, LogBilinear(cube, steps))
+    if total:
+        train(bodies, v, model)
+    both = spark.sparkContext.broadcast((v, model))
     kind = rows.schema["others"].dataType.simpleString()
     kind = f"others {kind}, n_tokens long, n_known long, counts double, model double, words array<binary>"
     scored = staged(rows.mapInArrow(score_rows(both), kind), "lm-scores")

@@ -229,3 +229,34 @@ def test_model_is_normalised_and_learns():
         if v.words[k]:
             assert shares[v.kind == k].sum() == pytest.approx(1)
     assert 10 ** -v.log_share()[lm_scoring.RARE] * (20 + 10 + 1) == pytest.approx(1)
+
+
+def test_every_broadcast_word_is_a_context_of_its_own(spark):
+    """300 words of one frequency, each followed by one other: the word that follows is known, any other is not."""
+    rng = np.random.default_rng(5)
+    pairs = [(f"a{i}", f"b{i}") for i in range(150)]
+    rows = [" ".join(" ".join(pairs[k]) for k in rng.integers(0, 150, 40)) for _ in range(1500)]
+    asked = [" ".join(p) for p in pairs] + [f"a{i} b{(i + 1) % 150}" for i in range(150)]
+    docs = spark.createDataFrame([(i, t, i < 1500) for i, t in enumerate(rows + asked)], "doc_id long, text string, learn boolean")
+    found = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("learn"), steps=50).collect()}
+    right, wrong = (sum(found[1500 + i] for i in range(k, k + 150)) / 150 for k in (0, 150))
+    assert right > wrong + 1
+
+
+def test_word_model_is_normalised():
+    rng = np.random.default_rng(6)
+    words = sorted(((f"w{i}".encode(), int(n)) for i, n in enumerate(rng.integers(1, 90, 300))), key=lambda r: -r[1])
+    v = lm_scoring.vocabulary([(lm_scoring.END.encode(), 7), *words], 20_000, 400)
+    counts = rng.integers(0, 5, lm_scoring.CLASSES**3)
+    model = lm_scoring.WordModel(v, lm_scoring.LogBilinear(counts, 5))
+    every = np.arange(len(v.kind) + 1)
+    shares = model.log_probabilities(every * 0 + 3, every * 0 + 60, every)[:-1] / np.log(10)
+    for k in range(lm_scoring.ALONE, lm_scoring.RARE):
+        mine = shares[v.kind == k] - (v.log_count - v.log_share()[v.kind])[v.kind == k]
+        assert mine == pytest.approx(np.full(len(mine), mine[0]), abs=1e-4)
+    model.rows[:] += rng.normal(0, 0.2, model.rows.shape)
+    known = np.unique(model.kind)
+    hidden = model.rows[3] + model.rows[60 + model.one]
+    score = np.exp(model.rows[model.classes : model.classes + lm_scoring.CLASSES] @ hidden)
+    left = score[known].sum() / score.sum()
+    assert np.exp(model.log_probabilities(every * 0 + 3, every * 0 + 60, every)).sum() == pytest.approx(left, rel=1e-4)
