@@ -1,7 +1,8 @@
 """Language ID by cross-parsing: a text is cut into the longest phrases that a language's sample holds.
 
 The language whose sample needs fewest phrases, normalised by the size of the sample, wins. Each language's sample is a
-suffix automaton, held as a dense table, so that numpy follows a great many pieces of text at once.
+suffix automaton over its own letters, held as a dense table or, where that is large, as a hash table with the same
+content, so that numpy follows a great many pieces of text at once.
 """
 
 from __future__ import annotations
@@ -18,10 +19,9 @@ from pyspark.sql import functions as F
 from railtempo.llm.common import documents, id_bucket, slices
 from railtempo.llm.suffix_automaton import SuffixAutomaton
 
-#: The sample of a language: at most so many whole documents of at most so many characters, and so many letters.
+#: The sample of a language: at most so many documents, of longer ones a piece of so many characters, and so many letters.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 96, 4000, 32768
-#: Cells of a language's table and of all together, which every task holds; with a large alphabet, or very many
-#: languages, fewer letters of a sample are kept.
+#: Cells of a language's dense table and of all together, which every task holds; the others are hash tables.
 CELLS, ALL_CELLS = 1 << 22, 1 << 25
 #: Letters that are parsed in one go; a phrase ends with its piece.
 PIECE = 256
@@ -47,42 +47,105 @@ def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return low[keep], np.bincount(doc[keep], minlength=len(texts))
 
 
+class Dense:
+    """An automaton's moves: at state * size + letter twice the next state * size, odd where the phrase ended before."""
+
+    def __init__(self, automaton: SuffixAutomaton, size: int) -> None:
+        # A letter that the sample lacks is a phrase of its own: the last state, which no phrase goes on from.
+        alone = len(automaton.next) * size * 2
+        root = np.full(size, alone, np.int32)
+        for t, state in automaton.next[0].items():
+            root[t] = state * size * 2
+        table = np.tile(root + 1, (len(automaton.next) + 1, 1))
+        table[0] = root
+        table[:, PAD] = 0
+        for state, moves in enumerate(automaton.next):
+            for t, there in moves.items():
+                table[state, t] = there * size * 2
+        self.table = table.ravel()
+
+    def phrases(self, pieces: np.ndarray) -> np.ndarray:
+        """Phrases of each column."""
+        state = np.zeros(pieces.shape[1], np.int32)
+        ends = np.ones(pieces.shape[1], np.int32)
+        for row in pieces:
+            state += row
+            np.take(self.table, state, out=state, mode="clip")
+            ends += state & 1
+            state >>= 1
+        return ends
+
+
+class Sparse:
+    """The same moves in a hash table, at most a quarter full, with steps to the next place."""
+
+    def __init__(self, automaton: SuffixAutomaton, size: int) -> None:
+        alone = len(automaton.next)
+        self.size = size
+        self.root = np.full(size, alone, np.int64)
+        self.root[PAD] = 0
+        for t, state in automaton.next[0].items():
+            self.root[t] = state
+        moves = [(state * size + t, there) for state, own in enumerate(automaton.next) for t, there in own.items()]
+        bits = max(4, (4 * len(moves)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.next = np.full(1 << bits, -1), np.zeros(1 << bits, np.int32)
+        keys, there = np.array(moves, np.int64).reshape(-1, 2).T
+        at = self.place(keys)
+        while len(keys):
+            some = np.flatnonzero(self.keys[at] < 0)
+            self.keys[at[some]], self.next[at[some]] = keys[some], there[some]
+            left = self.keys[at] != keys
+            keys, there, at = keys[left], there[left], (at[left] + 1) & self.mask
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def phrases(self, pieces: np.ndarray) -> np.ndarray:
+        """Phrases of each column."""
+        state = np.zeros(pieces.shape[1], np.int64)
+        ends = np.ones(pieces.shape[1], np.int32)
+        for row in pieces:
+            key = state * self.size + row
+            at = self.place(key)
+            held = self.keys[at]
+            while len(more := np.flatnonzero((held != key) & (held >= 0))):
+                at[more] = (at[more] + 1) & self.mask
+                held[more] = self.keys[at[more]]
+            found = held == key
+            ends += ~found & (state > 0) & (row != PAD)
+            state = np.where(found, self.next[at], self.root[row])
+        return ends
+
+
 class Samples:
-    """Tables of the languages' automata, in the order of their names."""
+    """The languages' automata, in the order of their names. A sample depends on its own language's texts only."""
 
-    def __init__(self, texts: dict[str, list[str]], cells: int = CELLS) -> None:
+    def __init__(self, texts: dict[str, list[str]], cells: int = CELLS, all_cells: int = ALL_CELLS) -> None:
         found = {lang: letters(texts[lang])[0] for lang in sorted(texts)}
-        found = {lang: points for lang, points in found.items() if points.any()}
+        found = {lang: points[:SAMPLE_LETTERS] for lang, points in found.items() if points.any()}
         alphabet = np.unique(np.concatenate([*found.values(), [0]]))[1:]
-        self.size = len(alphabet) + FIRST
         self.codes = np.full(0x110000, FOREIGN, np.int32)
         self.codes[0] = GAP
-        self.codes[alphabet] = np.arange(FIRST, self.size)
+        self.codes[alphabet] = np.arange(FIRST, len(alphabet) + FIRST)
         self.langs = list(found)
-        cells = min(cells, ALL_CELLS // max(1, len(found)))
-        self.tables, self.bits = [], []
+        #: For each language the codes of its own letters by the codes of all, and its moves.
+        self.own, self.tables, self.bits = [], [], []
         for points in found.values():
-            points = points[: max(1, min(SAMPLE_LETTERS, cells // (2 * self.size)))]
-            self.tables.append(self.table(self.codes[points].tolist()))
+            codes = np.unique(self.codes[points[points > 0]])
+            own = np.full(len(alphabet) + FIRST, FOREIGN, np.int32)
+            own[[PAD, GAP]] = PAD, GAP
+            own[codes] = np.arange(FIRST, len(codes) + FIRST)
+            automaton = SuffixAutomaton()
+            automaton.add(own[self.codes[points]].tolist())
+            size = len(codes) + FIRST
+            need = (len(automaton.next) + 1) * size
+            dense = need <= min(cells, all_cells)
+            all_cells -= need if dense else 0
+            self.own.append(own)
+            self.tables.append((Dense if dense else Sparse)(automaton, size))
             self.bits.append(float(np.log2(len(points) + 1)))
 
-    def table(self, tokens: list[int]) -> np.ndarray:
-        """At state * size + letter: twice the next state * size, odd where the phrase ended before the letter."""
-        automaton = SuffixAutomaton()
-        automaton.add(tokens)
-        # A letter that the sample lacks is a phrase of its own: the last state, which no phrase goes on from.
-        alone = len(automaton.next) * self.size * 2
-        root = np.full(self.size, alone, np.int32)
-        for t, state in automaton.next[0].items():
-            root[t] = state * self.size * 2
-        table = np.tile(root + 1, (len(automaton.next) + 1, 1))
-        table[0] = root
-        table[:, PAD] = 0
-        for state, moves in enumerate(automaton.next):
-            for t, there in moves.items():
-                table[state, t] = there * self.size * 2
-        return table.ravel()
-
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases that each text needs, a column for each language, and its letters."""
         low, count = letters(texts)
@@ -94,14 +157,7 @@ class Samples:
         out = np.zeros((len(texts), len(self.langs)))
         some = np.flatnonzero(lanes)
         for k, table in enumerate(self.tables if len(some) else ()):
-            state = np.zeros(pieces.shape[1], np.int32)
-            ends = np.ones(pieces.shape[1], np.int32)
-            for row in pieces:
-                state += row
-                np.take(table, state, out=state, mode="clip")
-                ends += state & 1
-                state >>= 1
-            out[some, k] = np.add.reduceat(ends, first[some])
+            out[some, k] = np.add.reduceat(table.phrases(self.own[k][pieces]), first[some])
         return out, count
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:

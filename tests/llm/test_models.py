@@ -55,6 +55,24 @@ def test_phrases_against_search():
     assert langs[4] == "x"  # a tie
 
 
+@pytest.mark.parametrize("limits", [{}, {"cells": 0}, {"all_cells": 9000}])
+def test_a_large_script_cuts_no_sample(limits):
+    """Languages are parsed as each one is alone, whatever letters the others have, and by both kinds of table."""
+    rng = np.random.default_rng(8)
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    own = {
+        "en": " ".join("".join(rng.choice(list("etaoinsh"), rng.integers(1, 7))) for _ in range(700)),
+        "zh": "".join(rng.permutation(han)) + " ".join("".join(rng.choice(han, 20)) for _ in range(100)),
+        "de": " ".join("".join(rng.choice(list("enirstaßü"), rng.integers(1, 9))) for _ in range(700)),
+    }
+    samples = language_id.Samples({lang: [text] for lang, text in own.items()}, **limits)
+    asked = [text[at : at + 300] for text in own.values() for at in (0, 900, 2500)] + ["th中 ss", "ßé"]
+    needed, _ = samples.phrases(asked)
+    for row, text in zip(needed, asked):
+        assert row.tolist() == [parsed(text, own[lang]) for lang in ("de", "en", "zh")], text
+    assert samples.bits == [pytest.approx(math.log2(len(own[lang]) + 1)) for lang in ("de", "en", "zh")]
+
+
 def test_language_edges(spark, edge_docs, no_docs, edge_rows):
     samples = language_id.learn(edge_docs)
     assert samples.langs == ["de", "en"]
