@@ -179,17 +179,21 @@ class Samples:
 def learn(labelled: DataFrame) -> Samples:
     """labelled: text and lang. A bounded sample of each language, chosen by a hash of the text.
 
-    Rows without lang or text are left out. The samples come to the driver: SAMPLE_DOCS documents of SAMPLE_CHARS
-    characters for each language at most.
+    Rows without lang, or without a letter, are left out. Of a long text a piece of SAMPLE_CHARS characters is taken, from
+    a place that its hash gives; runs of other characters count as one there, so every piece has letters. The samples
+    come to the driver: SAMPLE_DOCS texts or pieces for each language at most.
     """
-    usable = labelled.select("lang", "text").filter(F.col("lang").isNotNull() & F.length("text").between(1, SAMPLE_CHARS))
-    ranked = usable.select("lang", F.xxhash64("text").alias("name")).distinct()
+    usable = labelled.select("lang", "text").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    usable = usable.withColumn("name", F.xxhash64("text"))
+    ranked = usable.select("lang", "name").distinct()
     ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("name")))
     chosen = ranked.filter(F.col("rank") <= SAMPLE_DOCS).select("lang", "name").collect()
     if not chosen:
         return Samples({})
     names = [r.name for r in chosen]
-    rows = usable.withColumn("name", F.xxhash64("text")).filter(F.col("name").isin(names)).distinct().collect()
+    folded = usable.filter(F.col("name").isin(names)).withColumn("text", F.regexp_replace("text", r"\P{L}+", " "))
+    start = F.pmod("name", F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1)).cast("long")).cast("int") + 1
+    rows = folded.withColumn("text", F.substring("text", start, F.lit(SAMPLE_CHARS))).distinct().collect()
     rows = sorted((r.lang, r.name, r.text) for r in rows if (r.lang, r.name) in {(c.lang, c.name) for c in chosen})
     return Samples({lang: [r[2] for r in own] for lang, own in groupby(rows, lambda r: r[0])})
 

@@ -73,6 +73,17 @@ def test_a_large_script_cuts_no_sample(limits):
     assert samples.bits == [pytest.approx(math.log2(len(own[lang]) + 1)) for lang in ("de", "en", "zh")]
 
 
+def test_a_language_of_long_texts_is_learnt(spark):
+    """Also where a long text is mostly not letters, and texts without any come first or are many."""
+    long, odd = "kala maja suur vesi " * 400, "1" * 30000 + " ja hästi " + "-" * 30000
+    rows = [("en", "the cat sat on the mat and the dog ran"), ("et", long), ("xx", odd), ("00", "123 " * 2000), (None, long)]
+    rows += [("xx", f"{i} {i}!" * (1 + i)) for i in range(300)]
+    samples = language_id.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert samples.langs == ["en", "et", "xx"]
+    assert samples.bits[1] == pytest.approx(math.log2(language_id.SAMPLE_CHARS + 1))
+    assert samples.predict(["suur maja", "hästi", "the dog"])[0] == ["et", "xx", "en"]
+
+
 def test_language_edges(spark, edge_docs, no_docs, edge_rows):
     samples = language_id.learn(edge_docs)
     assert samples.langs == ["de", "en"]
