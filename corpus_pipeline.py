@@ -37,11 +37,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its copies in the mix (0 to 2), and what that is in words."""
-    plan = mix(docs).select(F.col("doc_id").alias("i"), "name", "size", "source_size", "target", "copies", "taken")
-    keyed = docs.withColumn("k", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    both = keyed.join(plan, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("k") == F.col("name")))
-    return both.select(*docs.columns, "size", "source_size", "target", "copies", "taken")
+    """Every document with its copies in the mix (0 to 2), and what that is in words, in place of columns of these names.
+
+    Rows get a number, written with them once, by which each meets its own plan, whatever rows are equal.
+    """
+    made = ["size", "source_size", "target", "copies", "taken"]
+    others = [c for c in docs.columns if c.lower() not in made]
+    numbered = docs.select(*[F.col(f"`{c}`") for c in others], F.monotonically_increasing_id().alias("__row"))
+    numbered = staged(numbered, "mix-rows")
+    plan = mix(numbered, row="__row").select("__row", *made)
+    return numbered.join(plan, "__row").select(*[F.col(f"`{c}`") for c in others], *made)
 
 
 STAGES = [

@@ -21,7 +21,6 @@ MOST = 2.0
 SEED = 10
 #: Documents of a block, about.
 BLOCK = 128
-UNIT = "struct<size:bigint,h:bigint,doc_id:bigint,name:bigint>"
 
 
 def word_count(text: str) -> Column:
@@ -52,9 +51,9 @@ def chance(h: Column, turn: int, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(h, F.lit(turn), F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
-def folded(units: str, turn: int, seed: int) -> Column:
+def folded(units: str, turn: int, seed: int, kind: str) -> Column:
     """Of an array of (unit, mass, u): the last unit with a fraction, its mass, and the others with what they got."""
-    done = F.array().cast(f"array<struct<unit:{UNIT},take:int>>")
+    done = F.array().cast(f"array<struct<unit:{kind},take:int>>")
     first = F.element_at(F.col(units), 1)
     start = F.struct(first["unit"].alias("unit"), first["mass"].alias("mass"), done.alias("done"))
 
@@ -79,6 +78,7 @@ def pivotal(units: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame
     source with very many documents has very many blocks. Each round leaves one unit a block, until one is left a source.
     """
     level = units.withColumn("kind", F.length(F.bin(F.col("unit.size"))))
+    kind = level.schema["unit"].dataType.simpleString()
     out: list[DataFrame] = []
     turn = 0
     while True:
@@ -90,7 +90,7 @@ def pivotal(units: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame
         dealt = level.join(counts, same).select("source", "kind", part.alias("part"), "unit", "mass", u.alias("u"))
         rows = F.sort_array(F.collect_list(F.struct("unit", "mass", "u")), False)
         blocks = dealt.groupBy("source", "kind", "part").agg(rows.alias("rows"))
-        blocks = cut(blocks.select("source", folded("rows", turn, seed).alias("f")))
+        blocks = cut(blocks.select("source", folded("rows", turn, seed, kind).alias("f")))
         out.append(blocks.select("source", F.explode("f.done").alias("d")).select("source", "d.unit", "d.take"))
         level = blocks.select("source", F.col("f.unit").alias("unit"), F.col("f.mass").alias("mass"), F.lit(0).alias("kind"))
         turn += 1
@@ -101,26 +101,30 @@ def pivotal(units: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame
     return reduce(DataFrame.unionByName, out)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, block: int = BLOCK, row: str | None = None) -> DataFrame:
     """doc_id, name, source, size, source_size, target, copies and taken of every row of docs; name is a hash of id and text.
 
+    row: a column of whole numbers, one for each row of docs, that the result has too; it doesn't change what is chosen,
+    but for rows of equal id and text.
+
     copies is a whole number and `most` rounded up at most; reruns agree. A null text has size 0, a null source is a
     source of its own, after the others. Documents of a source without words get no copies. Repeated rows are rows of
     their own, which may differ in copies.
     """
     name = F.xxhash64("doc_id", "text")
-    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("name"), "source", word_count("text").alias("size")))
+    own = [row] if row else []
+    rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("name"), "source", word_count("text").alias("size"), *own))
     targets = cut(source_targets(rows, weights, share, most).withColumnRenamed("source", "s"))
     same = F.col("source").eqNullSafe(F.col("s"))
     p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(p + 1e-9)
-    unit = F.struct("size", F.xxhash64("doc_id", "name").alias("h"), "doc_id", "name")
+    unit = F.struct("size", F.xxhash64("doc_id", "name").alias("h"), "doc_id", "name", *own)
     mass = F.greatest(p - whole, F.lit(0.0))
     sized = rows.join(targets, same).select("source", unit.alias("unit"), F.when(mass < 1e-9, 0.0).otherwise(mass).alias("mass"))
     taken = pivotal(sized.filter("mass > 0"), seed, block)
     taken = taken.unionByName(sized.filter("mass = 0").select("source", "unit", F.lit(0).alias("take")))
     copies = (whole + F.col("take")).cast("long")
-    columns = ["unit.doc_id", "unit.name", "source", "unit.size", "source_size", "target"]
+    columns = ["unit.doc_id", "unit.name", "source", "unit.size", "source_size", "target", *[f"unit.{c}" for c in own]]
     done = taken.join(targets, same).select(*columns, copies.alias("copies"))
     return done.withColumn("taken", F.col("copies") * F.col("size"))
 

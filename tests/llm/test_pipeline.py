@@ -1,8 +1,12 @@
 import importlib
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from railtempo.llm.common import documents
 from railtempo.llm.decontaminate import benchmark_hits
@@ -38,6 +42,25 @@ def test_stages(spark, sf_dir):
     assert set(seen["mixing"]) == set(seen["decontamination"]) and all(r.taken <= 2 * r.size for r in seen["mixing"].values())
 
 
+@pytest.mark.parametrize("kind", ["long", "int"])
+def test_stages_over_odd_rows(spark, sf_dir, edge_docs, edge_rows, kind):
+    """Missing and repeated ids, equal rows, and columns with the names of results: no stage makes rows, mixing loses none."""
+    docs = edge_docs.select(F.col("doc_id").cast(kind).alias("doc_id"), "text", "lang", "source", "n_chars")
+    before = Counter(tuple(r) for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns[:5] == docs.columns
+        found = Counter(tuple(r)[:5] for r in out.collect())
+        assert found.total() <= before.total()
+        if name in ("quality_classifier", "simhash_dedup", "decontamination"):
+            assert found <= before
+    assert found == before
+    odd = docs.withColumns({"k": F.lit(1), "i": F.lit("i"), "name": F.lit("n"), "size": F.lit(-1)})
+    mixed = corpus_pipeline.mix_sources(spark, odd, sf_dir).collect()
+    assert Counter(tuple(r)[:8] for r in mixed) == Counter((*row, 1, "i", "n") for row in before.elements())
+    assert all(r["size"] == len((r.text or "").encode().split()) and r.taken == r.copies * r["size"] for r in mixed)
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "text", "copies", "target", "taken"} <= set(out.columns) and out.count() > 0
