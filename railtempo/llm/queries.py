@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from railtempo.llm import decontaminate, language_id, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, suffix_dedup, tool_calls
+from railtempo.llm import (
+    decontaminate,
+    language_id,
+    lm_scoring,
+    mixing,
+    prefix_trie,
+    quality_classifier,
+    quality_rules,
+    simhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+    token_alignment,
+    tool_calls,
+    vector_search,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op9_lm_scoring": lm_scoring.op9_lm_scoring,
     "op10_mixing": mixing.op10_mixing,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_vector_search": vector_search.op13_vector_search,
 }
 
 SQL: dict[str, str] = {
@@ -22,4 +39,6 @@ SQL: dict[str, str] = {
     "op2_tool_calls": tool_calls.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op8_substring_dedup": substring_dedup.OP8_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op13_vector_search": vector_search.OP13_SQL,
 }
