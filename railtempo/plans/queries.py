@@ -558,7 +558,7 @@ def _rt_folded(spark, sf, trips):
 @query
 def gtfs_rt_fold(spark, sf):
     """Last known GTFS-RT values per run of a trip."""
-    return _rt_folded(spark, sf, t.runs(spark, sf)).drop("service_date")
+    return _rt_folded(spark, sf, t.runs(spark, sf))
 
 
 @query
@@ -568,7 +568,7 @@ def gtfs_rt_upsert(spark, sf):
     trip_table.write_days(t.runs(spark, sf), path)
     folded = _rt_folded(spark, sf, trip_table.read_trip_table(spark, path))
     update = gtfs_rt.as_update(folded, wall_clock(t.NOW))
-    trip_table.upsert(spark, path, update, updates.TRIP)
+    trip_table.upsert(spark, path, update, updates.RUN)
     current = trip_table.read_trip_table(spark, path)
     return current.select("trip_id", "service_date", *VALUES, *GTFS_RT_COLUMNS)
 

@@ -360,17 +360,38 @@ def _values() -> str:
 
 
 ENTITIES = f"""
-entity_base AS (
+entity_given AS (
   SELECT l_orderkey || '-' || ({SEQ}) AS entity_id, 'trip_' || (l_orderkey % 5000) AS trip_id, l_partkey, l_suppkey,
-         CASE WHEN l_suppkey % 5 <> 0 THEN DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER)
-              WHEN l_partkey % 13 <> 0 THEN DATE '2024-01-15' END AS service_date,
+         CASE WHEN l_suppkey % 5 <> 0 THEN DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) END AS start_date,
          CASE WHEN l_partkey % 13 = 0 THEN 'CANCELED' END AS trip_schedule_relationship,
          CASE WHEN l_partkey % 13 = 0 THEN 'SKIPPED' END AS stop_relationship,
-         TIMESTAMP '2024-01-15 00:00:00' + INTERVAL 1 HOUR + to_minutes(l_orderkey % 960)
+         TIMESTAMP '2024-01-01 01:00:00' + to_days(CAST(l_orderkey % 30 AS INTEGER)) + to_minutes(l_orderkey % 1440)
            + to_minutes(CAST(l_quantity AS INTEGER)) AS base,
          CAST(l_quantity AS BIGINT) * 60 AS delay
   FROM lineitem
 ),
+entity_timed AS (
+  SELECT *, CASE WHEN l_partkey % 13 = 0 THEN NULL WHEN l_partkey % 4 <> 0 THEN base - INTERVAL 1 MINUTE
+                 WHEN l_partkey % 3 <> 0 THEN base ELSE base + INTERVAL 49 MINUTE END AS first_time
+  FROM entity_given
+),
+run_times AS (
+  SELECT trip_id, service_date, min(departure_time_scheduled) AS departs, max(arrival_time_scheduled) AS arrives
+  FROM runs GROUP BY 1, 2
+),
+nearest_run AS (
+  SELECT entity_id, service_date
+  FROM (SELECT entity_id, e.trip_id, r.service_date, departs,
+               greatest(date_diff('second', first_time, departs), date_diff('second', arrives, first_time), 0) AS away
+        FROM entity_timed e JOIN run_times r ON r.trip_id = e.trip_id
+        WHERE start_date IS NULL AND first_time IS NOT NULL)
+  WHERE away <= 43200
+  QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY away, departs, service_date) = 1
+),
+entity_base AS (
+  SELECT e.*, coalesce(start_date, n.service_date) AS service_date
+  FROM entity_timed e LEFT JOIN nearest_run n ON n.entity_id = e.entity_id
+),
 entity_stops AS (
   SELECT entity_id, 0 AS stop_position, l_suppkey % 10 AS number,
          CASE WHEN l_partkey % 13 <> 0 AND l_partkey % 3 <> 0 THEN base END AS departure_time,
@@ -396,11 +417,16 @@ entity_last AS (
 
 
 RUNS = """
-runs AS (SELECT * REPLACE ('trip_' || (CAST(substr(trip_id, 6) AS BIGINT) % 5000) AS trip_id) FROM trips)
+runs AS (
+  SELECT * EXCLUDE (number) REPLACE ('trip_' || number AS trip_id,
+    departure_time_scheduled + to_hours(CASE WHEN number % 4 = 0 THEN 10 ELSE 0 END) AS departure_time_scheduled,
+    arrival_time_scheduled + to_hours(CASE WHEN number % 4 = 0 THEN 10 ELSE 0 END) AS arrival_time_scheduled)
+  FROM (SELECT *, CAST(substr(trip_id, 6) AS BIGINT) % 5000 AS number FROM trips)
+)
 """
 RT_LOG = """
 rt_log AS (
-  SELECT e.trip_id, CAST(t.departure_time_scheduled AS DATE) AS departure_date,
+  SELECT e.trip_id, t.service_date, CAST(t.departure_time_scheduled AS DATE) AS departure_date,
          CAST(split_part(e.entity_id, '-', 2) AS BIGINT) AS seq, e.entity_id,
          d.departure_time AS departure_time_real, d.departure_delay AS departure_delay_seconds,
          a.arrival_time AS arrival_time_real, a.arrival_delay AS arrival_delay_seconds,
@@ -430,8 +456,8 @@ def _rt_fold() -> str:
     )
     shown = ", ".join(_sec(c) if c.endswith("_real") else c for c in RT_VALUES)
     return _with(TRIPS, RUNS, ENTITIES, RT_LOG) + f"""
-SELECT trip_id, {_day("departure_date")}, {shown}, n_updates
-FROM (SELECT trip_id, departure_date, {folded}, count(*) AS n_updates FROM rt_log GROUP BY 1, 2)"""
+SELECT trip_id, {_day("service_date")}, {_day("departure_date")}, {shown}, n_updates
+FROM (SELECT trip_id, service_date, departure_date, {folded}, count(*) AS n_updates FROM rt_log GROUP BY 1, 2, 3)"""
 
 
 def _rt_upserted() -> str:
@@ -446,8 +472,8 @@ SELECT t.trip_id, {_day("t.service_date")}, {kept},
        CASE WHEN f.trip_id IS NULL THEN strftime(siri_updated_at, {SECOND}) ELSE '2024-01-31 01:30:00' END AS siri_updated_at,
        departure_delay_seconds AS departure_gtfs_delay, arrival_delay_seconds AS arrival_gtfs_delay,
        trip_schedule_relationship, departure_schedule_relationship, arrival_schedule_relationship
-FROM runs t LEFT JOIN (SELECT trip_id, departure_date, {folded} FROM rt_log GROUP BY 1, 2) f
-  ON f.trip_id = t.trip_id AND f.departure_date = CAST(t.departure_time_scheduled AS DATE)"""
+FROM runs t LEFT JOIN (SELECT trip_id, service_date, departure_date, {folded} FROM rt_log GROUP BY 1, 2, 3) f
+  ON f.trip_id = t.trip_id AND f.service_date = t.service_date AND f.departure_date = CAST(t.departure_time_scheduled AS DATE)"""
 
 
 def _with(*parts: str) -> str:
@@ -816,7 +842,7 @@ WHERE NOT EXISTS (SELECT 1 FROM update_log u WHERE u.trip_headsign = t.trip_head
     "gtfs_rt_known_trips": _with(TRIPS, RUNS, ENTITIES)
     + """SELECT entity_id, trip_id, trip_schedule_relationship FROM entity_base e
 WHERE EXISTS (SELECT 1 FROM runs r WHERE r.trip_id = e.trip_id AND r.service_date = e.service_date)""",
-    "stop_id_clean": _with(ENTITIES)
+    "stop_id_clean": _with(TRIPS, RUNS, ENTITIES)
     + """SELECT entity_id, stop_position, CASE WHEN number = 9 THEN '' ELSE CAST(number AS VARCHAR) END AS stop_number
 FROM entity_stops""",
     "stream_siri_ingest": _with(*_SIRI, STATION_FOLD)

@@ -135,9 +135,13 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same trips under ids that recur on other days."""
+    """The same trips under ids that recur on other days; some run past midnight, or only after it."""
     number = F.substring("trip_id", 6, 20).cast("bigint") % 5000
-    return trips(spark, sf_dir).withColumn("trip_id", _numbered("trip_", number))
+    later = F.when(number % 4 == 0, 600).otherwise(0)
+    ends = ("departure_time_scheduled", "arrival_time_scheduled")
+    return trips(spark, sf_dir).withColumns(
+        {"trip_id": _numbered("trip_", number), **{c: _plus(F.col(c), later) for c in ends}}
+    )
 
 
 # --- GTFS, from orders and lineitem -------------------------------------------------------
@@ -309,7 +313,8 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded GTFS-RT entities, one per line item, for the trips of `runs`; some lack the start date."""
     items = lines(spark, sf_dir)
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    start = F.lit(1705276800) + F.col("l_orderkey") % 960 * 60
+    # Orders 0 to 29 modulo 30 are of the 30 days from 2024-01-01, in seconds since the epoch.
+    start = F.lit(1704067200) + F.col("l_orderkey") % 30 * 86400 + F.col("l_orderkey") % 1440 * 60
     quantity = F.col("l_quantity").cast("bigint")
     cancelled = part % 13 == 0
 
