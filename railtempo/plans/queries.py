@@ -339,6 +339,7 @@ def schedule_load(spark, sf):
 def schedule_append_new_days(spark, sf):
     """A first load up to the as-of day, then a second one that adds only missing days."""
     path = work_path(spark, "trips")
+    trip_table.create_versioned(spark, path)
     first = _schedule(spark, sf).filter(F.col("service_date") <= F.lit(t.AS_OF))
     trip_table.write_days(first, path)
     again = _schedule(spark, sf, t.RELOADED_AT)
@@ -524,6 +525,7 @@ def feed_counters(spark, sf):
 def _upserted(spark, sf):
     """T written as the trip table, then updated from the whole feed."""
     path = work_path(spark, "trips")
+    trip_table.create_versioned(spark, path)
     trip_table.write_days(t.trips(spark, sf), path)
     trip_table.upsert(spark, path, _folded(spark, sf), updates.SLOT)
     return trip_table.read_trip_table(spark, path)
@@ -565,6 +567,7 @@ def gtfs_rt_fold(spark, sf):
 def gtfs_rt_upsert(spark, sf):
     """The runs written as the trip table, then updated from GTFS-RT."""
     path = work_path(spark, "trips")
+    trip_table.create_versioned(spark, path)
     trip_table.write_days(t.runs(spark, sf), path)
     folded = _rt_folded(spark, sf, trip_table.read_trip_table(spark, path))
     update = gtfs_rt.as_update(folded, wall_clock(t.NOW))
@@ -706,7 +709,7 @@ def stream_late_updates(spark, sf):
 def bootstrap_day(spark, sf):
     """Feed of many days meets an empty trip table: their schedules are loaded, then updated."""
     path = work_path(spark, "trips")
-    jobs.create_table(spark, path)
+    trip_table.create_versioned(spark, path)
     sink = jobs.upsert_batches(
         spark, path, lambda days: _schedule(spark, sf, days=days), t.stations(spark)
     )

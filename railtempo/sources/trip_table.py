@@ -1,7 +1,8 @@
 """The trip table: Parquet, partitioned by service_date and departure_day.
 
-One writer at a time. What replaces days is staged whole beside the table and then swapped in; a swap that fails is
-done again, from the staged rows, before the next write.
+One writer at a time. A table made by `create_versioned` keeps versions of its days, so readers never miss one
+(`sources.versions`). Any other path is a plain Parquet folder: what replaces days is staged whole beside it and then
+swapped in; a swap that fails is done again, from the staged rows, before the next write. All functions take both.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from railtempo.operators.updates import apply_updates
 from railtempo.schema import DEPARTURE_DAY, TRIPS
 from railtempo.session import delete_path, path_exists, work_path
+from railtempo.sources import versions
 
 STORED = T.StructType([*TRIPS.fields, DEPARTURE_DAY])
 
@@ -24,8 +26,15 @@ class DayAlreadyLoaded(ValueError):
     """The trip table already has rows for a day that was to be loaded."""
 
 
+def create_versioned(spark: SparkSession, path: str) -> None:
+    """An empty trip table with versions of its days."""
+    versions.create(spark, path, ("service_date", DEPARTURE_DAY.name))
+
+
 def read_trip_table(spark: SparkSession, path: str) -> DataFrame:
-    """The columns of TRIPS and departure_day."""
+    """The columns of TRIPS and departure_day; of a versioned table what it holds at the time of the call."""
+    if versions.is_versioned(spark, path):
+        return versions.read(spark, path, STORED)
     return spark.read.schema(STORED).parquet(path)
 
 
@@ -35,9 +44,12 @@ def write_days(trips: DataFrame, path: str, mode: str = "append") -> None:
     The rebalance hint gives each day few, evenly sized files: small days are merged into
     one file, a day that holds much of the data is split over many tasks.
     """
+    rows = trips.select(*TRIPS.fieldNames(), F.to_date("departure_time_scheduled").alias(DEPARTURE_DAY.name))
+    if versions.is_versioned(trips.sparkSession, path):
+        versions.write(rows, path, append=mode == "append")
+        return
     (
-        trips.select(*TRIPS.fieldNames(), F.to_date("departure_time_scheduled").alias(DEPARTURE_DAY.name))
-        .hint("rebalance", "service_date", DEPARTURE_DAY.name)
+        rows.hint("rebalance", "service_date", DEPARTURE_DAY.name)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("service_date", DEPARTURE_DAY.name)
@@ -80,6 +92,9 @@ def _pending(path: str) -> str:
 
 def replace_days(rows: DataFrame, path: str) -> None:
     """Put `rows` in place of the partitions that they lie in."""
+    if versions.is_versioned(rows.sparkSession, path):
+        write_days(rows, path, mode="overwrite")
+        return
     rows.write.mode("overwrite").parquet(_pending(path))
     _swap(rows.sparkSession, path)
 
@@ -100,8 +115,9 @@ def recover(spark: SparkSession, path: str) -> None:
 def upsert(spark: SparkSession, path: str, folded: DataFrame, keys: list[str]) -> None:
     """Apply folded updates to the trip table, rewriting only the departure days they are about.
 
-    A failure while merging leaves the table as it was; one while swapping is mended by the
-    next write, or by `recover`, from the merged rows.
+    A failure while merging leaves the table as it was. A versioned table is switched at once;
+    otherwise a failure while swapping is mended by the next write, or by `recover`, from the
+    merged rows.
     """
     recover(spark, path)
     folded_path = work_path(spark, "updates")
