@@ -120,12 +120,16 @@ def station_values(journeys: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def feed_log(journeys: DataFrame, stations: DataFrame) -> DataFrame:
-    """The feed as rows to fold: one per journey (station blank) and one per station value."""
+def feed_log(journeys: DataFrame, stations: DataFrame, *kept: str) -> DataFrame:
+    """The feed as rows to fold: one per journey (station blank) and one per station value.
+
+    `kept` are further columns of the journeys that all their rows have.
+    """
     ordered, last_only = _last_calls(journeys)
     calls_and_self = F.concat(last_only, F.array(F.lit(None)))
     exploded = ordered.select(
         *MATCH,
+        *kept,
         "polled_at",
         "trip_status",
         F.col("feed_seq").alias("seq"),
@@ -138,6 +142,7 @@ def feed_log(journeys: DataFrame, stations: DataFrame) -> DataFrame:
         .filter(itself | F.col("station").isNotNull())
         .select(
             *MATCH,
+            *kept,
             F.coalesce("station", F.lit("")).alias("station"),
             *[F.when(~itself, v).alias(n) for n, v in zip(STATION_VALUES, call_values(F.col("call")))],
             F.when(itself, F.col("trip_status")).alias("trip_status"),
@@ -147,13 +152,13 @@ def feed_log(journeys: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def fold_log(log: DataFrame) -> DataFrame:
-    """Last known values per train number, date and station.
+def fold_log(log: DataFrame, *kept: str) -> DataFrame:
+    """Last known values per train number, date and station (and the further keys `kept`).
 
     Needs no schedule, so it can run before any join: a train that much of the feed is about
     is down to a few rows per task before the shuffle.
     """
-    return log.groupBy(*MATCH, "station").agg(
+    return log.groupBy(*MATCH, "station", *kept).agg(
         *last_known([*STATION_VALUES, "trip_status", "polled_at"]),
         F.count_if(F.col("station") == "").alias("n_updates"),
     )

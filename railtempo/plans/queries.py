@@ -607,7 +607,9 @@ def _appended(stream: DataFrame, spark, name) -> DataFrame:
 
 
 def _journey_stream(spark, sf):
-    return t.journeys_of(t.table_stream(spark, sf, "lineitem"))
+    """In even partitions, as `tables.lines`: the one file that arrives is one split."""
+    lines = t.table_stream(spark, sf, "lineitem").repartition(spark.sparkContext.defaultParallelism)
+    return t.journeys_of(lines)
 
 
 @query
@@ -648,10 +650,12 @@ def stream_schedule_join(spark, sf):
 
 @query
 def stream_update_fold(spark, sf):
+    """The running fold, kept in the state store, and what its sink has written, matched with the schedule."""
     path = work_path(spark, "update-fold")
-    sink = jobs.fold_batches(spark, path, t.stations(spark), keep_days=40)
-    _run(_journey_stream(spark, sf).writeStream.foreachBatch(sink), spark, "fold")
-    newest = jobs.newest_fold(spark, path)
+    folded = jobs.running_fold(_journey_stream(spark, sf), t.stations(spark))
+    sink = jobs.running_sink(spark, path)
+    _run(folded.writeStream.foreachBatch(sink).outputMode("update"), spark, "fold")
+    newest = jobs.running_result(spark, path, folded.schema)
     return realtime.orient_fold(newest, t.trips(spark, sf), t.stations(spark))
 
 

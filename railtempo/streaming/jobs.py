@@ -12,6 +12,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from railtempo.operators.realtime import (
@@ -24,17 +25,18 @@ from railtempo.operators.realtime import (
     valid_journeys,
 )
 from railtempo.operators.statistics import daily_counts
-from railtempo.operators.updates import SLOT
+from railtempo.operators.updates import SLOT, last_known
 from railtempo.schema import DEPARTURE_DAY
 from railtempo.session import delete_path, list_names, path_exists
-from railtempo.sources import siri
+from railtempo.sources import siri, versions
 from railtempo.sources.trip_table import STORED, missing_days, read_trip_table, recover, replace_days, upsert
 
 POLL = "2 minutes"
 #: How late a delivery may be, unless a job is told otherwise.
 LATE_LIMIT = "1 day"
-#: Departure days that a running fold keeps.
-KEEP_DAYS = 7
+#: How many days after its departure a train's updates are still taken, and how far ahead of a poll feeds look.
+LATE_DAYS = 7
+AHEAD_DAYS = 7
 
 
 def start(writer: DataStreamWriter, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -107,25 +109,27 @@ def fold_batches(
     path: str,
     stations: DataFrame,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
-    keep_days: int = KEEP_DAYS,
+    keep_days: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: latest known values per train, date and station.
 
-    Each batch is folded by itself and laid over the result before it, so nothing grows with
-    the age of the stream: the result keeps `keep_days` departure days up to the newest one,
-    and of the folders only the last two stay. A batch that is run again starts from the
-    result before it. The fold does not depend on the schedule: `orient_fold` joins that.
+    Each batch is folded by itself and laid over the result before it; of the folders only the
+    last two stay. With `keep_days` the result keeps that many departure days up to the newest
+    one; a date further ahead of its poll than AHEAD_DAYS counts as the day of the poll there.
+    A batch that is run again starts from the result before it. The fold does not depend on
+    the schedule: `orient_fold` joins that. For streams whose order needs no micro-batch,
+    `running_fold` keeps the values in the state store instead.
     """
     keys = [*MATCH, "station"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         journeys = valid_journeys(prepare(batch))
         new = fold_log(feed_log(journeys, stations))
-        days = journeys.select("departure_date")
+        days = journeys.select("departure_date", "polled_at")
         before = [b for b in _folders(spark, path) if b < batch_id]
         if before:
             old = spark.read.parquet(f"{path}/batch={before[-1]}")
-            days = days.unionByName(old.select("departure_date"))
+            days = days.unionByName(old.filter("polled_at IS NOT NULL").select("departure_date", "polled_at"))
             values = [c for c in old.columns if c not in (*keys, "n_updates")]
             same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
             both = old.alias("o").join(new.alias("n"), same, "full")
@@ -135,7 +139,7 @@ def fold_batches(
                 (counts[0] + counts[1]).alias("n_updates"),
             )
         if keep_days:
-            newest = days.agg(F.max("departure_date")).scalar()
+            newest = days.agg(F.max(_falls())).scalar()
             new = new.filter(F.col("departure_date") > F.date_sub(newest, keep_days))
         new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         for old_batch in before[:-1]:
@@ -153,6 +157,65 @@ def _folders(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix("batch=")) for n in done)
 
 
+def _falls() -> Column:
+    """The departure date, or where that is further ahead of the poll than a feed looks, the day of the poll."""
+    polled = F.to_date("polled_at")
+    return F.when(F.col("departure_date") > F.date_add(polled, AHEAD_DAYS), polled).otherwise(F.col("departure_date"))
+
+
+def running_fold(journeys: DataFrame, stations: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
+    """Latest known values per train, date and station of a stream, as a stateful aggregation; run it in update mode.
+
+    The state store keeps a train until `late_days` days after its departure; the watermark is
+    taken from the dates that a feed can be about at the time of its poll, so a date far ahead
+    costs its own row and makes no other one old. Such rows have a `falls` of their own for
+    each day they are polled on; `running_result` puts them together. What `running_sink` has
+    written stays when the state falls. Journeys need an order `feed_seq` within the stream.
+    """
+    dated = valid_journeys(journeys).filter(F.col("departure_date").isNotNull())
+    # A date that lies behind its poll by more than the limit is late, one that lies ahead of it is not early.
+    log = feed_log(dated.withColumn("falls", _falls().cast("timestamp")), stations, "falls")
+    return fold_log(log.withWatermark("falls", f"{AHEAD_DAYS + late_days} days"), "falls")
+
+
+RUNNING_KEY = [*MATCH, "station", "falls"]
+
+
+def running_sink(spark: SparkSession, path: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink of `running_fold`: rows that changed, into a table with versions of its departure days.
+
+    Only days with changed rows are written again, and readers never miss one. A batch that is
+    run again gives the same rows.
+    """
+    versions.create(spark, path, ("departure_date",))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read for its days, and written
+        try:
+            days = [r.departure_date for r in batch.select("departure_date").distinct().collect()]
+            if not days:
+                return
+            held = versions.current(spark, path)
+            before = versions.read(spark, path, batch.schema, held).filter(F.col("departure_date").isin(days))
+            new = batch
+            if any(f"departure_date={d}" in held.held for d in days):
+                new = before.join(batch, RUNNING_KEY, "left_anti").unionByName(batch)
+            versions.write(new, path)
+            versions.vacuum(spark, path)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def running_result(spark: SparkSession, path: str, folded: T.StructType) -> DataFrame:
+    """What `running_sink` has written so far, one row per train, date and station; `folded` is the fold's schema."""
+    rows = versions.read(spark, path, folded)
+    values = [c for c in folded.fieldNames() if c not in (*RUNNING_KEY, "n_updates")]
+    # Almost every key has one row; only those that were polled far ahead have several, of which later ones know more.
+    return rows.groupBy(*MATCH, "station").agg(*last_known(values, "falls"), F.sum("n_updates").alias("n_updates"))
+
+
 def newest_fold(spark: SparkSession, path: str) -> DataFrame:
     """Result of `fold_batches`: its last folder."""
     return spark.read.parquet(f"{path}/batch={_folders(spark, path)[-1]}")
