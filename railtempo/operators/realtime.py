@@ -166,7 +166,7 @@ def fold_log(log: DataFrame, *kept: str) -> DataFrame:
 
 def orient_fold(folded: DataFrame, trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Folded feed values as one update per slot of the schedule."""
-    ends = _known_slots(trips, stations).select(
+    ends = known_slots(trips, stations).select(
         *SLOT,
         F.inline(
             F.array(
@@ -223,7 +223,7 @@ def schedule_slots(trips: DataFrame) -> DataFrame:
     return with_departure_date(trips).groupBy(*SLOT).agg(F.count(F.lit(1)).alias("n_trips"))
 
 
-def _known_slots(trips: DataFrame, stations: DataFrame) -> DataFrame:
+def known_slots(trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Slots between listed stations, with the feed's stop ids of both."""
     by_name = stations.select("station_name", "siri_stop_id")
     return (
@@ -246,8 +246,12 @@ def build_updates(journeys: DataFrame, trips: DataFrame, stations: DataFrame) ->
     Departure values come from the last call at the departure station, arrival values from
     the last call at the arrival station; trips between unlisted stations get no update.
     """
-    slots = _known_slots(near_feed(trips, journeys), stations)
-    matched = journeys.join(slots, MATCH)
+    slots = known_slots(near_feed(trips, journeys), stations)
+    return oriented_updates(journeys.join(slots, MATCH))
+
+
+def oriented_updates(matched: DataFrame) -> DataFrame:
+    """Journeys that have met a slot (`known_slots`), as updates of it."""
     ordered = F.concat("estimated_calls", "recorded_calls")
 
     def last_call(stop: str) -> Column:

@@ -642,10 +642,16 @@ def stream_operating_hours(spark, sf):
 
 @query
 def stream_schedule_join(spark, sf):
-    stream = jobs.update_stream(
-        _journey_stream(spark, sf), t.trips(spark, sf), t.stations(spark)
-    )
-    return _appended(stream, spark, "update-log")
+    """Feed and schedule as streams: the later days are loaded when all journeys have come, and meet them all the same."""
+    landing, path = work_path(spark, "slots"), work_path(spark, "update-log")
+    progress = work_path(spark, "update-log-progress")
+    trips, day = t.trips(spark, sf), filters.departure_date()
+    for loaded in (trips.filter(day <= F.lit(t.AS_OF)), trips.filter(day > F.lit(t.AS_OF))):
+        jobs.publish_slots(loaded, t.stations(spark), landing)
+        stream = jobs.renewing_update_stream(_journey_stream(spark, sf), jobs.slot_stream(spark, landing))
+        writer = stream.writeStream.format("parquet").option("path", path).outputMode("append")
+        jobs.start(writer, progress, available_now=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 @query

@@ -21,6 +21,8 @@ from railtempo.operators.realtime import (
     feed_log,
     fold_feed,
     fold_log,
+    known_slots,
+    oriented_updates,
     station_values,
     valid_journeys,
 )
@@ -62,10 +64,70 @@ def station_value_stream(journeys: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def update_stream(journeys: DataFrame, trips: DataFrame, stations: DataFrame) -> DataFrame:
-    """Journeys matched with the (static) schedule, as an update log."""
+    """Journeys matched with the (static) schedule, as an update log.
+
+    The schedule's files are listed when the stream starts; `renewing_update_stream` takes a
+    schedule that goes on arriving.
+    """
     return build_updates(valid_journeys(journeys), trips, stations)
 
 
+#: What `publish_slots` writes: the schedule as the stream needs it, a few rows per train and day.
+SLOTS = T.StructType(
+    [
+        T.StructField("trip_headsign", T.StringType()),
+        T.StructField("departure_date", T.DateType()),
+        T.StructField("departure_station_name", T.StringType()),
+        T.StructField("arrival_station_name", T.StringType()),
+        T.StructField("n_trips", T.LongType()),
+        T.StructField("departure_stop", T.StringType()),
+        T.StructField("arrival_stop", T.StringType()),
+    ]
+)
+
+
+def publish_slots(trips: DataFrame, stations: DataFrame, path: str) -> None:
+    """Add the slots of whole departure days to a folder that a stream reads; each day once, when it is loaded."""
+    slots = known_slots(trips.filter(F.col("departure_time_scheduled").isNotNull()), stations)
+    slots.select(*SLOTS.fieldNames()).hint("rebalance").write.mode("append").parquet(path)
+
+
+def slot_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(SLOTS).parquet(path)
+
+
+def renewing_update_stream(
+    journeys: DataFrame,
+    slots: DataFrame,
+    late_limit: str = "1 day",
+    late_days: int = 7,
+    ahead_days: int = 7,
+) -> DataFrame:
+    """Journeys matched with a schedule that arrives as a stream as well, as an update log.
+
+    Whichever of the two comes first waits for the other: a day that is loaded after the
+    stream has started is matched with the polls before and after. A poll meets slots that
+    depart at most `ahead_days` after it and at most `late_days` before it, so both sides'
+    state falls with the watermarks. The older watermark counts: a poll may be `late_limit`
+    late, a schedule day `late_days`, and odd dates of one side make nothing of the other old.
+    """
+    # Always true here. It lets each of these be null, as the state's schema must not depend on whether a batch has
+    # files: their metadata is never null, what stands for no files is.
+    given = F.col("train_number") != ""
+    kept = ["estimated_calls", "recorded_calls", "trip_status", "polled_at", "feed_seq"]
+    said = valid_journeys(journeys).withColumn("polled", F.col("polled_at").cast("timestamp"))
+    said = said.withColumns({c: F.when(given, F.col(c)) for c in (*kept, "polled")})
+    said = said.withWatermark("polled", late_limit).alias("j")
+    known = slots.withColumn("departs", F.col("departure_date").cast("timestamp"))
+    known = known.withWatermark("departs", f"{late_days} days").alias("s")
+    bound = F.expr(
+        f"j.polled >= s.departs - INTERVAL {ahead_days} DAYS AND j.polled <= s.departs + INTERVAL {late_days + 1} DAYS"
+    )
+    same = [F.col(f"j.{c}") == F.col(f"s.{c}") for c in MATCH]
+    matched = said.join(known, [*same, bound])
+    return oriented_updates(matched.select(*[F.col(f"j.{c}") for c in kept], *[F.col(f"s.{c}") for c in SLOTS.fieldNames()]))
+
+
 # --- stateful streams ---------------------------------------------------------------------
 
 

@@ -1,0 +1,95 @@
+"""Feed and schedule as two streams."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import A, B, trip, trips
+from test_realtime import call, journey, snapshot, stations
+from test_running import said
+
+from railtempo.operators import realtime
+from railtempo.sources import siri
+from railtempo.streaming import jobs
+
+DAY = date(2024, 1, 15)
+
+
+class Job:
+    def __init__(self, spark, tmp_path, **limits):
+        self.spark, self.at, self.limits, self.n, self.states, self.late = spark, tmp_path, limits, 0, [], 0
+        (tmp_path / "feed").mkdir()
+        jobs.publish_slots(trips(spark, []), stations(spark), str(tmp_path / "slots"))
+
+    def load(self, day, *trains, **other):
+        rows = trips(self.spark, [trip(f"{day}-{t}", str(day), headsign=t, **other) for t in trains])
+        jobs.publish_slots(rows, stations(self.spark), str(self.at / "slots"))
+
+    def poll(self, *journeys):
+        self.n += 1
+        snapshot(self.at / "feed", f"{self.n:03d}.xml", *journeys)
+
+    def run(self):
+        """Start from the last progress, take what is there, and stop."""
+        feed = siri.stream_journeys(self.spark, str(self.at / "feed"))
+        stream = jobs.renewing_update_stream(feed, jobs.slot_stream(self.spark, str(self.at / "slots")), **self.limits).drop("seq")
+        writer = stream.writeStream.format("parquet").option("path", str(self.at / "out")).outputMode("append")
+        query = jobs.start(writer, str(self.at / "progress"), available_now=True)
+        query.awaitTermination()
+        self.late += sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress)
+        if query.lastProgress:
+            self.states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        return sorted(tuple(r) for r in self.spark.read.schema(stream.schema).parquet(str(self.at / "out")).select("trip_headsign", "departure_date", "siri_departure_time_real").collect())
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    return Job(spark, tmp_path)
+
+
+def found(day, minute, train="847"):
+    return train, day, datetime(day.year, day.month, day.day, 8, minute)
+
+
+def test_day_loaded_after_start_is_matched(job):
+    job.load(DAY, "847")
+    job.poll(said(DAY, 4), said(DAY + timedelta(days=1), 5))
+    assert job.run() == [found(DAY, 4)]
+    job.load(DAY + timedelta(days=1), "847", "900")
+    assert job.run() == [found(DAY, 4), found(DAY + timedelta(days=1), 5)]
+    job.poll(said(DAY + timedelta(days=1), 9), said(DAY + timedelta(days=1), 7, "900"))
+    assert job.run() == [found(DAY, 4), found(DAY + timedelta(days=1), 5), found(DAY + timedelta(days=1), 9), found(DAY + timedelta(days=1), 7, "900")]
+
+
+def test_equals_the_batch_join(spark, job):
+    for k in range(3):
+        job.load(DAY + timedelta(days=k), "847", "900")
+        job.load(DAY + timedelta(days=k), "555", start=A, end="Creil")
+    job.poll(said(DAY, 4), said(DAY, 5, "900", B), said(DAY, 6, "555"), said(DAY + timedelta(days=2), 1), journey("847", day="never"))
+    streamed = job.run()
+    table = trips(spark, [trip(f"{k}-{t}", str(DAY + timedelta(days=k)), headsign=t) for k in range(3) for t in ("847", "900")])
+    journeys = realtime.valid_journeys(siri.read_journeys(spark, str(job.at / "feed")))
+    batch = realtime.build_updates(journeys, table, stations(spark))
+    assert streamed == sorted(tuple(r) for r in batch.select("trip_headsign", "departure_date", "siri_departure_time_real").collect())
+
+
+def test_state_of_both_sides_falls(spark, tmp_path):
+    job = Job(spark, tmp_path, late_limit="1 hour", late_days=1, ahead_days=1)
+    for k in range(12):
+        day = DAY + timedelta(days=k)
+        job.load(day, "847")
+        job.poll(said(day, 4), said(day, 5, "unknown"))
+        job.run()
+    assert job.states[-1] == job.states[-2] < 3 * 12 / 2 and job.late == 0
+    job.load(DAY, "unknown")  # a day that is long past
+    assert len(job.run()) == 12 and job.late == 1
+
+
+def test_odd_dates_make_nothing_old(job):
+    """A far departure and a wrong poll time on one side; the other side's watermark holds both back."""
+    job.load(DAY, "847")
+    far = journey("847", day="2099-01-01", polled="2099-01-01T08:00:00+01:00", estimated=call("Estimated", A, "2099-01-01T08:00:00+01:00"))
+    job.poll(said(DAY, 4), far)
+    assert job.run() == [found(DAY, 4)]
+    job.load(DAY + timedelta(days=1), "847")
+    job.poll(said(DAY + timedelta(days=1), 5), said(DAY, 9))
+    assert job.run() == [found(DAY, 4), found(DAY, 9), found(DAY + timedelta(days=1), 5)] and job.late == 0
