@@ -46,6 +46,13 @@ def service_day_trips(
     )
 
 
+def days_back(stop_times: DataFrame) -> int:
+    """How many days before a departure the service day of its trip may lie: whole days in the greatest time."""
+    times = F.array(*[service_time(F.lit("1970-01-01").cast("date"), F.col(c)) for c in ("departure_time", "arrival_time")])
+    last = stop_times.agg(F.max(F.array_max(times)).alias("last"))
+    return last.select(F.coalesce(F.unix_date(F.to_date("last")), F.lit(0)).alias("n")).first().n
+
+
 def with_route(trips: DataFrame, routes: DataFrame) -> DataFrame:
     """Add the route's short name; blank for a route that is not listed."""
     names = routes.select("route_id", "route_short_name")

@@ -674,6 +674,22 @@ def stream_daily_delay(spark, sf):
     return jobs.newest_batch(spark, path)
 
 
+@query
+def stream_daily_updates(spark, sf):
+    """Trips arrive as scheduled, two thirds again with their real times, and some once more as they first were."""
+    landing, path = work_path(spark, "trip-rows"), work_path(spark, "daily-updates")
+    progress, known = work_path(spark, "daily-updates-progress"), t.trips(spark, sf)
+    sink = jobs.daily_sink(spark, path)
+    number = F.substring("trip_id", 6, 20).cast("bigint")
+    blank = {c: F.lit(None).cast(known.schema[c].dataType) for c in known.columns if c.startswith("siri_")}
+    first = known.withColumns(blank)
+    for seq, rows in ((1, first), (2, known.filter(number % 3 != 0)), (1, first.filter(number % 5 == 0))):
+        rows.withColumn("seq", F.lit(seq).cast("bigint")).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(T.StructType([*known.schema, T.StructField("seq", T.LongType())])).parquet(landing)
+        jobs.start(stream.writeStream.foreachBatch(sink), progress, available_now=True).awaitTermination()
+    return jobs.daily_result(spark, path)
+
+
 def _deliveries(journeys: DataFrame) -> DataFrame:
     return journeys.select(
         "journey_ref", "train_number", F.col("polled_at").cast("timestamp").alias("polled_at")
@@ -721,7 +737,11 @@ def bootstrap_day(spark, sf):
     path = work_path(spark, "trips")
     trip_table.create_versioned(spark, path)
     sink = jobs.upsert_batches(
-        spark, path, lambda days: _schedule(spark, sf, days=days), t.stations(spark)
+        spark,
+        path,
+        lambda days: _schedule(spark, sf, days=days),
+        t.stations(spark),
+        days_back=schedule.days_back(t.gtfs(spark, sf)["stop_times"]),
     )
     _run(_journey_stream(spark, sf).writeStream.foreachBatch(sink), spark, "bootstrap")
     return trip_table.read_trip_table(spark, path).select(*SCHEDULE_COLUMNS, *VALUES[:-1])

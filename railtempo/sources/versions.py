@@ -29,11 +29,15 @@ class ConcurrentWrite(RuntimeError):
 
 @dataclass(frozen=True)
 class Manifest:
-    """Per partition (its folder path, `column=value/...`) the versions that hold it, oldest first."""
+    """Per partition (its folder path, `column=value/...`) the versions that hold it, oldest first.
+
+    `tag` is a number that the last write left, such as that of its micro-batch.
+    """
 
     number: int
     columns: tuple[str, ...]
     held: dict[str, list[str]]
+    tag: int = -1
 
     def folders(self, path: str) -> list[str]:
         return [f"{_data(path)}/version={v}/{p}" for p, versions in sorted(self.held.items()) for v in versions]
@@ -88,7 +92,7 @@ def _numbers(files: _Files, path: str) -> list[int]:
 
 def _manifest(files: _Files, path: str, number: int) -> Manifest:
     held = json.loads(files.read(f"{path.rstrip('/')}/manifests/{number:010d}.json"))
-    return Manifest(number, tuple(held["columns"]), held["held"])
+    return Manifest(number, tuple(held["columns"]), held["held"], held["tag"])
 
 
 def is_versioned(spark: SparkSession, path: str) -> bool:
@@ -109,7 +113,8 @@ def create(spark: SparkSession, path: str, columns: tuple[str, ...]) -> None:
 def _switch(spark: SparkSession, path: str, manifest: Manifest) -> None:
     files, folder = _Files(spark, path), f"{path.rstrip('/')}/manifests"
     draft = f"{folder}/_{uuid4().hex}"
-    files.write(draft, json.dumps({"columns": manifest.columns, "held": manifest.held}).encode())
+    content = {"columns": manifest.columns, "held": manifest.held, "tag": manifest.tag}
+    files.write(draft, json.dumps(content).encode())
     if not files.rename(draft, f"{folder}/{manifest.number:010d}.json"):
         files.delete(draft)
         raise ConcurrentWrite(f"{path}: version {manifest.number} is there already")
@@ -125,8 +130,8 @@ def read(spark: SparkSession, path: str, schema: T.StructType, manifest: Manifes
     return found.select(*schema.fieldNames())
 
 
-def write(rows: DataFrame, path: str, append: bool = False) -> Manifest:
-    """Put rows in place of the partitions that they lie in, or beside what these hold.
+def write(rows: DataFrame, path: str, append: bool = False, tag: int | None = None) -> Manifest:
+    """Put rows in place of the partitions that they lie in, or beside what these hold; a table without any is replaced.
 
     The rebalance hint gives each day few, evenly sized files; a day that holds much of the
     data is split over many tasks.
@@ -139,7 +144,7 @@ def write(rows: DataFrame, path: str, append: bool = False) -> Manifest:
     held = dict(before.held)
     for partition in _partitions(_Files(spark, path), folder, len(before.columns)):
         held[partition] = [*(held.get(partition, []) if append else []), version]
-    after = Manifest(before.number + 1, before.columns, held)
+    after = Manifest(before.number + 1, before.columns, held, before.tag if tag is None else tag)
     _switch(spark, path, after)
     return after
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from railtempo.operators import running_counts
 from railtempo.operators.realtime import (
     MATCH,
     build_updates,
@@ -143,7 +144,10 @@ def first_deliveries(
 
 
 def running_daily_delay(trips: DataFrame) -> DataFrame:
-    """Delay distribution per day over all trips so far; run it in complete mode."""
+    """Delay distribution per day over all trips so far, each of which arrives once; run it in complete mode.
+
+    `daily_sink` keeps the distribution of trips whose rows arrive again with later values.
+    """
     return daily_counts(trips)
 
 
@@ -278,6 +282,46 @@ def running_result(spark: SparkSession, path: str, folded: T.StructType) -> Data
     return rows.groupBy(*MATCH, "station").agg(*last_known(values, "falls"), F.sum("n_updates").alias("n_updates"))
 
 
+def daily_sink(spark: SparkSession, path: str, seq: str = "seq") -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink of trip rows, each of which may arrive again: the delay distribution per day, by retraction.
+
+    Below `path` lie what every trip counts as, by service day, and the daily counts. Both are
+    switched to a new version per batch, counts first, and remember the batch, so one that is
+    run again after a failure adds nothing twice. Only the service days of the batch are read
+    and written. `seq` orders a trip's rows, over all batches.
+    """
+    held, counts = f"{path}/held", f"{path}/counts"
+    versions.create(spark, held, ("day",))
+    versions.create(spark, counts, ())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if versions.current(spark, held).tag >= batch_id:
+            return
+        new = running_counts.counted_as(batch, seq).persist()  # read for its days, and matched
+        try:
+            days = [r.day for r in new.select("day").distinct().collect()]
+            before = versions.read(spark, held, running_counts.HELD).filter(F.col("day").isin(days))
+            changed = running_counts.changes(before, new).persist()  # counted, and kept
+            if versions.current(spark, counts).tag < batch_id:
+                daily = versions.read(spark, counts, running_counts.COUNTED)
+                versions.write(running_counts.added(daily, running_counts.retractions(changed)).coalesce(1), counts, tag=batch_id)
+            same = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in running_counts.TRIP]
+            kept = before.alias("o").join(changed.alias("c"), same, "left_anti")
+            versions.write(kept.unionByName(changed.drop("before")), held, tag=batch_id)
+            changed.unpersist()
+            for table in (held, counts):
+                versions.vacuum(spark, table)
+        finally:
+            new.unpersist()
+
+    return write
+
+
+def daily_result(spark: SparkSession, path: str) -> DataFrame:
+    """The daily counts that `daily_sink` has written, as `statistics.daily_counts` gives them."""
+    return versions.read(spark, f"{path}/counts", running_counts.COUNTED).filter("total_trains > 0")
+
+
 def newest_fold(spark: SparkSession, path: str) -> DataFrame:
     """Result of `fold_batches`: its last folder."""
     return spark.read.parquet(f"{path}/batch={_folders(spark, path)[-1]}")
@@ -289,11 +333,13 @@ def upsert_batches(
     schedule_of_days: Callable[[list[date]], DataFrame],
     stations: DataFrame,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    days_back: int = 1,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch sink: journeys into the trip table, whatever days they are about.
 
-    The days come from the batch. A train past midnight belongs to the service day before, so
-    the schedules of both days are loaded if the table has none of them. Both steps give the
+    The days come from the batch. A train past midnight belongs to a service day before, so
+    the schedules of each day and of the `days_back` days before it are loaded if the table
+    has none of them; `schedule.days_back` tells how many a timetable needs. Both steps give the
     same table when a batch is run again. For XML snapshots pass `siri.number_rows` as
     `prepare`, so that journeys of one file keep their order.
     """
@@ -313,7 +359,7 @@ def upsert_batches(
             journeys.unpersist()
 
     def load(days: list[date]) -> None:
-        concerned = {d - timedelta(days=back) for d in days for back in (0, 1)}
+        concerned = {d - timedelta(days=back) for d in days for back in range(days_back + 1)}
         absent = missing_days(spark, table, concerned - without_trips)
         if absent:
             replace_days(schedule_of_days(absent).filter(F.col("service_date").isin(absent)), table)
@@ -329,11 +375,12 @@ def realtime_job(
     schedule_of_days: Callable[[list[date]], DataFrame],
     stations: DataFrame,
     max_files: int | None = None,
+    days_back: int = 1,
 ) -> DataStreamWriter:
     """The whole job, to be started: snapshot files in, what is polled in operating hours into the trip table."""
     stream = siri.stream_journeys(spark, snapshots, max_files)
     open_hours = operating_hours(stream, F.col("polled_at"))
-    sink = upsert_batches(spark, table, schedule_of_days, stations, siri.number_rows)
+    sink = upsert_batches(spark, table, schedule_of_days, stations, siri.number_rows, days_back)
     return open_hours.writeStream.foreachBatch(sink)
 
 

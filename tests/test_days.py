@@ -10,7 +10,7 @@ from test_realtime import A, B, call, entity, journey, snapshot, stations, valid
 
 from railtempo import schema
 from railtempo.functions.times import wall_clock
-from railtempo.operators import filters, gtfs_rt, realtime, updates
+from railtempo.operators import filters, gtfs_rt, realtime, schedule, updates
 from railtempo.schema import GTFS_RT_ENTITY, TRIPS
 from railtempo.sources import siri, trip_table
 from railtempo.streaming import jobs
@@ -208,6 +208,27 @@ def test_job_runs_over_midnight(spark, tmp_path):
     assert sorted(asked) == [date(2024, 1, 14), date(2024, 1, 15), date(2024, 1, 16)]
 
 
+def test_job_loads_service_days_as_far_back_as_times_go(spark, tmp_path):
+    """Three trains depart on one day, of three service days."""
+    def run(name, back):
+        row = dict(zip(TRIPS.names, trip(name, str(DAY), headsign=name)))
+        row["service_date"] = DAY - timedelta(days=back)
+        return tuple(row.values())
+
+    rows = trips(spark, [run("100", 0), run("101", 1), run("102", 2)])
+    times = spark.createDataFrame([("08:00:00", "08:01:00"), ("", "55:59:59"), ("soon", "")], "arrival_time string, departure_time string")
+    assert schedule.days_back(times) == 2 and schedule.days_back(times.limit(0)) == 0
+    said = [journey(t, day=str(DAY), estimated=call("Estimated", A, "2024-01-15T08:04:00+01:00")) for t in ("100", "101", "102")]
+    snapshot(tmp_path / "feed", "1.xml", *said)
+    for back, kept in ((1, {"100", "101"}), (schedule.days_back(times), {"100", "101", "102"})):
+        table = str(tmp_path / f"t{back}")
+        trip_table.create_versioned(spark, table)
+        job = jobs.realtime_job(spark, str(tmp_path / "feed"), table, lambda days: rows, stations(spark), days_back=back)
+        jobs.start(job, str(tmp_path / f"progress{back}"), available_now=True).awaitTermination()
+        found = by(trip_table.read_trip_table(spark, table), "trip_id")
+        assert set(found) == kept and all(r["siri_departure_time_real"] for r in found.values())
+
+
 def test_fold_keeps_the_newest_days(spark, tmp_path):
     out = str(tmp_path / "fold")
     sink = jobs.fold_batches(spark, out, stations(spark), siri.number_rows, keep_days=2)
