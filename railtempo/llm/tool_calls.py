@@ -19,24 +19,30 @@ BROADCAST_ROWS = 10_000
 
 
 def depths(calls: DataFrame) -> DataFrame:
-    """id, depth (calls above it) and cyclic of each distinct id, from id and parent.
+    """conv_id, id, depth (calls above it) and cyclic of each distinct id of a conversation, from conv_id, id and parent.
 
     Each round joins every call with its ancestor so far and takes that one's ancestor, which doubles the distance; the
     number of rounds is the logarithm of the longest chain. What hasn't reached an end when chains can't be longer is in
     a cycle or below one, and has no depth. An unknown parent counts as none.
     """
-    ids = calls.filter(F.col("id").isNotNull()).groupBy("id").agg(F.min("parent").alias("parent"))
-    known = ids.select(F.col("id").alias("up"))
-    state = cut(ids.join(known, F.col("parent") == F.col("up"), "left").select("id", "up", F.col("up").isNotNull().cast("long").alias("depth")))
+    ids = calls.filter(F.col("id").isNotNull()).groupBy("conv_id", "id").agg(F.min("parent").alias("parent"))
+    known = ids.select(F.col("conv_id").alias("up_conv"), F.col("id").alias("up"))
+    up = F.col("up")
+    state = ids.join(known, _same("up_conv") & (F.col("parent") == up), "left")
+    state = cut(state.select("conv_id", "id", "up", up.isNotNull().cast("long").alias("depth")))
     rounds = ceil(log2(state.count() + 2)) + 1
     for _ in range(rounds):
-        if state.filter(F.col("up").isNotNull()).isEmpty():
+        if state.filter(up.isNotNull()).isEmpty():
             break
-        above = state.select(F.col("id").alias("a"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        state = state.join(above, F.col("up") == F.col("a"), "left")
-        state = cut(state.select("id", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
-    ends = F.col("up").isNull()
-    return state.select("id", F.when(ends, F.col("depth")).alias("depth"), (~ends).alias("cyclic"))
+        above = state.select(F.col("conv_id").alias("a_conv"), F.col("id").alias("a"), up.alias("next"), F.col("depth").alias("more"))
+        state = state.join(above, _same("a_conv") & (up == F.col("a")), "left")
+        state = cut(state.select("conv_id", "id", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+    return state.select("conv_id", "id", F.when(up.isNull(), F.col("depth")).alias("depth"), up.isNotNull().alias("cyclic"))
+
+
+def _same(conv: str) -> Column:
+    """Of one conversation; rows without one are a conversation together."""
+    return F.col("conv_id").eqNullSafe(F.col(conv))
 
 
 def argument_errors(arguments: Column, parameters: Column) -> Column:
@@ -65,7 +71,8 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame)
     name, parameter, type, required. Sorting by conv_id, depth, kind, seq and id gives an order in which each call comes
     after its parent and each result after its call. line is JSON with sorted keys and no blanks.
 
-    Calls are valid without errors; results if their call is known. Arguments that aren't a JSON object (or repeat a
+    Identifiers count within their conversation: what other conversations call so is something else. Rows without a
+    conv_id are a conversation together. Calls are valid without errors; results if their call is known. Arguments that aren't a JSON object (or repeat a
     key, or are null) are kept as raw text. Calls in a cycle of parents, or below one, have an error and no depth; an
     unknown parent is an error and counts as none. Repeated ids: each row is kept and is an error; their least parent
     counts. Null ids are linked to nothing. Empty tables give an empty result.
@@ -74,14 +81,16 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame)
     if schemas.count() <= BROADCAST_ROWS:
         by_tool = F.broadcast(by_tool)
     ordered = depths(calls)
-    counts = results.groupBy(F.col("call").alias("c")).agg(F.count("*").alias("n_results"))
-    times = calls.groupBy(F.col("id").alias("i")).agg(F.count("*").alias("times"))
-    parents = ordered.select(F.col("id").alias("p"))
+    of = F.col("conv_id")
+    counts = results.groupBy(of.alias("c_conv"), F.col("call").alias("c")).agg(F.count("*").alias("n_results"))
+    times = calls.groupBy(of.alias("i_conv"), F.col("id").alias("i")).agg(F.count("*").alias("times"))
+    parents = ordered.select(of.alias("p_conv"), F.col("id").alias("p"))
+    above = ordered.select(of.alias("o_conv"), F.col("id").alias("o"), "depth", "cyclic")
     linked = (
-        calls.join(ordered.withColumnRenamed("id", "o"), F.col("id") == F.col("o"), "left")
-        .join(counts, F.col("id") == F.col("c"), "left")
-        .join(times, F.col("id") == F.col("i"), "left")
-        .join(parents, F.col("parent") == F.col("p"), "left")
+        calls.join(above, _same("o_conv") & (F.col("id") == F.col("o")), "left")
+        .join(counts, _same("c_conv") & (F.col("id") == F.col("c")), "left")
+        .join(times, _same("i_conv") & (F.col("id") == F.col("i")), "left")
+        .join(parents, _same("p_conv") & (F.col("parent") == F.col("p")), "left")
         .join(by_tool.withColumnRenamed("name", "tool"), F.col("name") == F.col("tool"), "left")
     )
     object_ = F.try_parse_json("arguments")
@@ -114,7 +123,7 @@ def format_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame)
         errors.alias("errors"),
         line.alias("line"),
     )
-    back = results.join(ordered.select(F.col("id").alias("o"), "depth"), F.col("call") == F.col("o"), "left")
+    back = results.join(above, _same("o_conv") & (F.col("call") == F.col("o")), "left")
     line = F.to_json(F.struct("call", "content", "id", F.lit("result").alias("type")))
     orphan = F.when(F.col("o").isNull(), F.array(F.lit("call: unknown"))).otherwise(F.array().cast("array<string>"))
     back = back.select("conv_id", "id", F.lit("result").alias("kind"), "depth", "seq", F.lit(0).cast("long").alias("n_results"), orphan.alias("errors"), line.alias("line"))
@@ -139,9 +148,10 @@ TOOLS = [
 def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Assistant turns as calls, each below the one two turns before; later user turns as results of the turn before.
 
-    The name and faults of a call follow from its text's length: limits as text, no text, a lost bracket.
+    Every conversation numbers its own from the start. The name and faults of a call follow from its text's length:
+    limits as text, no text, a lost bracket.
     """
-    key = lambda letter, turn: F.concat_ws("-", F.concat(F.lit(letter), F.col("conv_id").cast("string")), turn.cast("string"))
+    key = lambda letter, turn: F.concat_ws("-", F.lit(letter), turn.cast("string"))
     text = F.coalesce(F.col("text"), F.lit(""))
     n = F.length(text)
     limit, exact = n.alias("limit"), (n % 2 == 0).alias("exact")
@@ -174,7 +184,7 @@ OP2_SQL = f"""
 WITH RECURSIVE t AS (
     SELECT conv_id, turn, role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM conversations
 ), calls AS (
-    SELECT conv_id, 'c' || conv_id || '-' || turn AS id, CASE WHEN turn > 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS parent,
+    SELECT conv_id, 'c-' || turn AS id, CASE WHEN turn > 2 THEN 'c-' || (turn - 2) END AS parent,
         turn AS seq, ['search', 'translate', 'store', 'draw'][n % 4 + 1] AS name,
         CASE WHEN n % 11 = 0 THEN rtrim(json_object('text', text, 'limit', n, 'exact', n % 2 = 0)::VARCHAR, '}}')
             WHEN n % 7 = 0 THEN json_object('limit', n, 'exact', n % 2 = 0)::VARCHAR
@@ -182,38 +192,41 @@ WITH RECURSIVE t AS (
             ELSE json_object('text', text, 'limit', n, 'exact', n % 2 = 0)::VARCHAR END AS arguments
     FROM t WHERE role = 'assistant'
 ), results AS (
-    SELECT conv_id, 'r' || conv_id || '-' || turn AS id, 'c' || conv_id || '-' || (turn - 1) AS call, turn AS seq, text AS content
+    SELECT conv_id, 'r-' || turn AS id, 'c-' || (turn - 1) AS call, turn AS seq, text AS content
     FROM t WHERE role = 'user' AND turn > 0
 ), tools(name, parameter, type, required) AS (VALUES {_TOOLS}),
-depth(id, depth) AS (
-    SELECT id, 0::BIGINT FROM calls WHERE parent IS NULL OR parent NOT IN (SELECT id FROM calls)
+unknown AS (
+    SELECT conv_id, id FROM calls c WHERE parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.id = c.parent)
+), depth(conv_id, id, depth) AS (
+    SELECT conv_id, id, 0::BIGINT FROM calls c WHERE parent IS NULL OR EXISTS (SELECT 1 FROM unknown u WHERE u.conv_id = c.conv_id AND u.id = c.id)
     UNION ALL
-    SELECT calls.id, (depth.depth + 1)::BIGINT FROM calls JOIN depth ON calls.parent = depth.id
+    SELECT calls.conv_id, calls.id, (depth.depth + 1)::BIGINT FROM calls JOIN depth ON calls.conv_id = depth.conv_id AND calls.parent = depth.id
 ), checked AS (
-    SELECT c.id, s.parameter, s.type, s.required, CASE WHEN json_valid(arguments) THEN json_type(arguments, '$.' || s.parameter) END AS kind
+    SELECT c.conv_id, c.id, s.parameter, s.type, s.required, CASE WHEN json_valid(arguments) THEN json_type(arguments, '$.' || s.parameter) END AS kind
     FROM calls c JOIN tools s USING (name)
 ), faults AS (
-    SELECT id, 1 AS part, 'not a JSON object' AS e FROM calls WHERE NOT json_valid(arguments)
+    SELECT conv_id, id, 1 AS part, 'not a JSON object' AS e FROM calls WHERE NOT json_valid(arguments)
     UNION ALL
-    SELECT id, 1, 'no such tool' FROM calls WHERE json_valid(arguments) AND name NOT IN (SELECT name FROM tools)
+    SELECT conv_id, id, 1, 'no such tool' FROM calls WHERE json_valid(arguments) AND name NOT IN (SELECT name FROM tools)
     UNION ALL
-    SELECT id, 1, parameter || ': missing' FROM checked JOIN calls USING (id) WHERE json_valid(arguments) AND required AND kind IS NULL
+    SELECT conv_id, id, 1, parameter || ': missing' FROM checked JOIN calls USING (conv_id, id) WHERE json_valid(arguments) AND required AND kind IS NULL
     UNION ALL
-    SELECT id, 1, parameter || ': not ' || type FROM checked
+    SELECT conv_id, id, 1, parameter || ': not ' || type FROM checked
     WHERE kind IS NOT NULL AND NOT (
         (type = 'string' AND kind = 'VARCHAR') OR (type IN ('integer', 'number') AND kind IN ('UBIGINT', 'BIGINT')) OR (type = 'boolean' AND kind = 'BOOLEAN'))
     UNION ALL
-    SELECT id, 2, 'parent: unknown' FROM calls WHERE parent IS NOT NULL AND parent NOT IN (SELECT id FROM calls)
-), said AS (SELECT id, string_agg(e, '; ' ORDER BY part, e) AS errors FROM faults GROUP BY id),
-answered AS (SELECT call, count(*) AS n FROM results GROUP BY call)
-SELECT conv_id, c.id, 'call' AS kind, d.depth, seq, coalesce(a.n, 0) AS n_results, s.errors IS NULL AS valid, coalesce(s.errors, '') AS errors,
+    SELECT conv_id, id, 2, 'parent: unknown' FROM unknown
+), said AS (SELECT conv_id, id, string_agg(e, '; ' ORDER BY part, e) AS errors FROM faults GROUP BY 1, 2),
+answered AS (SELECT conv_id, call, count(*) AS n FROM results GROUP BY 1, 2)
+SELECT c.conv_id, c.id, 'call' AS kind, d.depth, seq, coalesce(a.n, 0) AS n_results, s.errors IS NULL AS valid, coalesce(s.errors, '') AS errors,
     CASE WHEN json_valid(arguments) THEN '{{"arguments":{{"exact":' || (arguments ->> '$.exact') || ',"limit":' || json_extract(arguments, '$.limit')::VARCHAR
             || CASE WHEN json_extract(arguments, '$.text') IS NULL THEN '' ELSE ',"text":' || json_extract(arguments, '$.text')::VARCHAR END || '}},' ELSE '{{' END
         || '"id":"' || c.id || '","name":"' || name || '"' || CASE WHEN parent IS NULL THEN '' ELSE ',"parent":"' || parent || '"' END
         || CASE WHEN json_valid(arguments) THEN '' ELSE ',"raw":' || to_json(arguments)::VARCHAR END || ',"type":"call"}}' AS line
-FROM calls c LEFT JOIN depth d ON c.id = d.id LEFT JOIN said s ON c.id = s.id LEFT JOIN answered a ON a.call = c.id
+FROM calls c LEFT JOIN depth d ON c.conv_id = d.conv_id AND c.id = d.id LEFT JOIN said s ON c.conv_id = s.conv_id AND c.id = s.id
+    LEFT JOIN answered a ON a.conv_id = c.conv_id AND a.call = c.id
 UNION ALL
 SELECT r.conv_id, r.id, 'result', d.depth, r.seq, 0, d.id IS NOT NULL, CASE WHEN d.id IS NULL THEN 'call: unknown' ELSE '' END,
     json_object('call', call, 'content', content, 'id', r.id, 'type', 'result')::VARCHAR
-FROM results r LEFT JOIN depth d ON r.call = d.id
+FROM results r LEFT JOIN depth d ON r.conv_id = d.conv_id AND r.call = d.id
 """

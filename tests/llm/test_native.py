@@ -77,13 +77,33 @@ def test_calls_are_ordered_and_checked(spark):
     assert by_id["g"].errors == ["not a JSON object", "parent: cycle"]
     assert "not a JSON object" in by_id["h"].errors and "parent: cycle" in by_id["h"].errors
     assert by_id["e"].errors == ["parent: cycle"]
-    assert all(found["call", "i", s].errors == ["id: repeated"] for s in (8, 9))
+    assert found["call", "i", 8].errors == ["id: repeated"]
+    assert found["call", "i", 9].errors == ["id: repeated", "parent: unknown"]  # "a" is of another conversation
     assert found["call", None, 10].errors == ["no such tool", "id: missing"]
     assert found["result", "r", 3].line == '{"call":"b","content":"say \\"é\\"\\n","id":"r","type":"result"}'
     assert found["result", "r", 3].valid and found["result", "r", 3].depth == 1
     assert not found["result", "t", 5].valid and not found["result", "u", 6].valid
 
 
+def test_identifiers_count_within_their_conversation(spark):
+    """Each of three conversations, one of them without an id, has its own call_1 and call_2."""
+    calls, results = [], []
+    for conv in (1, 2, None):
+        calls += [(conv, "call_1", None, 0, "f", '{"x":1}', 0), (conv, "call_2", "call_1", 2, "f", '{"x":1}', 0)]
+        results += [(conv, "r", "call_2", 3, "done")] * (conv or 0)
+    calls += [(4, "call_9", "call_1", 0, "f", '{"x":1}', 0)]
+    results += [(4, "r", "call_1", 1, "of another one")]
+    make = spark.createDataFrame
+    out = tool_calls.format_tool_calls(make(calls, CALLS), make(results, RESULTS), make([("f", "x", "integer", True)], SCHEMAS)).collect()
+    found = {(r.conv_id, r.id): r for r in out if r.kind == "call"}
+    for conv in (1, 2, None):
+        first, second = found[conv, "call_1"], found[conv, "call_2"]
+        assert (first.depth, first.n_results, first.valid) == (0, 0, True)
+        assert (second.depth, second.n_results, second.valid) == (1, conv or 0, True)
+    assert found[4, "call_9"].errors == ["parent: unknown"]
+    assert [r.errors for r in out if r.kind == "result" and r.conv_id == 4] == [["call: unknown"]] and len(out) == 7 + 4
+
+
 def test_long_chain_takes_few_rounds(spark):
     calls = [(1, f"c{i}", f"c{i - 1}" if i else None, i, "f", '{"x":1}', 0) for i in range(300)]
     found = formatted(spark, calls)
