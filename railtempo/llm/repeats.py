@@ -1,7 +1,8 @@
 """Finds the passages that need comparing across the corpus, and deals them out by content.
 
 Both repeat removers use it: texts are only ever compared around anchors (see winnow) that occur more than once.
-A document is known by its id key and a short hash of its text, so repeated ids and missing ids do no harm.
+A document is known by its id key and a hash of its text, so repeated ids and missing ids do no harm. The hash is one that
+no two texts of one id share, which is checked beforehand.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from railtempo.llm.winnow import BYTE, anchors, word_places
 
 DOC = ["id", "v"]
 SITE = "array<struct<at:int,h:long,n:long>>"
-CONTEXT = "h long, id long, v int, at int, lead int, ctx binary"
+CONTEXT = "h long, id long, v long, at int, lead int, ctx binary"
 CONTEXT_NAMES = ["h", "id", "v", "at", "lead", "ctx"]
-SPAN = "id long, v int, begin int, end int"
+SPAN = "id long, v long, begin int, end int"
+#: Hashes that are tried until no two texts of an id share theirs; one that fails at all is a rare event.
+SEEDS = range(8)
 
 
 @dataclass(frozen=True)
@@ -40,12 +43,26 @@ class Measure:
     hot: int
 
 
+def text_hash(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "text")
+
+
+def sound_seed(docs: DataFrame) -> int:
+    """The first seed with which texts of one id have different hashes; texts are told apart by length and another hash."""
+    for seed in SEEDS:
+        rows = docs.select(id_key().alias("id"), text_hash(seed).alias("v"), F.xxhash64(F.lit(-1), F.length("text"), "text").alias("w"))
+        if rows.groupBy(*DOC).agg(F.min("w").alias("a"), F.max("w").alias("b")).filter("a <> b").isEmpty():
+            return seed
+    raise ValueError("texts of one doc_id share a hash with every seed")
+
+
 def whole_texts(docs: DataFrame, made: set[str]) -> DataFrame:
     """id, v, body and the other columns as one struct, but for those that the result makes."""
+    seed = sound_seed(docs)
     others = [c for c in docs.columns if c.lower() not in made | {"text"}]
     return docs.select(
         id_key().alias("id"),
-        F.hash("text").alias("v"),
+        text_hash(seed).alias("v"),
         text_bytes().alias("body"),
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("others"),
     )
@@ -126,7 +143,7 @@ def cut_rows(m: Measure, hot: bool) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 
 def context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], CONTEXT_NAMES)
 
 
@@ -163,7 +180,7 @@ def sites_of(texts: DataFrame, m: Measure) -> tuple[DataFrame, bool]:
 
     Of whole copies only the first is looked at.
     """
-    found = staged(texts.select(*DOC, "body").mapInArrow(anchor_rows(m), "h long, id long, v int, at int"), "anchors")
+    found = staged(texts.select(*DOC, "body").mapInArrow(anchor_rows(m), "h long, id long, v long, at int"), "anchors")
     again = staged(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "anchors-again")
     sites = found.join(again, "h").groupBy(*DOC).agg(F.collect_list(F.struct("at", "h", "n")).alias("sites"))
     return sites, not again.filter(F.col("n") > m.hot).isEmpty()

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from railtempo.llm import substring_dedup, suffix_dedup, winnow
+from railtempo.llm import repeats, substring_dedup, suffix_dedup, winnow
 from railtempo.llm.suffix_automaton import SuffixAutomaton
 
 
@@ -43,6 +43,22 @@ def test_edge_rows(spark, edge_docs, edge_rows, frequent, hot):
     assert found == brute.earlier_passages(rows, 20)
 
 
+@pytest.mark.parametrize("bad", [0, 3])
+def test_texts_of_one_id_whose_hashes_collide(spark, monkeypatch, bad):
+    """Null and repeated ids, with hashes that all texts share until a later seed."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    shared = prose(60)
+    rows = [(1, f"{shared} a"), (None, f"{prose(3)} {shared} {prose(4)}"), (None, prose(70)), (7, prose(50)), (7, f"{shared} b")]
+    rows += [(None, None), (None, ""), (7, shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    whole = repeats.text_hash
+    monkeypatch.setattr(repeats, "text_hash", lambda seed: F.lit(5).cast("long") if seed < bad else whole(seed))
+    assert collected(suffix_dedup.remove_repeated_strings(docs), "n_bytes") == brute.repeated_strings(rows, 200)
+    passages_left = {(r.doc_id, bytes(r.kept).decode()) for r in substring_dedup.remove_earlier_passages(docs.filter("doc_id IS NULL")).collect()}
+    assert {t for _, t in passages_left} == {t or "" for i, t in rows if i is None}
+
+
 def test_repeated_rows_are_one_document_for_passages(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, text), (1, text), (2, text), (None, text)], "doc_id long, text string")
