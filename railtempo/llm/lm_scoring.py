@@ -1,14 +1,16 @@
 """LM scoring: a log-bilinear model of words, and an add-one unigram beside it.
 
 The model predicts a token from the two before it. Every broadcast word has vectors of its own as a context, one for
-each place; they are summed. First comes the token's class (a frequent word, or words of like frequency), normalised
-over all classes, then the word among those of its class by the decisions of a binary tree, each of which has a vector.
-So the model is normalised exactly, and a word's probability follows its context. Words that aren't broadcast are one
-context and one class, in which each has its add-one share.
-
-It starts from a model of classes alone, trained with noise-contrastive estimation on draws from the counted class
-sequences. Then tasks go over every training token, in steps of many tokens; each begins at the start, and a vector
-becomes the mean of the tasks' vectors, weighted by how often they used it. Word counts grow with the corpus: the most
+each place; they are summed. First comes the token's class, then the word in its class: the most frequent words are
+classes by themselves, the next ones share classes of SIZE words and have vectors of their own there, the others are
+bands of like frequency in which each word has its add-one share, whatever the context. Words that aren't broadcast are
+one context and the last class. Scores are normalised over all classes and over the words of a class, by matrix
+products over many tokens at a time.
+
+Both steps are trained by noise-contrastive estimation in numpy, over every training token. Documents are dealt out by
+hash to shards of some million tokens, whose number follows from the corpus alone, and read in an order of their own. A
+shard begins each round with the same vectors; a vector becomes the mean of the shards', weighted by how often they used
+it. So scores do not depend on how the table is cut or on the cluster. Word counts grow with the corpus: the most
 frequent words are broadcast, their number is fixed; tokens of all other words are joined.
 """
 
@@ -17,7 +19,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from heapq import heapify, heappop, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +29,20 @@ from pyspark.sql import functions as F
 from railtempo.llm.common import documents, id_bucket, slices, staged, text_bytes
 
 END = "\n"  # no word has one
-#: Words that are broadcast, and those of them that are a class of their own.
-HEAD, ALONE = 1 << 17, 40
-#: Classes in all: the end, words of their own, bands of the other broadcast words, and one for the remaining words.
-CLASSES = 64
+#: Words that are broadcast; those of them that are a class of their own; classes of words with vectors, and their size.
+HEAD, ALONE, SHARED, SIZE = 1 << 17, 64, 128, 256
+#: Classes in all: those, bands of the other broadcast words, and one for the remaining words.
+BANDS = 31
+CLASSES = ALONE + SHARED + BANDS + 1
 RARE = CLASSES - 1
-DIM, STEPS, BATCH, NOISE, RATE, SEED = 24, 1500, 2048, 8, 0.1, 9
-#: Of the training over all tokens: tokens of a step, input partitions of a task, the rate, what squares begin with.
-CHUNK, MERGED, WORD_RATE, WORD_SQUARE = 1 << 13, 4, 0.1, 1.0
-#: A vector, its bias, and a 0 that makes the width even.
-WIDTH = DIM + 2
+OWN = ALONE + SHARED * SIZE
+DIM, SEED = 24, 9
+#: Noise classes and noise words of a token, and tokens of a step.
+NOISE, NOISE_WORDS, CHUNK = 32, 6, 1 << 13
+#: The rate, and what the sums of squares begin with.
+RATE, SQUARE = 0.25, 1.0
+#: Tokens of a shard in all rounds.
+SHARD, ROUNDS = 1 << 23, 2
 #: Distinct words a task counts before it hands them on.
 FLUSH = 200_000
 
@@ -90,9 +95,10 @@ def vocabulary(rows: list[tuple[bytes, int]], tokens: int, words: int) -> Vocabu
     rows = [(END.encode(), next((n for w, n in rows if w == END.encode()), 0))] + [r for r in rows if r[0] != END.encode()]
     counts = np.array([n for _, n in rows], np.int64)
     kind = np.arange(len(rows))
-    rest = counts[ALONE:].astype(float)
+    kind[ALONE:OWN] = ALONE + (kind[ALONE:OWN] - ALONE) // SIZE
+    rest = counts[OWN:].astype(float)
     if len(rest):
-        kind[ALONE:] = ALONE + np.minimum((np.cumsum(rest) - rest) / rest.sum() * (RARE - ALONE), RARE - ALONE - 1).astype(int)
+        kind[OWN:] = ALONE + SHARED + np.minimum((np.cumsum(rest) - rest) / rest.sum() * BANDS, BANDS - 1).astype(int)
     held = np.bincount(kind, counts, CLASSES)
     known = np.bincount(kind, counts > 0, CLASSES)
     held[RARE], known[RARE] = tokens - counts.sum(), words - (counts > 0).sum()
@@ -126,140 +132,40 @@ def with_contexts(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np
     return two, one
 
 
-def sequence_rows(shared: Broadcast):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        counts = np.zeros(CLASSES**3, np.int64)
-        for batch in slices(batches):
-            places, sizes, _ = class_lists(batch.column("body").to_pylist(), v)
-            kind = np.where(places < 0, RARE, v.kind[places])
-            two, one = with_contexts(kind, sizes)
-            counts += np.bincount((two * CLASSES + one) * CLASSES + kind, minlength=CLASSES**3)
-        some = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(some), pa.array(counts[some])], ["cell", "n"])
-
-    return rows
-
-
 class LogBilinear:
-    """Scores of a class after two others: (sum of weighted context vectors) times the class vectors, plus a bias."""
-
-    def __init__(self, counts: np.ndarray, steps: int = STEPS, seed: int = SEED) -> None:
-        """counts: of class sequences, CLASSES cubed. Trained by noise-contrastive estimation against class frequencies."""
-        rng = np.random.default_rng(seed)
-        cube = counts.reshape(CLASSES, CLASSES, CLASSES)
-        freq = cube.sum((0, 1)) + 1.0
-        self.noise = freq / freq.sum()
-        self.context = rng.normal(0, 0.1, (2, CLASSES, DIM))
-        self.weight = np.ones((2, DIM))
-        self.target = rng.normal(0, 0.1, (CLASSES, DIM))
-        self.bias = np.log(self.noise)
-        if counts.sum():
-            self.train(counts, steps, rng)
-
-    def train(self, counts: np.ndarray, steps: int, rng: np.random.Generator) -> None:
-        bounds = np.cumsum(counts / counts.sum())
-        bars = np.cumsum(self.noise)
-        log_noise = np.log(NOISE * self.noise)
-        state = [np.full_like(p, 1e-4) for p in (self.context, self.weight, self.target, self.bias)]
-        for _ in range(steps):
-            cell = np.minimum(np.searchsorted(bounds, rng.random(BATCH)), len(counts) - 1)
-            two, one, true = cell // CLASSES**2, cell // CLASSES % CLASSES, cell % CLASSES
-            picks = np.minimum(np.searchsorted(bars, rng.random((BATCH, NOISE))), CLASSES - 1)
-            which = np.concatenate([true[:, None], picks], 1)
-            hidden = self.context[0][two] * self.weight[0] + self.context[1][one] * self.weight[1]
-            vectors = self.target[which]
-            score = np.einsum("bd,bkd->bk", hidden, vectors) + self.bias[which] - log_noise[which]
-            error = -1 / (1 + np.exp(-np.clip(score, -30, 30)))
-            error[:, 0] += 1
-            error /= BATCH
-            pull = np.einsum("bk,bkd->bd", error, vectors)
-            grads = [np.zeros_like(p) for p in (self.context, self.weight, self.target, self.bias)]
-            for k, before in enumerate((two, one)):
-                np.add.at(grads[0][k], before, pull * self.weight[k])
-                grads[1][k] = (pull * self.context[k][before]).sum(0)
-            np.add.at(grads[2], which, error[:, :, None] * hidden[:, None, :])
-            np.add.at(grads[3], which, error)
-            for p, g, s in zip((self.context, self.weight, self.target, self.bias), grads, state, strict=True):
-                s += g * g
-                p += RATE * g / np.sqrt(s)
-
-    def log_probabilities(self) -> np.ndarray:
-        """log10 of each class after each two, in one table: a batch of matrix products, normalised."""
-        hidden = (self.context[0] * self.weight[0])[:, None, :] + (self.context[1] * self.weight[1])[None, :, :]
-        score = hidden.reshape(-1, DIM) @ self.target.T + self.bias
-        score -= score.max(1, keepdims=True)
-        score -= np.log(np.exp(score).sum(1, keepdims=True))
-        return (score / np.log(10)).reshape(CLASSES, CLASSES, CLASSES)
-
-
-def tree(weights: list[float]) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """A Huffman tree: for each leaf, then each decision, the decision above (-1 for none) and its side, 0 or 1; and for
-    each decision the log odds of 1.
-    """
-    heap = [(w, i) for i, w in enumerate(weights)]
-    heapify(heap)
-    above, side = np.full(2 * len(weights) - 1, -1), np.zeros(2 * len(weights) - 1, np.float32)
-    odds: list[float] = []
-    while len(heap) > 1:
-        low, a = heappop(heap)
-        high, b = heap[0]
-        above[a] = above[b] = len(odds)
-        side[b] = 1
-        heapreplace(heap, (low + high, len(weights) + len(odds)))
-        odds.append(float(np.log(high / low)))
-    return above, side, odds
-
-
-def sums(rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Of runs of rows, which begin at these places. Two columns are added as one complex number, which is faster."""
-    return np.add.reduceat(rows.view(np.complex64), begin).view(np.float32)
-
-
-class WordModel:
-    """All vectors in one table: contexts two before and one before (by place; the words that aren't broadcast come
-    last), classes, decisions. Column DIM is a bias; that of the contexts adds up to 1.
+    """All vectors in one table: contexts two before and one before (by place; words that aren't broadcast come last),
+    classes, and the words of shared classes. The last column of the latter two is a bias, that of a context adds to 1.
     """
 
-    def __init__(self, v: Vocabulary, start: LogBilinear) -> None:
-        """At the start, words have the vectors of their classes, and the decisions give the add-one shares."""
+    def __init__(self, v: Vocabulary) -> None:
+        """At the start contexts say nothing, and biases are those of the add-one unigram."""
+        rng = np.random.default_rng(SEED)
         self.kind = np.append(v.kind, RARE)
         contexts = len(self.kind)
         self.one, self.classes = contexts, 2 * contexts
-        found, nodes, sides, odds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], []
-        for k in range(ALONE, RARE):
-            words = np.flatnonzero(v.kind == k)
-            if not len(words):
-                continue
-            above, side, mine = tree((10 ** v.log_count[words]).tolist())
-            at, of = np.arange(len(words)), words
-            while (more := above[at] >= 0).any():
-                at, of = at[more], of[more]
-                found.append(of)
-                nodes.append(above[at] + len(odds))
-                sides.append(side[at])
-                at = above[at] + len(words)
-            odds += mine
-        word = np.concatenate(found)
-        order = np.argsort(word, kind="stable")
-        self.length = np.bincount(word, minlength=contexts)
-        self.first = np.cumsum(self.length) - self.length
-        self.nodes = (np.concatenate(nodes)[order] + self.classes + CLASSES).astype(np.int32)
-        self.sides = np.concatenate(sides)[order].astype(np.int8)
-        self.rows = np.zeros((self.classes + CLASSES + len(odds), WIDTH), np.float32)
-        for k, at in enumerate((0, self.one)):
-            self.rows[at : at + contexts, :DIM] = (start.context[k] * start.weight[k])[self.kind]
+        self.words = self.classes + CLASSES
+        size = v.tokens + v.words
+        size[RARE] += 1
+        self.used = size > 0
+        log_class = np.log(np.maximum(size, 1) / size.sum())
+        #: Words before this place that have no class of their own have vectors in theirs.
+        self.own = own = min(OWN, contexts - 1)
+        self.rows = np.zeros((self.words + max(0, own - ALONE), DIM + 2), np.float32)
         self.rows[self.one : self.classes, DIM] = 1
-        self.rows[self.classes : self.classes + CLASSES, : DIM + 1] = np.column_stack([start.target, start.bias])
-        self.rows[self.classes + CLASSES :, DIM] = odds
-
-    def paths(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens with decisions and where theirs begin; for all decisions their tokens and places."""
-        n = self.length[words]
-        some = np.flatnonzero(n)
-        begin = np.cumsum(n[some]) - n[some]
-        token = np.repeat(some, n[some])
-        return some, begin, token, np.arange(len(token)) + np.repeat(self.first[words[some]] - begin, n[some])
+        self.rows[self.classes :, :DIM] = rng.normal(0, 0.1, (len(self.rows) - self.classes, DIM))
+        self.rows[self.classes : self.words, DIM] = np.where(self.used, log_class, -1e4)
+        self.noise = np.where(self.used, np.exp(log_class), 0)
+        shared = np.arange(ALONE, own)
+        self.rows[self.words :, DIM] = v.log_count[shared] * np.log(10) - np.log(np.maximum(size[v.kind[shared]], 1))
+        #: What a word has in its class whatever the context: nothing to add for those with vectors or alone.
+        bands = np.flatnonzero(self.kind[:-1] >= ALONE + SHARED)
+        self.share = np.zeros(contexts)
+        self.share[bands] = (v.log_count[bands] - v.log_share()[v.kind[bands]]) * np.log(10)
+        #: Of shared classes where their words begin, and how many there are.
+        self.size = np.bincount(v.kind[shared] - ALONE, minlength=SHARED) if len(shared) else np.zeros(SHARED, np.int64)
+
+    def hidden(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        return self.rows.take(two, 0) + self.rows.take(one + self.one, 0)
 
     def log_probabilities(self, two: np.ndarray, one: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural logs, of words after two others; of the last word, which stands for many, its class's."""
@@ -267,95 +173,180 @@ class WordModel:
         for at in range(0, len(words), CHUNK):
             part = slice(at, at + CHUNK)
             w = words[part]
-            hidden = self.rows.take(two[part], 0) + self.rows.take(one[part] + self.one, 0)
-            score = hidden @ self.rows[self.classes : self.classes + CLASSES].T
-            score -= score.max(1, keepdims=True)
-            done = score[np.arange(len(w)), self.kind[w]] - np.log(np.exp(score).sum(1))
-            some, begin, token, place = self.paths(w)
-            if len(some):
-                s = np.einsum("nd,nd->n", hidden.take(token, 0), self.rows.take(self.nodes[place], 0))
-                done[some] -= np.add.reduceat(np.logaddexp(0, np.where(self.sides[place] > 0, -s, s)), begin)
+            hidden = self.hidden(two[part], one[part])
+            kind = self.kind[w]
+            done = _normalised(hidden @ self.rows[self.classes : self.words].T, kind) + self.share[w]
+            inside = np.flatnonzero((w >= ALONE) & (w < self.own))
+            inside = inside[np.argsort(kind[inside], kind="stable")]
+            for group in np.split(inside, np.flatnonzero(np.diff(kind[inside])) + 1):
+                if len(group):
+                    k = kind[group[0]] - ALONE
+                    of = self.rows[self.words + k * SIZE : self.words + k * SIZE + self.size[k]]
+                    done[group] += _normalised(hidden[group] @ of.T, w[group] - ALONE - k * SIZE)
             out[part] = done
         return out
 
 
+def _normalised(score: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Logs of one of each row's probabilities."""
+    score -= score.max(1, keepdims=True)
+    own = score[np.arange(len(which)), which].astype(np.float64)
+    return own - np.log(np.exp(score, out=score).sum(1))
+
+
+def sums(rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Of runs of rows, which begin at these places. Two columns are added as one complex number, which is faster."""
+    return np.add.reduceat(rows.view(np.complex64), begin).view(np.float32)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place of x."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 class Training:
-    """A task's own vectors: gradient steps, scaled by each vector's squares so far."""
+    """A shard's own vectors: noise-contrastive steps, scaled by each vector's squares so far."""
 
-    def __init__(self, model: WordModel) -> None:
+    def __init__(self, model: LogBilinear, shard: int, part: int) -> None:
         self.model = model
         self.rows = model.rows.copy()
-        self.squares = np.full(len(self.rows), WORD_SQUARE, np.float32)
-        self.used = np.zeros(len(self.rows), np.int64)
+        self.squares = np.full(len(self.rows), SQUARE, np.float32)
+        self.times = np.zeros(len(self.rows), np.int64)
+        self.rng = np.random.default_rng([SEED, shard, part])
+        self.noise = (NOISE * model.noise).astype(np.float32)
+        self.log_noise = np.log(np.maximum(self.noise, 1e-30))
 
     def step(self, two: np.ndarray, one: np.ndarray, words: np.ndarray) -> None:
+        """Tokens after two others. Each class is told from noise by frequency, each word from noise words of its class.
+
+        Every class stands for its expected number of noise draws, so there is nothing to draw; words are drawn.
+        """
         m, rows = self.model, self.rows
-        of_classes = slice(m.classes, m.classes + CLASSES)
         one = one + m.one
         hidden = rows.take(two, 0) + rows.take(one, 0)
-        error = hidden @ rows[of_classes].T
-        error -= error.max(1, keepdims=True)
-        np.exp(error, out=error)
-        error /= -error.sum(1, keepdims=True)
-        error[np.arange(len(words)), m.kind[words]] += 1
-        pull = error @ rows[of_classes]
-        some, begin, token, place = m.paths(words)
+        kind = m.kind[words]
+        every = np.arange(len(words))
+        error = hidden @ rows[m.classes : m.words].T
+        right = 1 - _sigmoid(error[every, kind] - self.log_noise[kind])
+        error -= self.log_noise
+        error = _sigmoid(error)
+        error *= -self.noise
+        error[every, kind] += right
+        pull = error @ rows[m.classes : m.words]
         ids, grads = [two, one], [pull, pull]
-        if len(some):
-            nodes = m.nodes[place]
-            vectors, before = rows.take(nodes, 0), hidden.take(token, 0)
-            s = np.einsum("nd,nd->n", before, vectors)
-            off = m.sides[place].astype(np.float32) - 1 / (1 + np.exp(-np.clip(s, -30, 30)))
-            vectors *= off[:, None]
-            before *= off[:, None]
-            pull[some] += sums(vectors, begin)
-            ids.append(nodes)
-            grads.append(before)
-        pull[:, DIM] = 0
-        self.move(np.arange(m.classes, m.classes + CLASSES), error.T @ hidden, np.full(CLASSES, len(words)))
-        every = np.concatenate(ids)
-        order = np.argsort(every)
-        every = every[order]
-        begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-        self.move(every[begin], sums(np.concatenate(grads).take(order, 0), begin), np.diff(np.append(begin, len(every))))
+        inside = np.flatnonzero((words >= ALONE) & (words < m.own))
+        if len(inside):
+            k = kind[inside] - ALONE
+            size = m.size[k]
+            noise = (self.rng.random((len(inside), NOISE_WORDS), np.float32) * size[:, None]).astype(np.int32)
+            which = np.column_stack([words[inside] - ALONE, np.minimum(noise, size[:, None] - 1) + (k * SIZE)[:, None]]) + m.words
+            vectors, before = rows.take(which, 0), hidden.take(inside, 0)
+            off = np.matmul(vectors, before[:, :, None])[:, :, 0]
+            off = _sigmoid(off - np.log(NOISE_WORDS / size)[:, None].astype(np.float32))
+            np.negative(off, out=off)
+            off[:, 0] += 1
+            pull[inside] += np.matmul(off[:, None, :], vectors)[:, 0]
+            ids.append(which.ravel())
+            grads.append((off[:, :, None] * before[:, None, :]).reshape(-1, before.shape[1]))
+        pull[:, DIM:] = 0
+        self.move(np.arange(m.classes, m.words), error.T @ hidden, np.full(CLASSES, len(words)))
+        places = np.concatenate(ids).astype(np.int32)
+        order = np.argsort(places)
+        places = places[order]
+        begin = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+        self.move(places[begin], sums(np.concatenate(grads).take(order, 0), begin), np.diff(np.append(begin, len(places))))
 
     def move(self, ids: np.ndarray, grads: np.ndarray, times: np.ndarray) -> None:
-        self.used[ids] += times
-        self.squares[ids] += np.einsum("nd,nd->n", grads, grads) / WIDTH
-        self.rows[ids] += grads * (WORD_RATE / np.sqrt(self.squares[ids]))[:, None]
+        """The spare column stays zero, as that of the contexts is."""
+        self.times[ids] += times
+        self.squares[ids] += np.einsum("nd,nd->n", grads, grads) / (DIM + 2)
+        self.rows[ids] += grads * (RATE / np.sqrt(self.squares[ids]))[:, None]
 
 
 #: Vectors go in blocks of neighbours: their places, how often each was used, and how far it moved.
 BLOCK, BLOCKS = 1 << 10, "block long, ids binary, n binary, moved binary"
 
 
-def vector_rows(shared: Broadcast):
-    """The vectors that a task used, after its steps, and how often it did."""
+def place_rows(shared: Broadcast):
+    """Texts as the places of their tokens."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, model = shared.value
-        own = Training(model)
+        v = shared.value
         for batch in slices(batches, 256):
             places, sizes, _ = class_lists(batch.column("body").to_pylist(), v)
-            words = np.where(places < 0, len(v.kind), places)
-            two, one = with_contexts(words, sizes)
-            for at in range(0, len(words), CHUNK):
-                own.step(*[x[at : at + CHUNK] for x in (two, one, words)])
-        used = np.flatnonzero(own.used)
+            words = np.where(places < 0, len(v.kind), places).astype(np.int32)
+            held = [x.tobytes() for x in np.split(words, np.cumsum(sizes)[:-1])]
+            yield pa.record_batch([batch.column("shard"), batch.column("turn"), pa.array(held, pa.binary())], ["shard", "turn", "places"])
+
+    return rows
+
+
+def vector_rows(shared: Broadcast, part: int):
+    """The vectors that a shard used, after its steps, and how often it did; rows come by shard, in their order."""
+
+    def moved(own: Training) -> Iterator[pa.RecordBatch]:
+        used = np.flatnonzero(own.times)
         for ids in np.split(used, np.flatnonzero(np.diff(used // BLOCK)) + 1) if len(used) else ():
-            moved = (own.rows[ids] - model.rows[ids]).astype(np.float16)
-            row = [int(ids[0]) // BLOCK, ids.tobytes(), own.used[ids].tobytes(), moved.tobytes()]
+            change = (own.rows[ids] - own.model.rows[ids]).astype(np.float16)
+            row = [int(ids[0]) // BLOCK, ids.tobytes(), own.times[ids].tobytes(), change.tobytes()]
             yield pa.record_batch([pa.array([x]) for x in row], ["block", "ids", "n", "moved"])
 
+    def steps(own: Training, texts: list[np.ndarray], last: bool) -> list[np.ndarray]:
+        """Whole steps, whatever batches the texts came in; what is left of them."""
+        sizes = np.array([len(t) for t in texts])
+        words = np.concatenate(texts).astype(np.int64)
+        two, one = with_contexts(words, sizes)
+        ends = np.cumsum(sizes)
+        done = 0
+        while done < len(texts):
+            begin = ends[done - 1] if done else 0
+            upto = int(np.searchsorted(ends, begin + CHUNK))  # texts that together fill a step
+            if upto >= len(texts):
+                if not last:
+                    break
+                upto = len(texts) - 1
+            part = slice(int(begin), int(ends[upto]))
+            for at in range(part.start, part.stop, 2 * CHUNK):
+                cut = slice(at, min(part.stop, at + 2 * CHUNK))
+                own.step(two[cut], one[cut], words[cut])
+            done = upto + 1
+        return texts[done:]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        own, shard, texts = None, None, []
+        for batch in batches:
+            shards = batch.column("shard").to_numpy()
+            held = batch.column("places")
+            for at in range(batch.num_rows):
+                if shards[at] != shard:
+                    if own is not None:
+                        if texts:
+                            steps(own, texts, True)
+                        yield from moved(own)
+                    shard, texts = shards[at], []
+                    own = Training(model, int(shard), part)
+                texts.append(np.frombuffer(held[at].as_buffer(), np.int32))
+                if len(texts) >= 512:
+                    texts = steps(own, texts, False)
+        if own is not None:
+            if texts:
+                steps(own, texts, True)
+            yield from moved(own)
+
     return rows
 
 
 def block_means(blocks: pa.Table) -> pa.Table:
-    """Of all tasks' rows of a block one, with the means; n is then for all."""
-    total, times = np.zeros((BLOCK, WIDTH)), np.zeros(BLOCK, np.int64)
-    for r in blocks.to_pylist():
+    """Of all shards' rows of a block one, with the means; n is then for all."""
+    total, times = np.zeros((BLOCK, DIM + 2)), np.zeros(BLOCK, np.int64)
+    for r in sorted(blocks.to_pylist(), key=lambda r: (r["ids"], r["n"], r["moved"])):  # sums in one order
         at, n = np.frombuffer(r["ids"], np.int64) % BLOCK, np.frombuffer(r["n"], np.int64)
-        total[at] += np.frombuffer(r["moved"], np.float16).reshape(-1, WIDTH) * n[:, None].astype(float)
+        total[at] += np.frombuffer(r["moved"], np.float16).reshape(-1, DIM + 2) * n[:, None].astype(float)
         times[at] += n
     some = np.flatnonzero(times)
     block = blocks.column("block")[0].as_py()
@@ -363,15 +354,26 @@ def block_means(blocks: pa.Table) -> pa.Table:
     return pa.table([pa.array([x]) for x in row], ["block", "ids", "n", "moved"])
 
 
-def train(bodies: DataFrame, v: Vocabulary, model: WordModel) -> None:
-    """Moves the model's vectors by the means over tasks, which go over all tokens of bodies."""
+def train(bodies: DataFrame, v: Vocabulary, model: LogBilinear, tokens: int) -> None:
+    """Moves the model's vectors, in each round by the means over shards, which go over their share of all tokens.
+
+    bodies: body, and key, which with the body tells where a text belongs.
+    """
     spark = bodies.sparkSession
-    shared = spark.sparkContext.broadcast((v, model))
-    tasks = max(spark.sparkContext.defaultParallelism, -(-bodies.rdd.getNumPartitions() // MERGED))
-    blocks = bodies.coalesce(tasks).mapInArrow(vector_rows(shared), BLOCKS).groupBy("block").applyInArrow(block_means, BLOCKS)
-    for r in blocks.select("ids", "moved").collect():
-        model.rows[np.frombuffer(r.ids, np.int64)] += np.frombuffer(r.moved, np.float32).reshape(-1, WIDTH)
-    shared.destroy()
+    shards = max(1, round(tokens / SHARD))
+    words = spark.sparkContext.broadcast(v)
+    name = F.xxhash64("key", "body")
+    dealt = bodies.select("body", F.pmod(name, F.lit(shards * ROUNDS)).cast("int").alias("shard"), F.xxhash64(F.lit(1), "key", "body").alias("turn"))
+    placed = staged(dealt.mapInArrow(place_rows(words), "shard int, turn long, places binary"), "lm-places")
+    for part in range(ROUNDS):
+        shared = spark.sparkContext.broadcast(model)
+        mine = placed.filter(F.col("shard") % ROUNDS == part).withColumn("shard", F.floor(F.col("shard") / ROUNDS).cast("int"))
+        mine = mine.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "turn", "places")
+        moved = mine.mapInArrow(vector_rows(shared, part), BLOCKS)
+        for r in moved.groupBy("block").applyInArrow(block_means, BLOCKS).select("ids", "moved").collect():
+            model.rows[np.frombuffer(r.ids, np.int64)] += np.frombuffer(r.moved, np.float32).reshape(-1, DIM + 2)
+        shared.destroy()
+    words.destroy()
 
 
 def score_rows(shared: Broadcast):
@@ -417,7 +419,7 @@ def most_frequent(counts: DataFrame, head: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r.word), r.n) for r in kept), key=lambda r: (-r[1], r[0]))
 
 
-def score(docs: DataFrame, training: Column, head: int = HEAD, steps: int = STEPS) -> DataFrame:
+def score(docs: DataFrame, training: Column, head: int = HEAD) -> DataFrame:
     """docs without text, with n_tokens, n_known, train_tokens, base_score and score (log10 probabilities of the text).
 
     training tells the rows to learn from. A null text is empty: its only token is the end. Without training rows every
@@ -427,19 +429,14 @@ def score(docs: DataFrame, training: Column, head: int = HEAD, steps: int = STEP
     made = {"n_tokens", "n_known", "train_tokens", "base_score", "score"}
     others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made | {"text"}]
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("__row"), *others).alias("others"), text_bytes().alias("body"))
-    bodies = docs.filter(training).select(text_bytes().alias("body"))
+    key = F.col("doc_id") if "doc_id" in docs.columns else F.lit(None)
+    bodies = docs.filter(training).select(key.cast("string").alias("key"), text_bytes().alias("body"))
     counts = staged(bodies.mapInArrow(count_rows, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     v = vocabulary(most_frequent(counts, head), total, distinct)
-    shared = spark.sparkContext.broadcast(v)
-    cells = bodies.mapInArrow(sequence_rows(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    cube = np.zeros(CLASSES**3, np.int64)
-    for r in cells:
-        cube[r.cell] = r.n
-    shared.destroy()
-    model = WordModel(v, LogBilinear(cube, steps))
+    model = LogBilinear(v)
     if total:
-        train(bodies, v, model)
+        train(bodies, v, model, total)
     both = spark.sparkContext.broadcast((v, model))
     kind = rows.schema["others"].dataType.simpleString()
     kind = f"others {kind}, n_tokens long, n_known long, counts double, model double, words array<binary>"

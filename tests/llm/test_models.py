@@ -235,31 +235,87 @@ def test_op9_base(spark, sf_dir, table_rows):
 
 @pytest.mark.parametrize("head", [1 << 17, 60, 5])
 def test_lm_edges(spark, edge_docs, edge_rows, head):
-    found = lm_scoring.score(edge_docs, id_bucket(7) != 2, head=head, steps=20).collect()
+    found = lm_scoring.score(edge_docs, id_bucket(7) != 2, head=head).collect()
     same_scores(found, unigram([r[:2] for r in edge_rows], lambda i: bucket(i, 7) != 2))
 
 
 def test_lm_without_rows(spark, edge_docs, no_docs):
-    assert lm_scoring.score(no_docs, F.lit(True), steps=5).isEmpty()
-    found = lm_scoring.score(edge_docs, F.lit(False), steps=5).collect()
+    assert lm_scoring.score(no_docs, F.lit(True)).isEmpty()
+    found = lm_scoring.score(edge_docs, F.lit(False)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 for r in found)
 
 
-def test_model_is_normalised_and_learns():
-    size = lm_scoring.CLASSES
-    counts = np.zeros((size,) * 3, np.int64)
-    counts[1, 2, 3], counts[2, 3, 1], counts[3, 1, 2], counts[1, 2, 4] = 900, 900, 900, 100
-    table = lm_scoring.LogBilinear(counts.ravel(), 400).log_probabilities()
-    assert (10**table).sum(2) == pytest.approx(np.ones((size, size)))
-    assert 10 ** table[1, 2, 3] > 0.5 and 10 ** table[2, 3, 1] > 0.6
+def some_vocabulary(n=9000):
+    """Words alone, in shared classes and in bands, and others that are not broadcast."""
+    rng = np.random.default_rng(6)
+    words = sorted(((f"w{i}".encode(), int(k)) for i, k in enumerate(rng.integers(1, 90, n))), key=lambda r: -r[1])
+    return lm_scoring.vocabulary([(lm_scoring.END.encode(), 7), *words], 20 * n * 90, 3 * n)
+
+
+@pytest.fixture
+def small_classes(monkeypatch):
+    """The same model with fewer words in shared classes."""
+    monkeypatch.setattr(lm_scoring, "SIZE", 16)
+    monkeypatch.setattr(lm_scoring, "OWN", lm_scoring.ALONE + lm_scoring.SHARED * 16)
+
+
+def test_shares_of_bands_add_up():
     v = lm_scoring.vocabulary([(b"the", 50), (lm_scoring.END.encode(), 20), (b"a", 5), (b"b", 5)], 100, 14)
-    shares = 10 ** (v.log_count - v.log_share()[v.kind])
-    for k in range(size - 1):
-        if v.words[k]:
-            assert shares[v.kind == k].sum() == pytest.approx(1)
     assert 10 ** -v.log_share()[lm_scoring.RARE] * (20 + 10 + 1) == pytest.approx(1)
 
 
+def test_model_is_normalised(small_classes):
+    """Over every broadcast word and what stands for the others, before and after vectors have moved."""
+    v = some_vocabulary()
+    model = lm_scoring.LogBilinear(v)
+    every = np.arange(len(v.kind) + 1)
+    assert set(np.unique(model.kind)) == set(range(lm_scoring.CLASSES))
+    shares = 10 ** (v.log_count - v.log_share()[v.kind])
+    for k in range(lm_scoring.ALONE + lm_scoring.SHARED, lm_scoring.RARE):
+        assert shares[v.kind == k].sum() == pytest.approx(1)
+    unigram = np.append(v.log_count - np.log10(v.tokens.sum() + v.words.sum() + 1), v.log_share()[-1] - np.log10(v.tokens.sum() + v.words.sum() + 1))
+    assert model.log_probabilities(every * 0, every * 0 + 60, every) / np.log(10) == pytest.approx(unigram, abs=1e-3)
+    rng = np.random.default_rng(7)
+    model.rows[:, : lm_scoring.DIM + 1] += rng.normal(0, 0.2, (len(model.rows), lm_scoring.DIM + 1))
+    model.rows[: model.one, lm_scoring.DIM] = 0
+    model.rows[model.one : model.classes, lm_scoring.DIM] = 1
+    for two, one in ((0, 0), (3, 60), (5000, len(v.kind))):
+        assert np.exp(model.log_probabilities(every * 0 + two, every * 0 + one, every)).sum() == pytest.approx(1, rel=1e-4)
+
+
+def test_noise_contrastive_steps_learn_classes_and_words(small_classes):
+    """Words alone and words of shared classes that follow one context each."""
+    v = some_vocabulary()
+    model = lm_scoring.LogBilinear(v)
+    own = lm_scoring.Training(model, 0, 0)
+    rng = np.random.default_rng(8)
+    follows = {10: 20, 11: 900, 12: 901, 13: 5}
+    before = np.array(list(follows))
+    after = np.array(list(follows.values()))
+    start = model.log_probabilities(before * 0, before, after)
+    for _ in range(150):
+        pick = rng.integers(0, 4, 400)
+        own.step(np.zeros(400, np.int64), before[pick], after[pick])
+    model.rows[:] = own.rows
+    assert (model.log_probabilities(before * 0, before, after) > np.log(0.3)).all()
+    assert (model.log_probabilities(before * 0, before, after) > start + 2).all()
+    assert np.exp(model.log_probabilities(np.zeros(len(v.kind) + 1, int), np.full(len(v.kind) + 1, 11), np.arange(len(v.kind) + 1))).sum() == pytest.approx(1, rel=1e-4)
+
+
+@pytest.mark.parametrize("shard", [1 << 23, 20_000])
+def test_scores_do_not_depend_on_partitions(spark, sf_dir, monkeypatch, shard):
+    """One shard, and several."""
+    monkeypatch.setattr(lm_scoring, "SHARD", shard)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = []
+    for parts in (4, 64):
+        rows = lm_scoring.score(docs.repartition(parts), id_bucket(7) != 2).collect()
+        found.append(np.array([r.score for r in sorted(rows, key=lambda r: r.doc_id)]))
+        gain = sum(r.score - r.base_score for r in rows if bucket(r.doc_id, 7) == 2)
+        assert gain > 0
+    assert found[0] == pytest.approx(found[1], rel=1e-6)
+
+
 def test_every_broadcast_word_is_a_context_of_its_own(spark):
     """300 words of one frequency, each followed by one other: the word that follows is known, any other is not."""
     rng = np.random.default_rng(5)
@@ -267,25 +323,6 @@ def test_every_broadcast_word_is_a_context_of_its_own(spark):
     rows = [" ".join(" ".join(pairs[k]) for k in rng.integers(0, 150, 40)) for _ in range(1500)]
     asked = [" ".join(p) for p in pairs] + [f"a{i} b{(i + 1) % 150}" for i in range(150)]
     docs = spark.createDataFrame([(i, t, i < 1500) for i, t in enumerate(rows + asked)], "doc_id long, text string, learn boolean")
-    found = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("learn"), steps=50).collect()}
+    found = {r.doc_id: r.score for r in lm_scoring.score(docs, F.col("learn")).collect()}
     right, wrong = (sum(found[1500 + i] for i in range(k, k + 150)) / 150 for k in (0, 150))
     assert right > wrong + 1
-
-
-def test_word_model_is_normalised():
-    rng = np.random.default_rng(6)
-    words = sorted(((f"w{i}".encode(), int(n)) for i, n in enumerate(rng.integers(1, 90, 300))), key=lambda r: -r[1])
-    v = lm_scoring.vocabulary([(lm_scoring.END.encode(), 7), *words], 20_000, 400)
-    counts = rng.integers(0, 5, lm_scoring.CLASSES**3)
-    model = lm_scoring.WordModel(v, lm_scoring.LogBilinear(counts, 5))
-    every = np.arange(len(v.kind) + 1)
-    shares = model.log_probabilities(every * 0 + 3, every * 0 + 60, every)[:-1] / np.log(10)
-    for k in range(lm_scoring.ALONE, lm_scoring.RARE):
-        mine = shares[v.kind == k] - (v.log_count - v.log_share()[v.kind])[v.kind == k]
-        assert mine == pytest.approx(np.full(len(mine), mine[0]), abs=1e-4)
-    model.rows[:] += rng.normal(0, 0.2, model.rows.shape)
-    known = np.unique(model.kind)
-    hidden = model.rows[3] + model.rows[60 + model.one]
-    score = np.exp(model.rows[model.classes : model.classes + lm_scoring.CLASSES] @ hidden)
-    left = score[known].sum() / score.sum()
-    assert np.exp(model.log_probabilities(every * 0 + 3, every * 0 + 60, every)).sum() == pytest.approx(left, rel=1e-4)
