@@ -78,4 +78,4 @@ def test_entry_works_without_this_subpackage(tmp_path):
 def test_every_operator_is_registered():
     entry = importlib.import_module("__spark_entry__")
     names = [k for k in entry.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in entry.queries()
