@@ -124,6 +124,7 @@ def without_hit_words(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, how many lie in windows of benchmark items, and which items those are."""
     found = benchmark_hits(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
         "doc_id",

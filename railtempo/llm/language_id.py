@@ -223,6 +223,7 @@ def held_out() -> Column:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language and a score, learnt from two thirds of the labelled documents."""
     docs = documents(spark, sf_dir)
     samples = learn(docs.filter(~held_out()))
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))

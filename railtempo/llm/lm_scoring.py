@@ -459,6 +459,7 @@ def score(docs: DataFrame, training: Column, head: int = HEAD) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the model and the add-one unigram, both learnt from six sevenths of the documents."""
     held_out = id_bucket(7) == 2
     docs = documents(spark, sf_dir).select("doc_id", "text", held_out.alias("held_out"))
     return score(docs, ~F.col("held_out")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -130,4 +130,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, its source's words and target, and the words that the mix takes."""
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

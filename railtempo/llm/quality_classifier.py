@@ -325,6 +325,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, scorer: Scorer |
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of each class, the likeliest one, and whether it is kept."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = classify(documents(spark, sf_dir).select("doc_id", "text"), labels)
     return judged.select("doc_id", *[f"p_{c}" for c in CLASSES], "label", "kept")

@@ -178,5 +178,6 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base counts, whether they fail, and whether the document is kept."""
     judged = judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")

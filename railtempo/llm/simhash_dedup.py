@@ -163,5 +163,6 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RAD
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest doc_id that it reaches by links of four bits or fewer."""
     groups = near_groups(documents(spark, sf_dir))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

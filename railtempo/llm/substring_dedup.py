@@ -87,6 +87,7 @@ def remove_earlier_passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM,
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, how many go as parts of passages found earlier, and a hash of the rest."""
     done = remove_earlier_passages(documents(spark, sf_dir))
     return done.select("doc_id", "n_words", n_removed().alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 

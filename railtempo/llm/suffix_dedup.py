@@ -118,6 +118,7 @@ def n_removed(removed: str = "removed") -> Column:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes, how many go as parts of strings found elsewhere, in how many runs, and a hash of the rest."""
     done = remove_repeated_strings(documents(spark, sf_dir))
     return done.select(
         "doc_id",

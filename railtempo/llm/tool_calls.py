@@ -173,6 +173,7 @@ def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call and result derived from the whole table of conversations, linked, ordered, checked and as JSON."""
     calls, results = calls_and_results(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     schemas = spark.createDataFrame(TOOLS, "name string, parameter string, type string, required boolean")
     out = format_tool_calls(calls, results, schemas)
