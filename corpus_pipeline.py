@@ -14,12 +14,16 @@ from railtempo.llm.suffix_dedup import remove_repeated_strings
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, trained with the table's labels, holds for clean."""
+    """Documents that the quality classifier, trained with the table's labels, holds for clean.
+
+    Null and empty texts are judged like others, equal rows alike; an empty table stays empty.
+    """
     judged = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.filter("kept").select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies by SimHash; of equal rows one, of texts without words one."""
     return one_of_each_group(docs)
 
 
@@ -33,6 +37,7 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item; null and empty texts have none, equal rows all stay."""
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
