@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from railtempo.functions.status import call_platform, call_status, trip_status
 from railtempo.functions.times import iso_time
 from railtempo.operators.filters import has_departure_day
-from railtempo.operators.updates import SLOT, last_known, with_departure_date
+from railtempo.operators.updates import SLOT, fold_last, with_departure_date
 from railtempo.schema import DEPARTURE_DAY
 
 #: Journeys meet the schedule on train number and departure date.
@@ -158,10 +158,8 @@ def fold_log(log: DataFrame, *kept: str) -> DataFrame:
     Needs no schedule, so it can run before any join: a train that much of the feed is about
     is down to a few rows per task before the shuffle.
     """
-    return log.groupBy(*MATCH, "station", *kept).agg(
-        *last_known([*STATION_VALUES, "trip_status", "polled_at"]),
-        F.count_if(F.col("station") == "").alias("n_updates"),
-    )
+    itself = (F.col("station") == "").cast("int")
+    return fold_last(log, [*MATCH, "station", *kept], [*STATION_VALUES, "trip_status", "polled_at"], itself)
 
 
 def orient_fold(folded: DataFrame, trips: DataFrame, stations: DataFrame) -> DataFrame:

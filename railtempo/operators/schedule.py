@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railtempo.functions.times import service_time, wall_clock
@@ -61,6 +61,21 @@ def with_route(trips: DataFrame, routes: DataFrame) -> DataFrame:
     )
 
 
+def _clock_code(text: Column) -> Column:
+    """The digits of an HH:MM:SS text as a number, -1 for a blank one, null for any other."""
+    return F.when(text.rlike(r"^\d\d:\d\d:\d\d\z"), F.translate(text, ":", "").cast("int")).when(text == "", -1)
+
+
+def _odd_clock(text: Column) -> Column:
+    return F.when(_clock_code(text).isNull(), text)
+
+
+def _clock_text(code: Column) -> Column:
+    """The text that `_clock_code` made a number of."""
+    digits = F.lpad(code.cast("string"), 6, "0")
+    return F.when(code >= 0, F.regexp_replace(digits, r"^(..)(..)(..)$", "$1:$2:$3")).when(code == -1, "")
+
+
 def corridor_trips(
     stop_times: DataFrame, stations: DataFrame, corridors: DataFrame
 ) -> DataFrame:
@@ -83,24 +98,31 @@ def corridor_trips(
         ),
     ).join(stations.select("station_name", F.col("gtfs_stop_id").alias("stop_id")), "station_name")
 
-    at_a, at_b = F.col("is_a"), ~F.col("is_a")
-
-    def first(end):
-        return F.min(F.when(end, F.col("position")))
+    end = {"a": F.col("is_a"), "b": ~F.col("is_a")}
+    times = ("departure", "arrival")
 
-    def last(column, end):
-        return F.max_by(column, F.when(end, F.col("position")))
+    def visits(pick, side):
+        return pick(F.when(end[side], F.col("position")))
 
+    rows = stop_times.join(ends.drop("station_name"), "stop_id").withColumns(
+        {f"{t}_{kind}": of(F.col(f"{t}_time")) for t in times for kind, of in (("code", _clock_code), ("odd", _odd_clock))}
+    )
+    # Numbers only, so this step aggregates by hash; times of another form go along as keys.
+    per_form = rows.groupBy("trip_id", "station_a", "station_b", *[f"{t}_odd" for t in times]).agg(
+        *[visits(pick, side).alias(f"{name}_{side}") for side in end for name, pick in (("first", F.min), ("last", F.max))],
+        *[F.max_by(f"{t}_code", F.when(end[side], F.col("position"))).alias(f"{t}_{side}") for t in times for side in end],
+    )
+    # One row per corridor trip but for odd times. By trip, as the joins with the trips go on.
     folded = (
-        stop_times.join(ends.drop("station_name"), "stop_id")
+        per_form.repartition("trip_id")
         .groupBy("trip_id", "station_a", "station_b")
         .agg(
-            first(at_a).alias("first_a"),
-            first(at_b).alias("first_b"),
-            last("departure_time", at_a).alias("departure_a"),
-            last("departure_time", at_b).alias("departure_b"),
-            last("arrival_time", at_a).alias("arrival_a"),
-            last("arrival_time", at_b).alias("arrival_b"),
+            *[F.min(f"first_{side}").alias(f"first_{side}") for side in end],
+            *[
+                F.max_by(F.coalesce(f"{t}_odd", _clock_text(F.col(f"{t}_{side}"))), f"last_{side}").alias(f"{t}_{side}")
+                for t in times
+                for side in end
+            ],
         )
         .filter(F.col("first_a").isNotNull() & F.col("first_b").isNotNull())
     )
