@@ -385,19 +385,14 @@ def _valid(spark, sf):
     return realtime.valid_journeys(t.journeys(spark, sf))
 
 
-@query
-def siri_scan(spark, sf):
-    """Journeys written as SIRI-ET XML and read back."""
-    path = work_path(spark, "siri")
-    siri.write_snapshot(t.journeys(spark, sf), path)
-
+def _scanned(journeys: DataFrame) -> DataFrame:
     def text(calls: str):
         def fields(c):
             return F.concat_ws("|", *[F.coalesce(c[f], F.lit("~")) for f in siri.SIRI_CALL.names])
 
         return F.array_join(F.transform(calls, fields), ";")
 
-    return siri.read_journeys(spark, path).select(
+    return journeys.select(
         "journey_ref",
         "train_number",
         "journey_date",
@@ -409,6 +404,22 @@ def siri_scan(spark, sf):
     )
 
 
+@query
+def siri_scan(spark, sf):
+    """Journeys written as SIRI-ET XML and read back."""
+    path = work_path(spark, "siri")
+    siri.write_snapshot(t.journeys(spark, sf), path)
+    return _scanned(siri.read_journeys(spark, path))
+
+
+@query
+def siri_scan_split(spark, sf):
+    """The same, with files read by as many tasks as they have splits."""
+    path = work_path(spark, "siri")
+    siri.write_snapshot(t.journeys(spark, sf), path)
+    return _scanned(siri.read_journeys(spark, path, split=True))
+
+
 @query
 def siri_valid_journeys(spark, sf):
     return _valid(spark, sf).select("journey_ref", "train_number", "journey_date")

@@ -886,3 +886,4 @@ FROM trips t LEFT JOIN folded f ON f.trip_headsign = t.trip_headsign
    AND f.departure_station_name = t.departure_station_name
    AND f.arrival_station_name = t.arrival_station_name""",
 }
+SQL["siri_scan_split"] = SQL["siri_scan"]
