@@ -16,8 +16,13 @@ GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PIECES = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)"
 #: Words of a document that are cut into windows at a time.
 BLOCK = 2048
-#: The windows are broadcast if their texts have fewer bytes, else joined by a shuffle.
+#: What is broadcast takes fewer bytes: the windows, else their hashes, to sort out what need not be shuffled.
 BROADCAST_BYTES = 32_000_000
+#: Bytes of a row in a broadcast table beside its texts, and of a hash in one.
+ROW_BYTES = 64
+HASH_BYTES = 24
+#: Every document sends one row that meets one of so many marks, so that documents without hits stay.
+MARKS = 64
 
 
 def words(text: str) -> Column:
@@ -26,30 +31,46 @@ def words(text: str) -> Column:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """text (of a window), n (its words) and items (the ids that have it, as text). Items without words have none."""
+    """text (of a window), n (its words) and item (an id that has it, as text), each once. Items without words have none."""
     cut = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words("text").alias("w"))
     cut = cut.filter(F.size("w") > 0).withColumn("n", F.least(F.size("w"), F.lit(window)))
     at = F.explode(F.sequence(F.lit(1), F.col("size") - F.col("n") + 1))
     cut = cut.withColumn("size", F.size("w")).withColumn("at", at)
     text = F.concat_ws(" ", F.slice("w", F.col("at"), F.col("n")))
-    return cut.select("item", "n", text.alias("text")).groupBy("text", "n").agg(F.collect_set("item").alias("items"))
+    return cut.select(text.alias("text"), "n", "item").distinct()
 
 
-def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """id, v (hash of the text), doc_id, n_words, spans (array of begin, end in words) and items of every row of docs.
+def _mark(number: Column) -> Column:
+    """A text that no window has, as words hold no such character."""
+    return F.concat(F.lit("\x00"), F.pmod(number, F.lit(MARKS)).cast("string"))
+
 
-    A document's windows are joined with the set of the items' windows by their words, so a hit is a verified one. Long
-    documents are cut a block at a time. A null text has no words; an item without words has no windows; an item of
-    fewer words than a window is one window; a null item_id counts as an empty one. Repeated rows are rows of their own.
+def _meet(rows: DataFrame, windows: DataFrame, n_windows: int, n_bytes: int) -> DataFrame:
+    """rows joined with windows by text, which verifies every hit.
+
+    Windows of more than BROADCAST_BYTES are not broadcast. While their hashes take less, rows whose text has none of them
+    are dropped first, so what is shuffled is about the hits; beyond that all rows are.
     """
-    windows = item_windows(items, window)
-    facts = windows.groupBy("n").agg(F.sum(F.octet_length("text") + 64).alias("bytes")).collect()
+    if n_bytes < BROADCAST_BYTES:
+        return rows.join(F.broadcast(windows), "text")
+    if n_windows * HASH_BYTES < BROADCAST_BYTES:
+        hashes = windows.select(F.xxhash64("text").alias("hash"))
+        rows = rows.join(F.broadcast(hashes), F.xxhash64("text") == F.col("hash"), "left_semi")
+    return rows.join(windows, "text")
+
+
+def window_hits(docs: DataFrame, of_items: DataFrame, block: int = BLOCK) -> DataFrame:
+    """row (a number), id, v (hash of the text), doc_id, n_words, spans and texts (the windows that occur) of every row of docs.
+
+    Long documents are cut a block at a time; their windows meet those of the items by their words.
+    """
+    windows = of_items.select("text", "n").distinct()
+    facts = windows.groupBy("n").agg(F.sum(F.octet_length("text") + ROW_BYTES).alias("bytes"), F.count("*").alias("windows")).collect()
     lengths = sorted(r.n for r in facts)
-    # An empty text meets a row that each document sends, so that documents without hits stay.
-    none = windows.sparkSession.range(1).select(F.lit("").alias("text"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("items"))
-    windows = windows.unionByName(none)
-    if sum(r.bytes for r in facts) < BROADCAST_BYTES:
-        windows = F.broadcast(windows)
+    marks = windows.sparkSession.range(MARKS).select(_mark(F.col("id")).alias("text"), F.lit(0).alias("n"))
+    windows = windows.unionByName(marks)
+    n_windows = MARKS + sum(r.windows for r in facts)
+    n_bytes = MARKS * ROW_BYTES + sum(r.bytes for r in facts)
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"),
         id_key().alias("id"),
@@ -68,15 +89,40 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, bloc
         found = lambda i: F.struct((F.col("b.at") + i).alias("at"), F.concat_ws(" ", F.slice("b.w", i + 1, n)).alias("text"))
         return F.transform(places, found)
 
-    here = F.when(F.col("b.at") == 0, F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))))
+    here = F.when(F.col("b.at") == 0, F.array(F.struct(F.lit(0).alias("at"), _mark(F.col("row")).alias("text"))))
     here = F.coalesce(here, F.array().cast("array<struct<at:int,text:string>>"))
     rows = rows.select("row", "id", "v", "doc_id", "n_words", F.explode(F.concat(here, *[cut(n) for n in lengths])).alias("x"))
-    hits = rows.select("row", "id", "v", "doc_id", "n_words", F.col("x.at").alias("at"), F.col("x.text").alias("text")).join(windows, "text")
-    found = hits.groupBy("row", "id", "v", "doc_id", "n_words").agg(
-        F.collect_list(F.when(F.col("n") > 0, F.struct(F.col("at").alias("begin"), (F.col("at") + F.col("n")).alias("end")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    rows = rows.select("row", "id", "v", "doc_id", "n_words", F.col("x.at").alias("at"), F.col("x.text").alias("text"))
+    hit = F.col("n") > 0
+    found = _meet(rows, windows, n_windows, n_bytes).groupBy("row", "id", "v", "doc_id", "n_words").agg(
+        F.collect_list(F.when(hit, F.struct(F.col("at").alias("begin"), (F.col("at") + F.col("n")).alias("end")))).alias("spans"),
+        F.collect_set(F.when(hit, F.col("text"))).alias("texts"),
     )
-    return found.select("id", "v", "doc_id", F.col("n_words").cast("long").alias("n_words"), merged("spans").alias("spans"), "items")
+    return found.withColumn("spans", merged("spans"))
+
+
+def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """id, v (hash of the text), doc_id, n_words, spans (array of begin, end in words) and items of every row of docs.
+
+    A document's windows are joined with the set of the items' windows by their words, so a hit is a verified one; which
+    items have them is looked up for the hits alone. A null text has no words; an item without words has no windows; an
+    item of fewer words than a window is one window; a null item_id counts as an empty one. Repeated rows are rows of
+    their own.
+    """
+    of_items = item_windows(items, window)
+    found = window_hits(docs, of_items, block)
+    owners = of_items.select("text", "item")
+    size = owners.agg(F.sum(F.octet_length("text") + F.octet_length("item") + ROW_BYTES)).first()[0] or 0
+    if size < BROADCAST_BYTES:
+        owners = F.broadcast(owners)
+    # One row per window that occurs, of which the first carries the spans.
+    keys = ["row", "id", "v", "doc_id", "n_words"]
+    listed = found.select(*keys, "spans", F.posexplode_outer("texts").alias("at", "text"))
+    listed = listed.withColumn("spans", F.when(F.coalesce("at", F.lit(0)) == 0, F.col("spans"))).join(owners, "text", "left")
+    each = listed.groupBy(*keys).agg(
+        F.first("spans", ignorenulls=True).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")
+    )
+    return each.select("id", "v", "doc_id", F.col("n_words").cast("long").alias("n_words"), "spans", "items")
 
 
 def merged(spans: str) -> Column:
@@ -107,15 +153,20 @@ def covered(spans: str = "spans") -> Column:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs that hold no window of an item."""
-    bad = benchmark_hits(docs, items, window).filter(F.size("spans") > 0).select("id", "v").distinct()
+    """The rows of docs that hold no window of an item. Rows with null ids or texts, and repeated rows, are judged like any other."""
+    found = window_hits(docs, item_windows(items, window))
+    bad = found.filter(F.size("spans") > 0).select("id", "v").distinct()
     keyed = docs.withColumns({"__id": id_key(), "__v": F.xxhash64("text")})
     return keyed.join(bad, (F.col("__id") == F.col("id")) & (F.col("__v") == F.col("v")), "left_anti").drop("__id", "__v")
 
 
 def without_hit_words(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs with the hit words, and what follows each up to the next word, cut out of text; other texts stay as they are."""
-    bad = benchmark_hits(docs, items, window).filter(F.size("spans") > 0).select("id", "v", F.col("spans").alias("__spans")).dropDuplicates(["id", "v"])
+    """docs with the hit words, and what follows each up to the next word, cut out of text.
+
+    Other texts, nulls among them, stay as they are; a null id is an id like any other.
+    """
+    found = window_hits(docs, item_windows(items, window)).filter(F.size("spans") > 0)
+    bad = found.select("id", "v", F.col("spans").alias("__spans")).dropDuplicates(["id", "v"])
     keyed = docs.withColumns({"__id": id_key(), "__v": F.xxhash64("text")})
     both = keyed.join(bad, (F.col("__id") == F.col("id")) & (F.col("__v") == F.col("v")), "left")
     inside = lambda i: F.exists("__spans", lambda s: (s["begin"] <= i) & (i < s["end"]))

@@ -159,6 +159,22 @@ def test_hits(spark, edge_docs, edge_rows, block, limit, monkeypatch):
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_hits([r[:2] for r in edge_rows], ITEMS)
 
 
+def test_windows_whose_hashes_alone_are_broadcast(spark, edge_docs, edge_rows, monkeypatch):
+    """Beyond the limit for texts, below that for hashes; one window belongs to very many items."""
+    shared = " ".join(f"shared{i}" for i in range(12))
+    items = [*ITEMS, *[(1000 + i, f"{shared} tail{i}") for i in range(300)]]
+    rows = [*[r[:2] for r in edge_rows], (900001, f"before {shared} after"), (900001, f"before {shared} after")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    windows = decontaminate.item_windows(table).select("text").distinct().count()
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", (windows + decontaminate.MARKS) * decontaminate.HASH_BYTES + 1)
+    docs = edge_docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows[-2:], "doc_id long, text string"))
+    found = decontaminate.benchmark_hits(docs, table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and without_python(found.select("doc_id"))
+    found = found.select("doc_id", "n_words", decontaminate.covered(), "items")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_hits(rows, items)
+
+
 def test_clean_documents_and_spans(spark, edge_docs, edge_rows, no_docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     hits = brute_hits([r[:2] for r in edge_rows], ITEMS)
