@@ -29,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RANGE_START, RANGE_END = date(2024, 1, 8), date(2024, 1, 21)
+#: Journeys of one task where a stream deals them out, beyond the number of cores.
+ROWS_PER_PART = 500_000
 VALUES = [*updates.REALTIME_COLUMNS, "siri_updated_at"]
 
 
@@ -618,9 +620,9 @@ def _appended(stream: DataFrame, spark, name) -> DataFrame:
 
 
 def _journey_stream(spark, sf):
-    """In even partitions, as `tables.lines`: the one file that arrives is one split."""
-    lines = t.table_stream(spark, sf, "lineitem").repartition(spark.sparkContext.defaultParallelism)
-    return t.journeys_of(lines)
+    """In even partitions, as `tables.lines`: the one file that arrives is one split. Their number grows with the table."""
+    n = max(spark.sparkContext.defaultParallelism, t.table(spark, sf, "lineitem").count() // ROWS_PER_PART)
+    return t.journeys_of(t.table_stream(spark, sf, "lineitem").repartition(n))
 
 
 @query

@@ -20,9 +20,9 @@ from railtempo.operators.realtime import (
     MATCH,
     build_updates,
     feed_log,
-    fold_feed,
     fold_log,
     known_slots,
+    orient_fold,
     oriented_updates,
     station_values,
     valid_journeys,
@@ -348,15 +348,16 @@ def upsert_batches(
     def write(batch: DataFrame, batch_id: int) -> None:
         recover(spark, table)
         journeys = valid_journeys(prepare(batch)).filter(F.col("departure_date").isNotNull())
-        journeys = journeys.persist()  # read for its days, and folded
+        # Read for its days, and matched: a few rows per train and day, where the journeys would be the whole batch.
+        folded = fold_log(feed_log(journeys, stations)).persist()
         try:
-            days = [r.departure_date for r in journeys.select("departure_date").distinct().collect()]
+            days = [r.departure_date for r in folded.select("departure_date").distinct().collect()]
             if days:
                 load(days)
                 trips = read_trip_table(spark, table).filter(F.col(DEPARTURE_DAY.name).isin(days))
-                upsert(spark, table, fold_feed(journeys, trips, stations), SLOT)
+                upsert(spark, table, orient_fold(folded, trips, stations), SLOT)
         finally:
-            journeys.unpersist()
+            folded.unpersist()
 
     def load(days: list[date]) -> None:
         concerned = {d - timedelta(days=back) for d in days for back in range(days_back + 1)}
