@@ -715,9 +715,11 @@ def stream_update_dedup(spark, sf):
     stream = _deliveries(_journey_stream(spark, sf))
     polls = stream.withColumn("later", F.explode(F.array(F.lit(0), F.lit(2))))
     polls = polls.withColumn("polled_at", F.timestamp_add("MINUTE", F.col("later"), "polled_at"))
-    twice = polls.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(2))))
-    unique = jobs.first_deliveries(twice, jobs.POLLED, "polled_at").drop("later", "delivery")
-    return _appended(unique, spark, "unique-journeys")
+    twice = polls.withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("later", "delivery")
+    path = work_path(spark, "unique-journeys")
+    sink = jobs.deliveries_sink(spark, path, jobs.POLLED, "polled_at")
+    _run(twice.writeStream.foreachBatch(sink), spark, "unique-journeys")
+    return jobs.kept_deliveries(spark, path, twice.schema)
 
 
 @query
@@ -728,6 +730,7 @@ def stream_late_updates(spark, sf):
     """
     landing, path = work_path(spark, "deliveries"), work_path(spark, "in-time")
     progress = work_path(spark, "in-time-progress")
+    sink = jobs.deliveries_sink(spark, path, jobs.POLLED, "polled_at", jobs.LATE_LIMIT)
     lines = t.table(spark, sf, "lineitem")
 
     def deliver(status: str) -> None:
@@ -735,13 +738,11 @@ def stream_late_updates(spark, sf):
         _deliveries(arrived).write.mode("append").parquet(landing)
         schema = _deliveries(arrived).schema
         stream = spark.readStream.schema(schema).parquet(landing)
-        kept = jobs.first_deliveries(stream, jobs.POLLED, "polled_at", jobs.LATE_LIMIT)
-        writer = kept.writeStream.format("parquet").option("path", path).outputMode("append")
-        jobs.start(writer, progress, available_now=True).awaitTermination()
+        jobs.start(stream.writeStream.foreachBatch(sink), progress, available_now=True).awaitTermination()
 
     deliver("O")
     deliver("F")
-    return spark.read.parquet(path)
+    return jobs.kept_deliveries(spark, path, _deliveries(t.journeys_of(lines)).schema)
 
 
 @query

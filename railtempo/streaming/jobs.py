@@ -139,7 +139,12 @@ POLLED = ["journey_ref", "polled_at"]
 def first_deliveries(
     updates: DataFrame, keys: list[str], event_time: str, late_limit: str = LATE_LIMIT
 ) -> DataFrame:
-    """Drop repeated deliveries, and anything older than the watermark."""
+    """Drop repeated deliveries, and anything older than the watermark; a batch has no watermark.
+
+    A stream's keys lie in the state store. Where they are more than executors can hold, `deliveries_sink` does the same.
+    """
+    if not updates.isStreaming:
+        return updates.dropDuplicates(keys)
     return updates.withWatermark(event_time, late_limit).dropDuplicatesWithinWatermark(keys)
 
 
@@ -170,6 +175,51 @@ def newest_batch(spark: SparkSession, path: str) -> DataFrame:
     return batches.filter(F.col("batch") == last).drop("batch")
 
 
+def deliveries_sink(
+    spark: SparkSession, path: str, keys: list[str], event_time: str, late_limit: str = LATE_LIMIT
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink that keeps each delivery once: `first_deliveries` of a stream, whose keys may outgrow memory.
+
+    Each batch is a folder of its own, and the folders are all that is remembered: a batch is
+    sorted out by itself and against those kept rows that lie after the watermark. As `event_time`
+    is one of the keys, a repeated row is as old as the one that was kept, so nothing older is
+    looked for, and the kept rows tell the watermark. A batch that is run again replaces its own folder.
+    """
+    if event_time not in keys:
+        raise ValueError(f"{event_time} is not among the keys {keys}")
+    at = F.col(event_time).cast("timestamp")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ended = [b for b in _folders(spark, f"{path}/newest") if b < batch_id]
+        newest = {r.batch: r.micros for r in spark.read.parquet(f"{path}/newest/batch={ended[-1]}").collect()} if ended else {}
+        # As Spark's: whole milliseconds, and before the first batch nothing after 1970 is late.
+        last = F.timestamp_micros(F.lit(max(newest.values()) // 1000 * 1000 if newest else 0))
+        mark = spark.range(1).select(F.unix_micros(last - F.expr(f"INTERVAL {late_limit}"))).first()[0] if newest else 0
+        in_time = at > F.timestamp_micros(F.lit(mark))
+        new = first_deliveries(batch.filter(at.isNull() | in_time), keys, event_time)
+        newest = {b: micros for b, micros in newest.items() if micros > mark or micros == max(newest.values())}
+        if newest:
+            held = spark.read.schema(batch.schema).parquet(*[f"{path}/rows/batch={b}" for b in newest]).filter(in_time)
+            same = [F.col(f"n.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+            new = new.alias("n").join(held.alias("h"), same, "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        kept = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
+        latest = kept.agg(F.max(F.unix_micros(at))).first()[0]
+        known = [*newest.items(), *([] if latest is None else [(batch_id, latest)])]
+        told = spark.createDataFrame(known, "batch long, micros long").coalesce(1)
+        told.write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
+        for old in ended[:-1]:
+            delete_path(spark, f"{path}/newest/batch={old}")
+
+    return write
+
+
+def kept_deliveries(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `deliveries_sink` has kept so far."""
+    folders = [f"{path}/rows/batch={b}" for b in _folders(spark, f"{path}/rows")]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def fold_batches(
     spark: SparkSession,
     path: str,

@@ -1,7 +1,7 @@
 """What queries hold per task or per pair does not grow beside the feed."""
 
 from collections import Counter
-from datetime import date
+from datetime import date, datetime
 
 import pyspark.sql.classic.dataframe as classic
 from helpers import A, B, trip, trips
@@ -60,3 +60,41 @@ def test_parts_of_the_journey_stream_grow_with_the_table(spark, monkeypatch):
     n = tables.table(spark, SF, "lineitem").count() // 100
     plan = queries._journey_stream(spark, SF)._jdf.queryExecution().logical().toString()
     assert n > 8 and f"Repartition {n}, true" in plan
+
+
+def test_kept_deliveries_are_those_of_the_state_store(spark, tmp_path):
+    schema, batches = "key string, other int, at timestamp", [
+        [("a", 1, "2024-01-03T00:00:00"), ("a", 1, "2024-01-03T00:00:00"), ("b", 1, "2024-01-01T00:00:00"), ("c", 1, None), ("c", 1, None)],
+        [("late", 2, "2024-01-02T00:00:00"), ("in_time", 2, "2024-01-02T00:00:01"), ("a", 2, "2024-01-03T00:00:00"), (None, 2, "2024-01-03T00:00:00")],
+        [(None, 3, "2024-01-03T00:00:00"), ("in_time", 3, "2024-01-02T00:00:01"), ("a", 3, "2024-01-03T00:00:01"), ("d", 3, "2024-01-09T00:00:00")],
+        [("a", 4, "2024-01-03T00:00:01"), ("d", 4, "2024-01-09T00:00:00"), ("e", 4, "2024-01-08T00:00:01")],
+    ]
+    landing, out, path = (str(tmp_path / n) for n in ("in", "out", "kept"))
+    sink, frames = jobs.deliveries_sink(spark, path, ["key", "at"], "at"), []
+    for rows in batches:
+        frames.append(spark.createDataFrame([(k, n, a and datetime.fromisoformat(a)) for k, n, a in rows], schema).coalesce(1))
+        frames[-1].write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        unique = jobs.first_deliveries(stream, ["key", "at"], "at")
+        writer = unique.writeStream.format("parquet").option("path", out).outputMode("append")
+        jobs.start(writer, str(tmp_path / "progress"), available_now=True).awaitTermination()
+        query = jobs.start(stream.writeStream.foreachBatch(sink), str(tmp_path / "kept-progress"), available_now=True)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"] == []
+    kept = sorted(map(str, jobs.kept_deliveries(spark, path, unique.schema).collect()))
+    assert kept == sorted(map(str, spark.read.parquet(out).collect())) and len(kept) == 8
+    sink(frames[-1], 3)  # again, after a failure
+    assert kept == sorted(map(str, jobs.kept_deliveries(spark, path, unique.schema).collect()))
+
+
+def test_update_dedup_keeps_no_keys_in_the_state_store(spark, monkeypatch):
+    held, start = [], jobs.start
+
+    def started(*args, **more):
+        held.append(start(*args, **more))
+        return held[-1]
+
+    monkeypatch.setattr(jobs, "start", started)
+    for name in ("stream_update_dedup", "stream_late_updates"):
+        assert queries.QUERIES[name](spark, SF).count() > 0
+    assert len(held) == 3 and all(q.lastProgress["stateOperators"] == [] for q in held)
