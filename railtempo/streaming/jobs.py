@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,65 @@ def renewing_update_stream(
     return oriented_updates(matched.select(*[F.col(f"j.{c}") for c in kept], *[F.col(f"s.{c}") for c in SLOTS.fieldNames()]))
 
 
+FEED, SCHEDULE = "feed", "schedule"
+
+
+def feed_and_schedule(journeys: DataFrame, slots: DataFrame) -> DataFrame:
+    """Both streams as one, for `updates_sink`."""
+    sides = {FEED: journeys, SCHEDULE: slots}
+    feed, schedule = (df.select(F.lit(side).alias("side"), F.struct(*df.columns).alias(side)) for side, df in sides.items())
+    return feed.unionByName(schedule, allowMissingColumns=True)
+
+
+def updates_sink(
+    spark: SparkSession, path: str, late_limit: str = "1 day", late_days: int = 7, ahead_days: int = 7
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink of `feed_and_schedule`: `renewing_update_stream`, whose two sides may outgrow memory.
+
+    What has come lies in a folder per batch and side. New journeys meet all slots, slots that
+    are new meet the journeys before them as well; only folders that rows after the watermark
+    can still meet are read and kept. A batch that is run again replaces its own folders.
+    """
+    times = {FEED: F.col("polled_at").cast("timestamp"), SCHEDULE: F.col("departure_date").cast("timestamp")}
+    reach = {FEED: ahead_days, SCHEDULE: late_days + 1}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        def rows(side: str, batches: list[int]) -> DataFrame:
+            folders = [f"{path}/in/batch={b}/side={side}" for b in batches]
+            return spark.read.schema(T.StructType([batch.schema[side]])).parquet(*folders).select(f"{side}.*")
+
+        newest = _newest(spark, path, batch_id)
+        mark = _watermark(spark, {FEED: late_limit, SCHEDULE: f"{late_days} days"}, newest)
+        came = F.coalesce(F.col(f"{FEED}.polled_at").cast("timestamp"), F.col(f"{SCHEDULE}.departure_date").cast("timestamp"))
+        new = batch.filter(came > F.timestamp_micros(F.lit(mark)))
+        new.write.mode("overwrite").partitionBy("side").parquet(f"{path}/in/batch={batch_id}")
+        arrived = [s for s in (FEED, SCHEDULE) if f"side={s}" in list_names(spark, f"{path}/in/batch={batch_id}")]
+        needed = {k: m for k, m in newest.items() if m > mark - reach[k[0]] * 86_400_000_000}
+        held = {s: [b for side, b in needed if side == s] for s in (FEED, SCHEDULE)}
+        now = {s: [batch_id] if s in arrived else [] for s in (FEED, SCHEDULE)}
+        found = [
+            renewing_update_stream(rows(FEED, feed), rows(SCHEDULE, slots), late_limit, late_days, ahead_days)
+            for feed, slots in ((now[FEED], held[SCHEDULE] + now[SCHEDULE]), (held[FEED], now[SCHEDULE]))
+            if feed and slots
+        ]
+        if found:
+            reduce(DataFrame.unionByName, found).write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+        last = {s: rows(s, now[s]) if s == SCHEDULE else valid_journeys(rows(s, now[s])) for s in arrived}
+        told = {(s, batch_id): df.agg(F.max(F.unix_micros(times[s]))).first()[0] for s, df in last.items()}
+        tops = [max((m for (of, _), m in newest.items() if of == s), default=None) for s in (FEED, SCHEDULE)]
+        _remember(spark, path, batch_id, {k: m for k, m in newest.items() if k in needed or m in tops} | told)
+        for side, b in _newest(spark, path, batch_id, 2).keys() - newest.keys():
+            delete_path(spark, f"{path}/in/batch={b}/side={side}")
+
+    return write
+
+
+def kept_updates(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `updates_sink` has written so far."""
+    folders = [f"{path}/out/batch={b}" for b in _folders(spark, f"{path}/out")]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 # --- stateful streams ---------------------------------------------------------------------
 
 
@@ -190,30 +250,51 @@ def deliveries_sink(
     at = F.col(event_time).cast("timestamp")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ended = [b for b in _folders(spark, f"{path}/newest") if b < batch_id]
-        newest = {r.batch: r.micros for r in spark.read.parquet(f"{path}/newest/batch={ended[-1]}").collect()} if ended else {}
-        # As Spark's: whole milliseconds, and before the first batch nothing after 1970 is late.
-        last = F.timestamp_micros(F.lit(max(newest.values()) // 1000 * 1000 if newest else 0))
-        mark = spark.range(1).select(F.unix_micros(last - F.expr(f"INTERVAL {late_limit}"))).first()[0] if newest else 0
+        newest = _newest(spark, path, batch_id)
+        mark = _watermark(spark, {"rows": late_limit}, newest)
         in_time = at > F.timestamp_micros(F.lit(mark))
         new = first_deliveries(batch.filter(at.isNull() | in_time), keys, event_time)
-        newest = {b: micros for b, micros in newest.items() if micros > mark or micros == max(newest.values())}
-        if newest:
-            held = spark.read.schema(batch.schema).parquet(*[f"{path}/rows/batch={b}" for b in newest]).filter(in_time)
+        alive = [b for (_, b), micros in newest.items() if micros > mark]
+        if alive:
+            held = spark.read.schema(batch.schema).parquet(*[f"{path}/rows/batch={b}" for b in alive]).filter(in_time)
             same = [F.col(f"n.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
             new = new.alias("n").join(held.alias("h"), same, "left_anti")
         new.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
         kept = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}")
-        latest = kept.agg(F.max(F.unix_micros(at))).first()[0]
-        known = [*newest.items(), *([] if latest is None else [(batch_id, latest)])]
-        told = spark.createDataFrame(known, "batch long, micros long").coalesce(1)
-        told.write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
-        for old in ended[:-1]:
-            delete_path(spark, f"{path}/newest/batch={old}")
+        told = {k: m for k, m in newest.items() if m > mark or m == max(newest.values())}
+        _remember(spark, path, batch_id, told | {("rows", batch_id): kept.agg(F.max(F.unix_micros(at))).first()[0]})
 
     return write
 
 
+def _newest(spark: SparkSession, path: str, batch_id: int, back: int = 1) -> dict[tuple[str, int], int]:
+    """What a sink has remembered before a batch, or that many batches back: of each side and batch still needed the newest time."""
+    ended = [b for b in _folders(spark, f"{path}/newest") if b < batch_id]
+    if len(ended) < back:
+        return {}
+    return {(r.side, r.batch): r.micros for r in spark.read.parquet(f"{path}/newest/batch={ended[-back]}").collect()}
+
+
+def _remember(spark: SparkSession, path: str, batch_id: int, newest: dict[tuple[str, int], int | None]) -> None:
+    """The last thing a sink does with a batch; a side without times has none to remember."""
+    known = [(side, b, micros) for (side, b), micros in newest.items() if micros is not None]
+    told = spark.createDataFrame(known, "side string, batch long, micros long").coalesce(1)
+    told.write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
+    for old in [b for b in _folders(spark, f"{path}/newest") if b < batch_id][:-2]:
+        delete_path(spark, f"{path}/newest/batch={old}")
+
+
+def _watermark(spark: SparkSession, limits: dict[str, str], newest: dict[tuple[str, int], int]) -> int:
+    """As Spark's, in microseconds: that of the oldest side, to the millisecond, and 1970 until all sides have rows."""
+    marks = []
+    for side, limit in limits.items():
+        last = max((micros for (of, _), micros in newest.items() if of == side), default=None)
+        if last is None:
+            return 0
+        marks.append(spark.sql(f"SELECT unix_micros(timestamp_micros({last // 1000 * 1000}) - INTERVAL {limit})").first()[0])
+    return min(marks)
+
+
 def kept_deliveries(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What `deliveries_sink` has kept so far."""
     folders = [f"{path}/rows/batch={b}" for b in _folders(spark, f"{path}/rows")]

@@ -1,0 +1,84 @@
+"""Feed and schedule as two streams whose sides lie in files: the cases of the state store, and what is kept."""
+
+from datetime import timedelta
+
+import pytest
+from test_running import said
+from test_schedule_stream import DAY, Job, found
+from test_schedule_stream import test_day_loaded_after_start_is_matched as test_day_loaded_after_start_is_kept  # noqa: F401
+from test_schedule_stream import test_equals_the_batch_join as test_kept_equals_the_batch_join  # noqa: F401
+from test_schedule_stream import test_odd_dates_make_nothing_old as test_odd_dates_keep_all  # noqa: F401
+
+from railtempo.plans import queries
+from railtempo.sources import siri
+from railtempo.streaming import jobs
+
+SF = "/root/testdata/sf0.001"
+
+
+class KeptJob(Job):
+    def run(self):
+        feed = siri.stream_journeys(self.spark, str(self.at / "feed"))
+        slots = jobs.slot_stream(self.spark, str(self.at / "slots"))
+        self.sink = jobs.updates_sink(self.spark, str(self.at / "out"), **self.limits)
+        self.batches = []
+
+        def write(batch, batch_id):
+            self.batches.append((batch.localCheckpoint(), batch_id))
+            self.sink(batch, batch_id)
+
+        writer = jobs.feed_and_schedule(feed, slots).writeStream.foreachBatch(write)
+        query = jobs.start(writer, str(self.at / "progress"), available_now=True)
+        query.awaitTermination()
+        assert not query.lastProgress or query.lastProgress["stateOperators"] == []
+        return self.found(jobs.renewing_update_stream(feed, slots).schema)
+
+    def found(self, schema):
+        kept = jobs.kept_updates(self.spark, str(self.at / "out"), schema)
+        return sorted(tuple(r) for r in kept.select("trip_headsign", "departure_date", "siri_departure_time_real").collect())
+
+    def folders(self):
+        return sorted(str(p.relative_to(self.at / "out" / "in")) for p in (self.at / "out" / "in").glob("batch=*/side=*"))
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    return KeptJob(spark, tmp_path)
+
+
+def test_kept_sides_fall_and_late_rows_are_dropped(spark, tmp_path):
+    job = KeptJob(spark, tmp_path, late_limit="1 hour", late_days=1, ahead_days=1)
+    days = [DAY + timedelta(days=n) for n in range(12)]
+    for day in days:
+        job.load(day, "847")
+        job.poll(said(day, 4))
+        assert found(day, 4) in job.run()
+    assert len(job.folders()) < 2 * 12 / 2
+    job.poll(said(days[0], 7))  # late
+    assert len(job.run()) == 12
+
+
+def test_batch_again_replaces_its_own(spark, tmp_path):
+    job = KeptJob(spark, tmp_path)
+    job.load(DAY, "847")
+    job.poll(said(DAY, 4), said(DAY + timedelta(days=1), 5))
+    job.run()
+    job.load(DAY + timedelta(days=1), "847")
+    job.poll(said(DAY + timedelta(days=1), 9))
+    once = job.run()
+    batch, number = job.batches[-1]
+    job.sink(batch, number)
+    schema = jobs.renewing_update_stream(siri.stream_journeys(spark, str(job.at / "feed")), jobs.slot_stream(spark, str(job.at / "slots"))).schema
+    assert job.found(schema) == once and len(once) == 3
+
+
+def test_schedule_join_keeps_no_rows_in_the_state_store(spark, monkeypatch):
+    held, start = [], jobs.start
+
+    def started(*args, **more):
+        held.append(start(*args, **more))
+        return held[-1]
+
+    monkeypatch.setattr(jobs, "start", started)
+    assert queries.QUERIES["stream_schedule_join"](spark, SF).count() > 0
+    assert len(held) == 2 and all(q.lastProgress["stateOperators"] == [] for q in held)
