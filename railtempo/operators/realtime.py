@@ -125,18 +125,22 @@ def feed_log(journeys: DataFrame, stations: DataFrame, *kept: str) -> DataFrame:
 
     `kept` are further columns of the journeys that all their rows have.
     """
-    ordered, last_only = _last_calls(journeys)
-    calls_and_self = F.concat(last_only, F.array(F.lit(None)))
-    exploded = ordered.select(
-        *MATCH,
-        *kept,
-        "polled_at",
-        "trip_status",
-        F.col("feed_seq").alias("seq"),
-        F.explode(calls_and_self).alias("call"),
-    ).withColumn("siri_stop_id", F.col("call.StopPointRef"))
+    calls = F.concat("estimated_calls", "recorded_calls")
+    exploded = (
+        journeys.select(
+            *MATCH,
+            *kept,
+            "polled_at",
+            "trip_status",
+            F.col("feed_seq").alias("seq"),
+            F.reverse(calls["StopPointRef"]).alias("from_last"),
+            F.posexplode(F.concat(calls, F.array(F.lit(None)))).alias("at", "call"),
+        )
+        .withColumns({"siri_stop_id": F.col("call.StopPointRef"), "n_after": F.size("from_last") - F.col("at")})
+        .filter((F.col("n_after") == 0) | (F.array_position("from_last", F.col("siri_stop_id")) == F.col("n_after")))
+    )
     listed = stations.select("siri_stop_id", F.col("station_name").alias("station"))
-    itself = F.col("call").isNull()
+    itself = F.col("n_after") == 0
     return (
         exploded.join(listed, "siri_stop_id", "left")
         .filter(itself | F.col("station").isNotNull())

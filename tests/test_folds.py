@@ -7,7 +7,8 @@ from helpers import A, B
 from pyspark.sql import functions as F
 
 from railtempo import schema
-from railtempo.operators import schedule, updates
+from railtempo.operators import realtime, schedule, updates
+from railtempo.plans import tables
 from railtempo.plans.queries import QUERIES
 
 
@@ -83,3 +84,35 @@ def test_times_of_any_form_come_back_as_they_were(spark):
     table = spark.createDataFrame(rng.sample(stops, len(stops)), types).repartition(4)
     found = schedule.corridor_trips(table, schema.default_stations(spark), schema.default_corridors(spark)).collect()
     assert {r.trip_id: tuple(r[1:]) for r in found} == expected and len(found) == len(expected) > 100
+
+
+def test_the_log_has_the_last_call_at_each_stop_without_nested_lambdas(spark):
+    rng = random.Random(9)
+    stops = ["SA", "SB", "elsewhere", None]
+    fields = "StopPointRef Cancellation PredictionInaccurate ExpectedArrivalTime ArrivalPlatformName ExpectedDepartureTime DeparturePlatformName"
+    types = ", ".join(f"{name}: string" for name in fields.split())
+    rows, expected = [], []
+    for n in range(200):
+        made = [None if rng.random() < 0.1 else (rng.choice(stops), *[None] * 5, str(i)) for i in range(rng.randrange(6))]
+        cut = rng.randrange(len(made) + 1)
+        rows.append(("1", None, None, "NORMAL", made[:cut], made[cut:], n))
+        last = {c[0]: c[-1] for c in made if c and c[0] in ("SA", "SB")}
+        expected += [(n, "", None), *[(n, stop[1], platform) for stop, platform in last.items()]]
+    rows += [("1", None, None, "NORMAL", None, [], 200)]  # no calls known: as before, nothing in the log
+    feed = spark.createDataFrame(
+        rows,
+        "trip_headsign string, departure_date date, polled_at timestamp_ntz, trip_status string,"
+        f" estimated_calls array<struct<{types}>>, recorded_calls array<struct<{types}>>, feed_seq bigint",
+    )
+    listed = spark.createDataFrame([("SA", "A"), ("SB", "B")], "siri_stop_id string, station_name string")
+    log = realtime.feed_log(feed, listed)
+    assert sorted((r.seq, r.station, r.platform) for r in log.collect()) == sorted(expected)
+    assert "lambda" not in log._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_a_train_are_dealt_out_together(spark):
+    """One shuffle without the sort of a round robin; the first fold then leaves about a row per train and text."""
+    plan = tables.lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [hundred" in plan
+    read = tables.lines(spark, "/root/testdata/sf0.001")
+    assert sorted(map(str, read.collect())) == sorted(map(str, tables.table(spark, "/root/testdata/sf0.001", "lineitem").collect()))
