@@ -1,11 +1,13 @@
 """Operators with learnt parts: language, quality, outliers, language model."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -302,6 +304,95 @@ def test_noise_contrastive_steps_learn_classes_and_words(small_classes):
     assert np.exp(model.log_probabilities(np.zeros(len(v.kind) + 1, int), np.full(len(v.kind) + 1, 11), np.arange(len(v.kind) + 1))).sum() == pytest.approx(1, rel=1e-4)
 
 
+@pytest.fixture
+def exponentials(monkeypatch):
+    """How many exponentials numpy has taken."""
+    taken, exp = [0], np.exp
+
+    def counted(x, *args, **kw):
+        taken[0] += np.size(x)
+        return exp(x, *args, **kw)
+
+    monkeypatch.setattr(np, "exp", counted)
+    return taken
+
+
+def test_tokens_share_noise(small_classes, exponentials):
+    """A step takes exponentials of the noise drawn, and not of all classes for each token."""
+    v = some_vocabulary()
+    own = lm_scoring.Training(lm_scoring.LogBilinear(v), 0, 0)
+    two, one, words = np.random.default_rng(3).integers(0, len(v.kind) + 1, (3, 8192))
+    exponentials[0] = 0
+    own.step(two, one, words)
+    assert 0 < exponentials[0] < 8192 * 100 < 8192 * lm_scoring.CLASSES
+
+
+def test_noise_of_a_step_is_spread(small_classes):
+    """Each class is drawn about as often as its frequency says."""
+    own = lm_scoring.Training(lm_scoring.LogBilinear(some_vocabulary()), 0, 0)
+    at = own.strata(128, lm_scoring.NOISE)
+    assert ((at * lm_scoring.NOISE).astype(int) == np.arange(lm_scoring.NOISE)).all()
+    drawn = np.bincount(np.searchsorted(own.upto, at.ravel()), minlength=lm_scoring.CLASSES)
+    assert drawn == pytest.approx(own.model.noise / own.model.noise.sum() * at.size, abs=6)
+
+
+def test_equal_contexts_are_normalised_once(small_classes, exponentials):
+    v = some_vocabulary()
+    model = lm_scoring.LogBilinear(v)
+    two, one, words = np.random.default_rng(4).integers(0, 5000, (3, 20))
+    exponentials[0] = 0
+    found = model.log_probabilities(np.tile(two, 500), np.tile(one, 500), np.tile(words, 500))
+    assert exponentials[0] < 20 * 3 * lm_scoring.CLASSES
+    assert (found.reshape(500, 20) == found[:20]).all()
+
+
+@pytest.mark.parametrize("size", [0.3, 40])
+def test_model_against_softmax(small_classes, monkeypatch, size):
+    """In parts, with exponentials kept from call to call, and where the sums of products leave the range of floats."""
+    v = some_vocabulary()
+    model = lm_scoring.LogBilinear(v)
+    rng = np.random.default_rng(9)
+    model.rows[: model.classes, : lm_scoring.DIM] = rng.normal(0, size, (model.classes, lm_scoring.DIM))
+    two, one, words = rng.integers(0, len(v.kind) + 1, (3, 3000))
+    hidden = (model.rows[two] + model.rows[one + model.one]).astype(float)
+
+    def softmax(score, which):
+        top = score.max(1, keepdims=True)
+        return score[np.arange(len(which)), which] - top[:, 0] - np.log(np.exp(score - top).sum(1))
+
+    kind = model.kind[words]
+    expected = softmax(hidden @ model.rows[model.classes : model.words].T, kind) + model.share[words]
+    for i in np.flatnonzero((words >= lm_scoring.ALONE) & (words < model.own)):
+        k = kind[i] - lm_scoring.ALONE
+        begin = k * lm_scoring.SIZE
+        of = model.rows[model.words + begin : model.words + begin + model.size[k]]
+        expected[i] += softmax(hidden[i : i + 1] @ of.T, [words[i] - lm_scoring.ALONE - begin])[0]
+    monkeypatch.setattr(lm_scoring, "SCORED", 700)
+    monkeypatch.setattr(lm_scoring, "KEPT", 100)
+    held = {}
+    for part in (slice(0, 2000), slice(2000, 3000)):
+        found = model.log_probabilities(two[part], one[part], words[part], held)
+        assert found == pytest.approx(expected[part], rel=1e-4, abs=1e-3)
+    assert len(held) == 2
+    assert model.log_probabilities(two, one, words) == pytest.approx(expected, rel=1e-4, abs=1e-3)
+
+
+def test_words_of_odd_texts():
+    """As bytes.lower and bytes.split have it, whatever portions the texts come in."""
+    rng = random.Random(1)
+    marks = ["a", "Z", "É", "\x85", "\xa0", "\u2003", "\x00", "\x1c", "\x1f", "\x0b", "\x0c", "\r", "\n", "\t", " ", " ", "中", "\U0001f600"]
+    texts = [b"", b" ", b"\n\n", *("".join(rng.choices(marks, k=rng.randint(0, 30))).encode() for _ in range(500))]
+    batch = pa.record_batch([pa.array(texts, pa.binary())], ["body"])
+    for size in (1, 300, 1 << 22):
+        at = 0
+        for part in lm_scoring.portions([batch.slice(0, 200), batch.slice(200)], "body", size):
+            words, sizes = lm_scoring.words_of(part.column("body"))
+            mine = [t.lower().split() for t in texts[at : at + part.num_rows]]
+            assert words.to_pylist() == sum(mine, []) and sizes.tolist() == [len(t) for t in mine]
+            at += part.num_rows
+        assert at == len(texts)
+
+
 @pytest.mark.parametrize("shard", [1 << 23, 20_000])
 def test_scores_do_not_depend_on_partitions(spark, sf_dir, monkeypatch, shard):
     """One shard, and several."""
