@@ -348,7 +348,11 @@ VISIT_COLUMNS = ["key", "q_rows", "q_ids", "q_least", "q_vecs"]
 
 
 def visited(held: DataFrame, blocks: DataFrame, shape: Shape, k: int) -> DataFrame:
-    """The best k that each query of a block finds in the piece that the block goes to."""
+    """The best k that each query of a block finds in the piece that the block goes to.
+
+    Sorted and merged, never broadcast: the staged pieces are compressed, by up to twenty times where vectors recur, so the
+    size of their files says nothing of what the driver would have to hold. Of a key, a task then holds the piece alone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,7 +362,7 @@ def visited(held: DataFrame, blocks: DataFrame, shape: Shape, k: int) -> DataFra
                 piece = Piece.of(batch, at, shape)
                 yield _candidates(piece, rows, ids, piece.best(vecs, rows, least, k, shape))
 
-    return held.join(blocks, "key").drop("key").mapInArrow(run, CANDIDATE)
+    return blocks.join(held.hint("merge"), "key").drop("key").mapInArrow(run, CANDIDATE)
 
 
 def top_k(vectors: DataFrame, asks: Column, k: int = 20) -> DataFrame:
@@ -380,7 +384,7 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 20) -> DataFrame:
     first, last = 0, FIRST_ROUND
     while first < directory.pivot.size:
         kth = found.filter(F.col("rank") == k).select(F.col("q_row").alias("row"), F.col("score").alias("least"))
-        near = queries.join(kth, "row", "left").repartition("key").sortWithinPartitions("key")
+        near = queries.hint("merge").join(kth, "row", "left").repartition("key").sortWithinPartitions("key")
         blocks = visits(near, directory, shape, first, last)
         more = visited(held, blocks, shape, k).unionByName(found.drop("rank"))
         found = staged(_ranked(more, k), "vector-found")

@@ -89,3 +89,18 @@ def test_bounds_hold(spark):
     best = np.stack([scores[:, ring == r].max(1) for r in rings], 1)
     assert (best <= bounds).all()
     assert (bounds < np.sort(scores, 1)[:, -20][:, None]).mean() > 0.3
+
+
+def test_vectors_that_recur_are_not_broadcast(spark, small_pieces, monkeypatch):
+    """Their staged pieces are small files, as they are compressed, whatever the driver would have to hold."""
+    rows, plans, staged = list(enumerate(some(300, 8, 8).tolist())), [], vs.staged
+
+    def planned(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    monkeypatch.setattr(vs, "staged", planned)
+    assert found(spark, rows) == brute(rows)
+    joins = [p for p in plans if "SortMergeJoin" in p]
+    assert joins and not any("Broadcast" in p for p in plans)
