@@ -1,14 +1,22 @@
 """What queries hold per task or per pair does not grow beside the feed."""
 
+import gzip
+import random
+import zlib
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pyspark.sql.classic.dataframe as classic
 from helpers import A, B, trip, trips
-from test_realtime import call, journey, snapshot, stations
+from pyspark.sql import functions as F
+from test_realtime import call, entity, journey, snapshot, stations
+from test_runs import MIDNIGHT, STOP_A, STOP_B, run
 
+from railtempo.functions.labels import numeric_stop_id
+from railtempo.functions.times import epoch_time
 from railtempo.operators import gtfs_rt
 from railtempo.plans import queries, tables
+from railtempo.schema import GTFS_RT_ENTITY
 from railtempo.sources import gtfs_rt as gtfs_rt_files
 from railtempo.sources import siri, trip_table
 from railtempo.streaming import jobs
@@ -27,6 +35,70 @@ def test_entities_meet_alike_trips_as_one_row(spark):
     assert "n_trips" in plan and plan.index("Generate explode(sequence(") < plan.index("Join")
 
 
+def updates_by_two_joins(rows, table, at):
+    """The run first, then the trips of the run, with a filter of the stop updates for each."""
+    oriented = gtfs_rt._oriented(table, at)
+
+    def last_stop(stop):
+        return F.try_element_at(F.filter("stop_time_update", lambda s: numeric_stop_id(s["stop_id"]) == F.col(stop)), F.lit(-1))
+
+    met = gtfs_rt.match_runs(rows, table).join(oriented, gtfs_rt.RUN)
+    met = met.withColumns({"a": last_stop("departure_stop"), "b": last_stop("arrival_stop")})
+    times = epoch_time(F.col("a.departure.time")), "a.departure.delay", epoch_time(F.col("b.arrival.time")), "b.arrival.delay"
+    return met.select("entity_id", "trip_id", "departure_date", *times, "trip_schedule_relationship", "a.schedule_relationship", "b.schedule_relationship")
+
+
+def odd_runs_and_entities(spark):
+    """Runs that recur, lack times, dates, ids or a listed end; entities with and without a day, times, stops and ids."""
+    rng, first = random.Random(5), date(2024, 1, 15)
+    made = [(n, first + timedelta(days=d), 1440 * d + rng.randint(-300, 1500)) for n in ("a", "b", "c", None) for d in range(4) for _ in range(rng.randint(0, 3))]
+    made += [("old", date(1969, 5, 1), -28_900_000), ("a", first, 100), ("a", first, 100)]
+    names, runs = tables.TRIPS.names, []
+    for made_row in made:
+        row = dict(zip(names, run(*made_row, lasts=rng.choice([50, 900, 2000]))))
+        row["departure_station_name"], row["arrival_station_name"] = rng.choice([(A, B), (A, B), (B, A), (A, "elsewhere"), (None, B)])
+        if rng.random() < 0.15:
+            row[rng.choice(["departure_time_scheduled", "arrival_time_scheduled", "service_date"])] = None
+        runs.append(tuple(row.values()))
+    feed = []
+    for i in range(1000):
+        at = MIDNIGHT + 60 * rng.randint(-2000, 6000)
+        event = [None, (at, 60), (None, 5), (at + 900, None)]
+        stops = [
+            None if rng.random() < 0.05 else (rng.choice([STOP_A, STOP_B, "stop_9", "", None]), rng.choice(event), rng.choice(event), rng.choice([None, "SKIPPED"]))
+            for _ in range(rng.randint(0, 5))
+        ]
+        start = rng.choice([None, None, "20240115", "20240117", "20230101", "19690501", "soon"])
+        one = entity(rng.choice(["a", "b", "c", "old", "unknown", None]), rng.choice([stops, stops, stops, None]), rng.choice([None, "CANCELED"]), start)
+        feed.append((rng.choice([f"e{i}", "twice", None]), one[1]))
+    return spark.createDataFrame(runs, tables.TRIPS), gtfs_rt.entity_rows(spark.createDataFrame(feed, GTFS_RT_ENTITY))
+
+
+def test_entities_meet_their_run_and_its_trips_in_one_join(spark):
+    table, rows = odd_runs_and_entities(spark)
+    found = gtfs_rt.trip_updates(rows, table, stations(spark))
+    expected = Counter(tuple(r) for r in updates_by_two_joins(rows, table, stations(spark)).collect())
+    assert Counter(tuple(r) for r in found.collect()) == expected and sum(expected.values()) > 200
+    node, joins = found._jdf.queryExecution().optimizedPlan(), 0
+    while node.children().size():
+        joins, node = joins + (node.nodeName() == "Join"), node.children().apply(0)
+    assert joins == 1 and "trip_update" in node.toString()
+
+
+def test_first_time_of_an_entity_needs_no_lambda(spark):
+    rows = odd_runs_and_entities(spark)[1]
+    assert "lambda" not in rows.select("first_time")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_written_entities_are_compressed_fast(spark, tmp_path):
+    path = tmp_path / "rt"
+    gtfs_rt_files.write_entities(tables.entities(spark, SF).coalesce(1), str(path))
+    (part,) = path.glob("part-*")
+    text = gzip.decompress(part.read_bytes())
+    usual = len(zlib.compress(text, 6))
+    assert 1.1 * usual < part.stat().st_size < len(text) / 5
+
+
 def test_written_entities_are_compressed_and_bounded(spark, tmp_path):
     path, entities = str(tmp_path / "rt"), tables.entities(spark, SF)
     gtfs_rt_files.write_entities(entities, path, per_file=1000)
